@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference has no streaming operator: no readStream/writeStream, watermark,
+event-time window or stateful operator. Nothing is built here; every operator
+of this library is a batch DataFrame transformation, so the stateless ones
+(casts, projections, filters, nearest-centroid scoring with fixed centroids)
+can be applied unchanged to a streaming DataFrame by the caller.
+"""
