@@ -29,7 +29,7 @@ def to_date(c, fmt: str | None = None, strict: bool = False) -> Column:
     col = _col(c)
     if fmt is None:
         return to_type(col, "date", strict)
-    return F.to_date(col, fmt) if strict else F.try_to_date(col, F.lit(fmt))
+    return F.to_date(col, fmt) if strict else F.try_to_date(col, fmt)
 
 
 def parse_us_date(c, strict: bool = False) -> Column:

@@ -25,17 +25,25 @@ def with_row_index(df: DataFrame, order_by: str | list[str], name: str = "row_in
     4. index = offset of the partition + position inside it, the position
        read from ``monotonically_increasing_id``'s low bits.
 
-    The counts and the rows hang off the same range exchange, which Spark
-    reuses, so the data is shuffled once. The offsets table has one row per
-    partition, a size fixed by ``partitions``, and is broadcast.
+    The range bounds come from a sample seeded by the RDD id, so two
+    evaluations of the range exchange may cut differently. The partitioned,
+    numbered rows are therefore checkpointed once (reliable checkpoint in the
+    shared ``spark.checkpoint.dir``: it also cuts the lineage and survives
+    lost executors), and counts and rows are both read from that copy.
+    The offsets table has one row per partition, a size fixed by
+    ``partitions``, and is broadcast.
     Rows with equal keys get consecutive indexes in an unspecified order.
     """
+    from ..session import checkpoint_dir
+
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
     n = partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    checkpoint_dir(df.sparkSession)
     ranged = (df.repartitionByRange(int(n), *keys)
                 .sortWithinPartitions(*keys)
                 .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))))
+                .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK)))
+                .checkpoint(eager=True))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

@@ -1,6 +1,6 @@
 """Registered queries: importing this package fills ``QUERIES`` and ``ORACLES``."""
 
-from . import relational  # noqa: F401
+from . import ingest, relational  # noqa: F401
 from .registry import ORACLES, QUERIES, query
 
 __all__ = ["QUERIES", "ORACLES", "query"]
