@@ -337,7 +337,7 @@ def lloyd(points: DataFrame, k: int, max_iterations: int, init="random",
         while True:
             st = lloyd_pass(cached, cur, prev if iterations > 0 else None, method)
             history.append({"pass": iterations, "metric": st.metric, "cost": st.cost,
-                            "moved": st.moved, "k": cur.k})
+                            "moved": st.moved, "k": cur.k, "centroids": cur})
             if (iterations > 0 and st.moved == 0) or iterations == max_iterations:
                 break
             prev, cur = cur, st.update(cur, empty)
