@@ -23,8 +23,11 @@ The lineage of every pass is the same short plan (scan -> project ->
 aggregate), so nothing needs checkpointing; the prepared points are persisted
 (memory and disk) and recomputed from the scan if an executor is lost.
 
-When k * dims is too large for literals, the same pass runs in
-``mapInPandas`` with numpy, emitting per-task partial sums that Spark merges.
+The loop runs each pass through ``mapInPandas`` with numpy by default: the
+generated-code form embeds the centroid values and so recompiles every pass,
+a fixed cost that dominates on small inputs. Both forms emit per-task partial
+sums (at most k rows per task) that one ``groupBy(cid)`` merges; one-shot
+assignment uses the literal codegen form unless k * dims is large.
 
 Deviations from the reference, by design: a seed for the random init (D15);
 ``max_iterations < 0`` is rejected instead of failing later (D16); the result
@@ -43,7 +46,10 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark import cloudpickle
+
 from ..functions.arrays import squared_distance_to
+from . import kmeans_kernels as kernels
 from .ordering import lowest_k, sample_k
 from .vectors import dims_of, element_columns
 
@@ -51,6 +57,10 @@ from .vectors import dims_of, element_columns
 # literals to the numpy form.
 LITERAL_LIMIT = 20000
 
+# Ship the numpy kernels with the closures instead of requiring the package
+# on every executor.
+cloudpickle.register_pickle_by_value(kernels)
+
 
 @dataclass(frozen=True)
 class Centroids:
@@ -94,73 +104,59 @@ def _xs(d: int) -> list[Column]:
     return [F.col(f"_x{j}") for j in range(d)]
 
 
-def nearest_expr(xs: list[Column], cents: Centroids) -> tuple[Column, Column]:
-    """(cid, distance) of the nearest centroid; first minimum wins."""
-    dists = [F.sqrt(squared_distance_to(xs, c)) for c in cents.centers]
+def _with_nearest(df: DataFrame, cents: Centroids, tag: str = "") -> DataFrame:
+    """Add ``{tag}cid`` and ``{tag}dist``: the nearest centroid, first minimum
+    winning (A11, M13).
+
+    The k distances are their own projection, and the argmin reads them as
+    columns: inlined, the large distance expression would be generated once
+    per use (array_min, array_position, the aggregates), several times over.
+    """
+    xs = _xs(cents.dims)
+    dcols = [f"_{tag}d{i}" for i in range(cents.k)]
+    df = df.select("*", *[F.sqrt(squared_distance_to(xs, c)).alias(n)
+                          for n, c in zip(dcols, cents.centers)])
     if cents.k == 1:
-        return F.lit(cents.cids[0]), dists[0]
-    arr = F.array(*dists)
+        return df.withColumn(f"{tag}cid", F.lit(cents.cids[0])) \
+                 .withColumnRenamed(dcols[0], f"{tag}dist")
+    arr = F.array(*[F.col(n) for n in dcols])
     best = F.array_min(arr)
     pos = F.array_position(arr, best).cast("int")
     cid = F.element_at(F.array(*[F.lit(c) for c in cents.cids]), pos)
-    return cid, best
+    return df.select("*", cid.alias(f"{tag}cid"), best.alias(f"{tag}dist")).drop(*dcols)
+
+
+def _numpy_form(cents: Centroids) -> bool:
+    return cents.k * cents.dims > LITERAL_LIMIT
 
 
 def assign(points: DataFrame, cents: Centroids, keep: Sequence[str] = ("id",),
-           with_features: bool = False) -> DataFrame:
+           with_features: bool = False, method: str = "auto") -> DataFrame:
     """``keep`` columns, ``cid``, ``dist`` for prepared points.
 
     With ``with_features`` the per-dimension columns ride along, so the update
     needs no join back to the data by id (J3).
     """
-    d = cents.dims
-    xs = _xs(d)
-    if cents.k * d > LITERAL_LIMIT:
+    xcols = [f"_x{j}" for j in range(cents.dims)]
+    if method == "numpy" or (method == "auto" and _numpy_form(cents)):
         return _assign_numpy(points, cents, keep, with_features)
-    cid, dist = nearest_expr(xs, cents)
-    extra = xs if with_features else []
-    return points.select(*keep, cid.alias("cid"), dist.alias("dist"), *extra)
+    out = _with_nearest(points.select(*keep, *xcols), cents)
+    return out.select(*keep, "cid", "dist", *(xcols if with_features else []))
 
 
 def _assign_numpy(points: DataFrame, cents: Centroids, keep: Sequence[str],
                   with_features: bool) -> DataFrame:
     C = np.asarray(cents.centers, dtype=np.float64)
     cids = np.asarray(cents.cids, dtype=np.int32)
-    d = cents.dims
-    xcols = [f"_x{j}" for j in range(d)]
+    xcols = [f"_x{j}" for j in range(cents.dims)]
     src = points.select(*keep, *xcols)
     fields = [f for f in src.schema.fields if f.name in keep]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
                        + ["cid int", "dist double"]
                        + ([f"{c} double" for c in xcols] if with_features else []))
-
-    def run(batches):
-        for pdf in batches:
-            X = pdf[xcols].to_numpy(dtype=np.float64)
-            idx, dist = _nearest_numpy(X, C)
-            out = pdf[list(keep)].copy()
-            out["cid"] = cids[idx]
-            out["dist"] = dist
-            if with_features:
-                out[xcols] = X
-            yield out
-
-    return src.mapInPandas(run, schema)
-
-
-def _nearest_numpy(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index and distance of the nearest row of C for each row of X, in chunks."""
-    n, k = X.shape[0], C.shape[0]
-    step = max(1, 4_000_000 // max(1, k * C.shape[1]))
-    idx = np.empty(n, dtype=np.int64)
-    dist = np.empty(n, dtype=np.float64)
-    for s in range(0, n, step):
-        diff = X[s:s + step, None, :] - C[None, :, :]
-        D = np.sqrt(np.einsum("nkd,nkd->nk", diff, diff))
-        i = np.argmin(D, axis=1)  # first minimum, as the strict '<' of the reference
-        idx[s:s + step] = i
-        dist[s:s + step] = D[np.arange(D.shape[0]), i]
-    return idx, dist
+    keep = list(keep)
+    return src.mapInPandas(
+        lambda it: kernels.assign_batches(it, xcols, keep, C, cids, with_features), schema)
 
 
 # -- one pass ----------------------------------------------------------------
@@ -199,19 +195,21 @@ class PassStats:
         return Centroids.of(centers, cids)
 
 
-def _pass_literal(points: DataFrame, cur: Centroids, prev: Centroids | None) -> list:
-    d = cur.dims
-    xs = _xs(d)
-    cid, dist = nearest_expr(xs, cur)
-    cols = [cid.alias("cid"), dist.alias("dist"), *xs]
-    if prev is not None:
-        cols.append(nearest_expr(xs, prev)[0].alias("prev_cid"))
+def _pass_aggs(d: int, with_moved: bool) -> list[Column]:
     aggs = [F.count(F.lit(1)).alias("n"), F.sum("dist").alias("sum_dist"),
             F.sum(F.col("dist") * F.col("dist")).alias("sse")]
     aggs += [F.sum(f"_x{j}").alias(f"s{j}") for j in range(d)]
-    if prev is not None:
+    if with_moved:
         aggs.append(F.count_if(F.col("cid") != F.col("prev_cid")).alias("moved"))
-    rows = points.select(*cols).groupBy("cid").agg(*aggs).collect()  # <= k rows
+    return aggs
+
+
+def _pass_literal(points: DataFrame, cur: Centroids, prev: Centroids | None) -> list:
+    d = cur.dims
+    df = _with_nearest(points.select(*[f"_x{j}" for j in range(d)]), cur)
+    if prev is not None:
+        df = _with_nearest(df, prev, "prev_")
+    rows = df.groupBy("cid").agg(*_pass_aggs(d, prev is not None)).collect()  # <= k rows
     return [(r["cid"], r["n"], r["sum_dist"], r["sse"], [r[f"s{j}"] for j in range(d)],
              r["moved"] if prev is not None else None) for r in rows]
 
@@ -223,48 +221,22 @@ def _pass_numpy(points: DataFrame, cur: Centroids, prev: Centroids | None) -> li
     cids = np.asarray(cur.cids, dtype=np.int64)
     P = np.asarray(prev.centers, dtype=np.float64) if prev is not None else None
     pcids = np.asarray(prev.cids, dtype=np.int64) if prev is not None else None
-
-    def partial(batches):
-        import pandas as pd
-        acc = {}
-        for pdf in batches:
-            X = pdf[xcols].to_numpy(dtype=np.float64)
-            idx, dist = _nearest_numpy(X, C)
-            cid = cids[idx]
-            moved = (cid != pcids[_nearest_numpy(X, P)[0]]) if P is not None else np.zeros(len(cid), bool)
-            for c in np.unique(cid):
-                m = cid == c
-                a = acc.setdefault(int(c), [0, 0.0, 0.0, 0, np.zeros(d)])
-                a[0] += int(m.sum())
-                a[1] += float(dist[m].sum())
-                a[2] += float((dist[m] ** 2).sum())
-                a[3] += int(moved[m].sum())
-                a[4] += X[m].sum(axis=0)
-        if acc:
-            yield pd.DataFrame({"cid": list(acc), "n": [a[0] for a in acc.values()],
-                                "sum_dist": [a[1] for a in acc.values()],
-                                "sse": [a[2] for a in acc.values()],
-                                "moved": [a[3] for a in acc.values()],
-                                "sums": [a[4].tolist() for a in acc.values()]})
-
-    schema = "cid long, n long, sum_dist double, sse double, moved long, sums array<double>"
-    parts = points.select(*xcols).mapInPandas(partial, schema)
-    scal = parts.groupBy("cid").agg(F.sum("n").alias("n"), F.sum("sum_dist").alias("sum_dist"),
-                                    F.sum("sse").alias("sse"), F.sum("moved").alias("moved")).collect()
-    vec = (parts.select("cid", F.posexplode("sums").alias("j", "v"))
-                .groupBy("cid", "j").agg(F.sum("v").alias("v")).collect())  # k * dims rows
-    sums = {}
-    for r in vec:
-        sums.setdefault(r["cid"], [0.0] * d)[r["j"]] = r["v"]
-    return [(r["cid"], r["n"], r["sum_dist"], r["sse"], sums[r["cid"]],
-             r["moved"] if prev is not None else None) for r in scal]
+    schema = ", ".join(["cid long", "n long", "sum_dist double", "sse double", "moved long"]
+                       + [f"s{j} double" for j in range(d)])
+    parts = points.select(*xcols).mapInPandas(
+        lambda it: kernels.partial_pass(it, xcols, C, cids, P, pcids), schema)
+    aggs = [F.sum(c).alias(c) for c in ["n", "sum_dist", "sse", "moved"]]
+    aggs += [F.sum(f"s{j}").alias(f"s{j}") for j in range(d)]
+    rows = parts.groupBy("cid").agg(*aggs).collect()  # <= k rows
+    return [(r["cid"], r["n"], r["sum_dist"], r["sse"], [r[f"s{j}"] for j in range(d)],
+             r["moved"] if prev is not None else None) for r in rows]
 
 
 def lloyd_pass(points: DataFrame, cur: Centroids, prev: Centroids | None = None,
                method: str = "auto") -> PassStats:
     """Assign, aggregate and (with ``prev``) count moved points in one job."""
     if method == "auto":
-        method = "literal" if cur.k * cur.dims <= LITERAL_LIMIT else "numpy"
+        method = "numpy" if _numpy_form(cur) else "literal"
     rows = (_pass_literal if method == "literal" else _pass_numpy)(points, cur, prev)
     st = PassStats({}, {}, {}, {}, None if prev is None else 0)
     for cid, n, sd, sse, sums, moved in rows:
@@ -309,13 +281,13 @@ class LloydResult:
     def passes(self) -> int:
         return self.iterations + 1
 
-    def assignment(self, keep: Sequence[str] = ("id",)) -> DataFrame:
+    def assignment(self, keep: Sequence[str] = ("id",), method: str = "auto") -> DataFrame:
         """(id, cid, dist) of the last pass."""
-        return assign(self.points, self.centroids, keep)
+        return assign(self.points, self.centroids, keep, method=method)
 
 
 def lloyd(points: DataFrame, k: int, max_iterations: int, init="random",
-          seed: int | None = None, empty: str = "drop", method: str = "auto",
+          seed: int | None = None, empty: str = "drop", method: str = "numpy",
           persist: bool = True) -> LloydResult:
     """Lloyd iterations with the reference's stopping rule.
 
@@ -325,6 +297,12 @@ def lloyd(points: DataFrame, k: int, max_iterations: int, init="random",
     update, and ``iterations`` is not incremented at the stop.
 
     ``points`` must come from :func:`prepare_points`.
+
+    ``method``: "numpy" (default) runs each pass in ``mapInPandas`` with
+    per-task partial sums; "literal" keeps the pass in generated JVM code.
+    Generated code embeds the centroid values, so the literal form compiles
+    a new class every pass (about a second for k * dims = 256); the numpy
+    form has no per-pass fixed cost and gives the same assignment.
     """
     if max_iterations < 0:
         raise ValueError("max_iterations must be >= 0")
