@@ -45,33 +45,40 @@ def assign_batches(batches, xcols, keep, C, cids, with_features):
         yield out
 
 
-def partial_pass(batches, xcols, C, cids, P, pcids):
-    """One row per cluster seen in this task: count, sum of distances, sum of
-    squared distances, moved count and per-dimension sums (map-side combine)."""
+def partial_pass(batches, xcols, runs):
+    """Map-side combine of one Lloyd pass for several independent runs.
+
+    ``runs`` is a list of (C, cids, P, pcids): current centroids and ids, and
+    the previous pass's (P None on a run's first pass). Yields one row per
+    (run, cluster) seen in this task: count, sum of distances, sum of squared
+    distances, moved count and per-dimension sums.
+    """
     d = len(xcols)
     acc = {}
     for pdf in batches:
         X = pdf[xcols].to_numpy(dtype=np.float64)
-        idx, dist = nearest(X, C)
-        cid = cids[idx]
-        if P is not None:
-            moved = cid != pcids[nearest(X, P)[0]]
-        else:
-            moved = np.zeros(len(cid), dtype=bool)
-        for c in np.unique(cid):
-            m = cid == c
-            a = acc.setdefault(int(c), [0, 0.0, 0.0, 0, np.zeros(d)])
-            a[0] += int(m.sum())
-            a[1] += float(dist[m].sum())
-            a[2] += float((dist[m] ** 2).sum())
-            a[3] += int(moved[m].sum())
-            a[4] += X[m].sum(axis=0)
+        for r, (C, cids, P, pcids) in enumerate(runs):
+            idx, dist = nearest(X, C)
+            cid = cids[idx]
+            if P is not None:
+                moved = cid != pcids[nearest(X, P)[0]]
+            else:
+                moved = np.zeros(len(cid), dtype=bool)
+            for c in np.unique(cid):
+                m = cid == c
+                a = acc.setdefault((r, int(c)), [0, 0.0, 0.0, 0, np.zeros(d)])
+                a[0] += int(m.sum())
+                a[1] += float(dist[m].sum())
+                a[2] += float((dist[m] ** 2).sum())
+                a[3] += int(moved[m].sum())
+                a[4] += X[m].sum(axis=0)
     if acc:
-        cols = {"cid": list(acc), "n": [a[0] for a in acc.values()],
-                "sum_dist": [a[1] for a in acc.values()],
-                "sse": [a[2] for a in acc.values()],
-                "moved": [a[3] for a in acc.values()]}
-        sums = np.vstack([a[4] for a in acc.values()])
+        keys = list(acc)
+        vals = [acc[key] for key in keys]
+        cols = {"run": [key[0] for key in keys], "cid": [key[1] for key in keys],
+                "n": [a[0] for a in vals], "sum_dist": [a[1] for a in vals],
+                "sse": [a[2] for a in vals], "moved": [a[3] for a in vals]}
+        sums = np.vstack([a[4] for a in vals])
         for j in range(d):
             cols[f"s{j}"] = sums[:, j]
         yield pd.DataFrame(cols)

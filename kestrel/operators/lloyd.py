@@ -214,39 +214,57 @@ def _pass_literal(points: DataFrame, cur: Centroids, prev: Centroids | None) ->
              r["moved"] if prev is not None else None) for r in rows]
 
 
-def _pass_numpy(points: DataFrame, cur: Centroids, prev: Centroids | None) -> list:
-    d = cur.dims
+def _pass_numpy(points: DataFrame, runs: list[tuple[Centroids, Centroids | None]]) -> list:
+    """One job for several runs: rows (run, cid, n, sum_dist, sse, moved, sums)."""
+    d = runs[0][0].dims
     xcols = [f"_x{j}" for j in range(d)]
-    C = np.asarray(cur.centers, dtype=np.float64)
-    cids = np.asarray(cur.cids, dtype=np.int64)
-    P = np.asarray(prev.centers, dtype=np.float64) if prev is not None else None
-    pcids = np.asarray(prev.cids, dtype=np.int64) if prev is not None else None
-    schema = ", ".join(["cid long", "n long", "sum_dist double", "sse double", "moved long"]
-                       + [f"s{j} double" for j in range(d)])
+    arrays = [(np.asarray(cur.centers, dtype=np.float64), np.asarray(cur.cids, dtype=np.int64),
+               None if prev is None else np.asarray(prev.centers, dtype=np.float64),
+               None if prev is None else np.asarray(prev.cids, dtype=np.int64))
+              for cur, prev in runs]
+    schema = ", ".join(["run int", "cid long", "n long", "sum_dist double", "sse double",
+                        "moved long"] + [f"s{j} double" for j in range(d)])
     parts = points.select(*xcols).mapInPandas(
-        lambda it: kernels.partial_pass(it, xcols, C, cids, P, pcids), schema)
+        lambda it: kernels.partial_pass(it, xcols, arrays), schema)
     aggs = [F.sum(c).alias(c) for c in ["n", "sum_dist", "sse", "moved"]]
     aggs += [F.sum(f"s{j}").alias(f"s{j}") for j in range(d)]
-    rows = parts.groupBy("cid").agg(*aggs).collect()  # <= k rows
-    return [(r["cid"], r["n"], r["sum_dist"], r["sse"], [r[f"s{j}"] for j in range(d)],
-             r["moved"] if prev is not None else None) for r in rows]
+    rows = parts.groupBy("run", "cid").agg(*aggs).collect()  # <= runs * k rows
+    return [(r["run"], r["cid"], r["n"], r["sum_dist"], r["sse"],
+             [r[f"s{j}"] for j in range(d)], r["moved"]) for r in rows]
 
 
-def lloyd_pass(points: DataFrame, cur: Centroids, prev: Centroids | None = None,
-               method: str = "auto") -> PassStats:
-    """Assign, aggregate and (with ``prev``) count moved points in one job."""
-    if method == "auto":
-        method = "numpy" if _numpy_form(cur) else "literal"
-    rows = (_pass_literal if method == "literal" else _pass_numpy)(points, cur, prev)
-    st = PassStats({}, {}, {}, {}, None if prev is None else 0)
+def _stats(rows, with_moved: bool) -> PassStats:
+    st = PassStats({}, {}, {}, {}, 0 if with_moved else None)
     for cid, n, sd, sse, sums, moved in rows:
         cid = int(cid)
         st.n[cid], st.sum_dist[cid], st.sse[cid], st.sums[cid] = int(n), sd, sse, sums
-        if prev is not None:
+        if with_moved:
             st.moved += int(moved)
     return st
 
 
+def lloyd_passes(points: DataFrame, runs: list[tuple[Centroids, Centroids | None]],
+                 method: str = "numpy") -> list[PassStats]:
+    """One pass of several independent runs over a single scan of the points.
+
+    ``method="literal"`` (generated code, one run at a time) is kept for
+    comparison; "numpy" scores all runs in the same task.
+    """
+    if method == "literal":
+        return [_stats(_pass_literal(points, cur, prev), prev is not None) for cur, prev in runs]
+    rows = _pass_numpy(points, runs)
+    return [_stats([row[1:] for row in rows if row[0] == r], prev is not None)
+            for r, (_, prev) in enumerate(runs)]
+
+
+def lloyd_pass(points: DataFrame, cur: Centroids, prev: Centroids | None = None,
+               method: str = "auto") -> PassStats:
+    """Assign, aggregate and (with ``prev``) count moved points in one job."""
+    if method == "auto":
+        method = "numpy" if _numpy_form(cur) else "literal"
+    return lloyd_passes(points, [(cur, prev)], method)[0]
+
+
 # -- init and loop -----------------------------------------------------------------
 
 def init_centroids(points: DataFrame, k: int, init="random", seed: int | None = None) -> Centroids:
@@ -286,19 +304,20 @@ class LloydResult:
         return assign(self.points, self.centroids, keep, method=method)
 
 
-def lloyd(points: DataFrame, k: int, max_iterations: int, init="random",
-          seed: int | None = None, empty: str = "drop", method: str = "numpy",
-          persist: bool = True) -> LloydResult:
-    """Lloyd iterations with the reference's stopping rule.
+def lloyd_many(points: DataFrame, inits: Sequence[Centroids], max_iterations: int,
+               empty: str = "drop", method: str = "numpy",
+               persist: bool = True) -> list[LloydResult]:
+    """Independent Lloyd runs in lockstep, one job per pass for all live runs.
 
-    Pass 0 never tests movement. After pass i > 0, stop when no point changed
-    cluster since pass i-1, or when i == max_iterations; the returned metric
+    Pass 0 never tests movement. After pass i > 0 a run stops when no point
+    changed cluster since pass i-1, or when i == max_iterations; its metric
     belongs to that last assignment, i.e. the centroids *before* the final
-    update, and ``iterations`` is not incremented at the stop.
+    update, and ``iterations`` is not incremented at the stop. Stopped runs
+    drop out of later passes; the others share every scan of the points.
 
     ``points`` must come from :func:`prepare_points`.
 
-    ``method``: "numpy" (default) runs each pass in ``mapInPandas`` with
+    ``method``: "numpy" (default) scores the runs in ``mapInPandas`` with
     per-task partial sums; "literal" keeps the pass in generated JVM code.
     Generated code embeds the centroid values, so the literal form compiles
     a new class every pass (about a second for k * dims = 256); the numpy
@@ -310,17 +329,39 @@ def lloyd(points: DataFrame, k: int, max_iterations: int, init="random",
         raise ValueError("empty must be 'drop' or 'keep'")
     cached = points.persist(StorageLevel.MEMORY_AND_DISK) if persist else points
     try:
-        cur = init_centroids(cached, k, init, seed)
-        prev, iterations, history = None, 0, []
+        state = [{"cur": c, "prev": None, "it": 0, "hist": [], "done": None} for c in inits]
         while True:
-            st = lloyd_pass(cached, cur, prev if iterations > 0 else None, method)
-            history.append({"pass": iterations, "metric": st.metric, "cost": st.cost,
-                            "moved": st.moved, "k": cur.k, "centroids": cur})
-            if (iterations > 0 and st.moved == 0) or iterations == max_iterations:
+            live = [s for s in state if s["done"] is None]
+            if not live:
                 break
-            prev, cur = cur, st.update(cur, empty)
-            iterations += 1
-        return LloydResult(st.metric, iterations, cur, points, history)
+            stats = lloyd_passes(cached, [(s["cur"], s["prev"] if s["it"] > 0 else None)
+                                          for s in live], method)
+            for s, st in zip(live, stats):
+                s["hist"].append({"pass": s["it"], "metric": st.metric, "cost": st.cost,
+                                  "moved": st.moved, "k": s["cur"].k, "centroids": s["cur"]})
+                if (s["it"] > 0 and st.moved == 0) or s["it"] == max_iterations:
+                    s["done"] = st
+                else:
+                    s["prev"], s["cur"] = s["cur"], st.update(s["cur"], empty)
+                    s["it"] += 1
+        return [LloydResult(s["done"].metric, s["it"], s["cur"], points, s["hist"])
+                for s in state]
+    finally:
+        if persist:
+            cached.unpersist()
+
+
+def lloyd(points: DataFrame, k: int, max_iterations: int, init="random",
+          seed: int | None = None, empty: str = "drop", method: str = "numpy",
+          persist: bool = True) -> LloydResult:
+    """One Lloyd run from ``init`` ("random" with ``seed``, "lowest", or
+    :class:`Centroids`); see :func:`lloyd_many` for the loop semantics."""
+    cached = points.persist(StorageLevel.MEMORY_AND_DISK) if persist else points
+    try:
+        cents = init_centroids(cached, k, init, seed)
+        res = lloyd_many(cached, [cents], max_iterations, empty, method, persist=False)[0]
+        res.points = points
+        return res
     finally:
         if persist:
             cached.unpersist()
@@ -330,18 +371,17 @@ def restarts(points: DataFrame, k: int, max_iterations: int, n: int = 5,
              base_seed: int = 0, **kw) -> DataFrame:
     """``n`` runs from random inits with seeds ``base_seed + i``.
 
-    Returns one row per run (restart, seed, metric, iterations); the points
-    are persisted once for all runs instead of being re-read per run.
+    The runs advance together, so each pass reads the points once for all of
+    them (the reference re-reads the input per run). Returns one row per run:
+    restart, seed, metric, iterations.
     """
     cached = points.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        runs = []
-        for i in range(n):
-            res = lloyd(cached, k, max_iterations, init="random", seed=base_seed + i,
-                        persist=False, **kw)
-            runs.append((i, base_seed + i, res.metric, res.iterations))
+        inits = [init_centroids(cached, k, "random", base_seed + i) for i in range(n)]
+        results = lloyd_many(cached, inits, max_iterations, persist=False, **kw)
     finally:
         cached.unpersist()
+    runs = [(i, base_seed + i, r.metric, r.iterations) for i, r in enumerate(results)]
     spark = points.sparkSession
     return spark.createDataFrame(runs, "restart int, seed int, metric double, iterations int")
 
