@@ -51,7 +51,7 @@ def partial_pass(batches, xcols, runs):
     ``runs`` is a list of (C, cids, P, pcids): current centroids and ids, and
     the previous pass's (P None on a run's first pass). Yields one row per
     (run, cluster) seen in this task: count, sum of distances, sum of squared
-    distances, moved count and per-dimension sums.
+    distances, moved count and the per-dimension sums as one array.
     """
     d = len(xcols)
     acc = {}
@@ -78,7 +78,5 @@ def partial_pass(batches, xcols, runs):
         cols = {"run": [key[0] for key in keys], "cid": [key[1] for key in keys],
                 "n": [a[0] for a in vals], "sum_dist": [a[1] for a in vals],
                 "sse": [a[2] for a in vals], "moved": [a[3] for a in vals]}
-        sums = np.vstack([a[4] for a in vals])
-        for j in range(d):
-            cols[f"s{j}"] = sums[:, j]
+        cols["sums"] = [a[4] for a in vals]
         yield pd.DataFrame(cols)

@@ -214,22 +214,30 @@ def _pass_literal(points: DataFrame, cur: Centroids, prev: Centroids | None) ->
 
 
 def _pass_numpy(points: DataFrame, runs: list[tuple[Centroids, Centroids | None]]) -> list:
-    """One job for several runs: rows (run, cid, n, sum_dist, sse, moved, sums)."""
+    """One job for several runs: rows (run, cid, n, sum_dist, sse, sums, moved).
+
+    The per-dimension sums travel as one array per partial row and are merged
+    by MLlib's ``Summarizer.sum`` (partial aggregation per task), so the plan
+    has five aggregates whatever the dimension.
+    """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
     d = runs[0][0].dims
     xcols = [f"_x{j}" for j in range(d)]
     arrays = [(np.asarray(cur.centers, dtype=np.float64), np.asarray(cur.cids, dtype=np.int64),
                None if prev is None else np.asarray(prev.centers, dtype=np.float64),
                None if prev is None else np.asarray(prev.cids, dtype=np.int64))
               for cur, prev in runs]
-    schema = ", ".join(["run int", "cid long", "n long", "sum_dist double", "sse double",
-                        "moved long"] + [f"s{j} double" for j in range(d)])
+    schema = ("run int, cid long, n long, sum_dist double, sse double, moved long, "
+              "sums array<double>")
     parts = points.select(*xcols).mapInPandas(
         lambda it: kernels.partial_pass(it, xcols, arrays), schema)
     aggs = [F.sum(c).alias(c) for c in ["n", "sum_dist", "sse", "moved"]]
-    aggs += [F.sum(f"s{j}").alias(f"s{j}") for j in range(d)]
+    aggs.append(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
     rows = parts.groupBy("run", "cid").agg(*aggs).collect()  # <= runs * k rows
-    return [(r["run"], r["cid"], r["n"], r["sum_dist"], r["sse"],
-             [r[f"s{j}"] for j in range(d)], r["moved"]) for r in rows]
+    return [(r["run"], r["cid"], r["n"], r["sum_dist"], r["sse"], list(r["sums"]), r["moved"])
+            for r in rows]
 
 
 def _stats(rows, with_moved: bool) -> PassStats:
