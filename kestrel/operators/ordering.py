@@ -32,15 +32,21 @@ def with_row_index(df: DataFrame, order_by: str | list[str], name: str = "row_in
     lost executors), and counts and rows are both read from that copy.
     The offsets table has one row per partition, a size fixed by
     ``partitions``, and is broadcast.
-    Rows with equal keys get consecutive indexes in an unspecified order.
+    Rows with equal keys get consecutive indexes in an unspecified order;
+    that freedom is used against skew: a row id is appended to the range key,
+    so one key value holding a large share of the rows is cut across several
+    partitions instead of landing in one task.
     """
     from ..session import checkpoint_dir
 
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
     n = partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
     checkpoint_dir(df.sparkSession)
-    ranged = (df.repartitionByRange(int(n), *keys)
-                .sortWithinPartitions(*keys)
+    tie = F.monotonically_increasing_id().alias("_tie")
+    ranged = (df.select("*", tie)
+                .repartitionByRange(int(n), *keys, "_tie")
+                .sortWithinPartitions(*keys, "_tie")
+                .drop("_tie")
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK)))
                 .checkpoint(eager=True))
