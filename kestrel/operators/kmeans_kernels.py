@@ -11,24 +11,22 @@ import numpy as np
 import pandas as pd
 
 
-def nearest(X: np.ndarray, C: np.ndarray, budget: int = 4_000_000):
+def nearest(X: np.ndarray, C: np.ndarray):
     """Index and distance of the nearest row of C for each row of X.
 
-    Rows are processed in chunks so the n x k x d difference tensor stays
-    under ``budget`` doubles. ``argmin`` keeps the first minimum, the strict
-    ``<`` of the reference.
+    A running minimum over the centroids in order with a strict ``<``: the
+    first minimum wins, as in the reference. Memory is O(rows), whatever k.
     """
-    n, k = X.shape[0], C.shape[0]
-    step = max(1, budget // max(1, k * C.shape[1]))
-    idx = np.empty(n, dtype=np.int64)
-    dist = np.empty(n, dtype=np.float64)
-    for s in range(0, n, step):
-        diff = X[s:s + step, None, :] - C[None, :, :]
-        D = np.sqrt(np.einsum("nkd,nkd->nk", diff, diff))
-        i = np.argmin(D, axis=1)
-        idx[s:s + step] = i
-        dist[s:s + step] = D[np.arange(D.shape[0]), i]
-    return idx, dist
+    n = X.shape[0]
+    best = np.full(n, np.inf)
+    idx = np.zeros(n, dtype=np.int64)
+    for i in range(C.shape[0]):
+        diff = X - C[i]
+        d = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+        better = d < best
+        best[better] = d[better]
+        idx[better] = i
+    return idx, best
 
 
 def assign_batches(batches, xcols, keep, C, cids, with_features):
@@ -50,33 +48,36 @@ def partial_pass(batches, xcols, runs):
 
     ``runs`` is a list of (C, cids, P, pcids): current centroids and ids, and
     the previous pass's (P None on a run's first pass). Yields one row per
-    (run, cluster) seen in this task: count, sum of distances, sum of squared
-    distances, moved count and the per-dimension sums as one array.
+    (run, cluster) with members in this task: count, sum of distances, sum of
+    squared distances, moved count and the per-dimension sums as one array.
+    Group sums are ``bincount``s over the cluster index: O(rows * dims) per
+    batch, whatever k.
     """
     d = len(xcols)
-    acc = {}
+    acc = [None] * len(runs)
     for pdf in batches:
         X = pdf[xcols].to_numpy(dtype=np.float64)
         for r, (C, cids, P, pcids) in enumerate(runs):
+            k = C.shape[0]
             idx, dist = nearest(X, C)
-            cid = cids[idx]
             if P is not None:
-                moved = cid != pcids[nearest(X, P)[0]]
+                moved = (cids[idx] != pcids[nearest(X, P)[0]]).astype(np.float64)
             else:
-                moved = np.zeros(len(cid), dtype=bool)
-            for c in np.unique(cid):
-                m = cid == c
-                a = acc.setdefault((r, int(c)), [0, 0.0, 0.0, 0, np.zeros(d)])
-                a[0] += int(m.sum())
-                a[1] += float(dist[m].sum())
-                a[2] += float((dist[m] ** 2).sum())
-                a[3] += int(moved[m].sum())
-                a[4] += X[m].sum(axis=0)
-    if acc:
-        keys = list(acc)
-        vals = [acc[key] for key in keys]
-        cols = {"run": [key[0] for key in keys], "cid": [key[1] for key in keys],
-                "n": [a[0] for a in vals], "sum_dist": [a[1] for a in vals],
-                "sse": [a[2] for a in vals], "moved": [a[3] for a in vals]}
-        cols["sums"] = [a[4] for a in vals]
-        yield pd.DataFrame(cols)
+                moved = np.zeros(len(idx))
+            part = [np.bincount(idx, minlength=k),
+                    np.bincount(idx, weights=dist, minlength=k),
+                    np.bincount(idx, weights=dist * dist, minlength=k),
+                    np.bincount(idx, weights=moved, minlength=k),
+                    np.column_stack([np.bincount(idx, weights=X[:, j], minlength=k)
+                                     for j in range(d)]) if d else np.zeros((k, 0))]
+            acc[r] = part if acc[r] is None else [a + b for a, b in zip(acc[r], part)]
+    rows = []
+    for r, a in enumerate(acc):
+        if a is None:
+            continue
+        cids = runs[r][1]
+        for i in np.nonzero(a[0])[0]:
+            rows.append((r, int(cids[i]), int(a[0][i]), float(a[1][i]), float(a[2][i]),
+                         int(round(a[3][i])), a[4][i]))
+    if rows:
+        yield pd.DataFrame(rows, columns=["run", "cid", "n", "sum_dist", "sse", "moved", "sums"])
