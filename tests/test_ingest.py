@@ -5,7 +5,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.errors import PySparkException
 
 from kestrel.functions.casts import parse_us_date, to_date, to_type
@@ -101,3 +100,10 @@ def test_csv_multichar_separator(spark):
     text = spark.read.text(d + "/gen").collect()[0].value
     assert text == "9.1, 10.4, 2"
     assert read_csv(spark, d + "/gen", "a double, b double, label int", sep=", ").collect() == df.collect()
+
+
+def test_csv_keeps_corrupt_lines_when_asked(spark):
+    bad = _write(["1.0,2.0,a", "oops,2.0,b"])
+    schema = "x double, y double, label string, _bad string"
+    rows = read_csv(spark, bad, schema, corrupt_column="_bad").collect()
+    assert rows[0]._bad is None and rows[1]._bad == "oops,2.0,b" and rows[1].x is None

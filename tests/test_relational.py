@@ -109,3 +109,17 @@ def test_row_id_unique_and_sample_distinct(spark):
     s2 = [r.x for r in sample_k(df, 5, seed=3).collect()]
     assert len(set(s1)) == 5 and s1 == s2
     assert [r.x for r in lowest_k(df, 3, "x").collect()] == [0, 1, 2]
+
+
+def test_vector_aggregates_two_forms(spark):
+    from kestrel.operators.vectors import (explode_vector, vector_mean_by_key,
+                                           vector_mean_by_key_summarizer, vector_sum_by_key)
+    rows = [(0, [1.0, 2.0]), (0, [3.0, 4.0]), (1, [5.0, -1.0])]
+    df = spark.createDataFrame(rows, "k int, v array<float>")
+    wide = {r.k: r.mean for r in vector_mean_by_key(df, "k", "v").collect()}
+    summ = {r.k: r.mean for r in vector_mean_by_key_summarizer(df, "k", "v").collect()}
+    assert wide == summ == {0: [2.0, 3.0], 1: [5.0, -1.0]}
+    sums = {r.k: r["sum"] for r in vector_sum_by_key(df, "k", "v").collect()}
+    assert sums == {0: [4.0, 6.0], 1: [5.0, -1.0]}
+    ex = explode_vector(df.filter("k = 1"), "v").collect()
+    assert [(r.pos, r.value) for r in ex] == [(0, 5.0), (1, -1.0)]
