@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.casts import format_us_date, parse_us_date, to_date, to_type
+from ..functions.casts import format_us_date, parse_us_date, text_to_type, to_date
 from ..functions.strings import strip_ws
 from ..operators.ordering import with_row_index
 from ..session import scratch_path
@@ -92,9 +92,9 @@ def typed_cast(spark, data_dir):
     text = o.select("o_orderkey", F.col("o_custkey").cast("string").alias("cid"),
                     F.col("o_totalprice").cast("int").cast("string").alias("total"),
                     F.col("o_orderpriority").alias("bad_int"))
-    return text.select("o_orderkey", to_type("cid", "double").alias("cid"),
-                       to_type("total", "int").alias("total"),
-                       to_type("bad_int", "int").alias("bad_int"))
+    return text.select("o_orderkey", text_to_type("cid", "double").alias("cid"),
+                       text_to_type("total", "int").alias("total"),
+                       text_to_type("bad_int", "int").alias("bad_int"))
 
 
 @query("typed_cast_date", oracle="""

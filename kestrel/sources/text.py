@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.casts import to_type
+from ..functions.casts import text_to_type
 from ..functions.strings import field, split_fields, strip_ws
 
 
@@ -51,7 +51,7 @@ def apply_schema(parts: DataFrame, names: Sequence[str],
         if name in strip:
             c = strip_ws(c)
         if typ is not None:
-            c = to_type(c, typ, strict)
+            c = text_to_type(c, typ, strict)
         cols.append(c.alias(name))
     return parts.select(*cols)
 

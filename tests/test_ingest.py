@@ -5,6 +5,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.errors import PySparkException
 
 from kestrel.functions.casts import parse_us_date, to_date, to_type
@@ -107,3 +108,16 @@ def test_csv_keeps_corrupt_lines_when_asked(spark):
     schema = "x double, y double, label string, _bad string"
     rows = read_csv(spark, bad, schema, corrupt_column="_bad").collect()
     assert rows[0]._bad is None and rows[1]._bad == "oops,2.0,b" and rows[1].x is None
+
+
+def test_integral_guard_accepts_everything_try_cast_accepts(spark):
+    import random
+    from kestrel.functions.casts import text_to_type
+    alpha = list("0123456789") * 3 + list("+-. \t\n\r\x0b\x0c\x00\x1f\xa0　 eExLd٣０_,")
+    rnd = random.Random(5)
+    vals = {"".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 6))) for _ in range(20000)}
+    vals |= {"3", " 3 ", "\t3\n", "3.0", "+3", "-0", "2147483648", "\x003\x00", "　3", None}
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    for t in ("int", "bigint", "smallint"):
+        bad = df.filter(~F.col("s").try_cast(t).eqNullSafe(text_to_type("s", t))).count()
+        assert bad == 0, t
