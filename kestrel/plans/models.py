@@ -1,9 +1,10 @@
 """Feature indexing, logistic regression, MLlib k-means, the Lloyd loop and the
 generator, on the driver's tables.
 
-String indexing has a DuckDB oracle. The rest is iterative or random (model
-fits, seeded samples, convergence loops); those keys have no oracle and are
-checked by properties in ``tests/test_models.py``.
+String indexing and the deterministic Lloyd loop (``lloyd_converge``, as a
+recursive CTE) have DuckDB oracles. The rest is random or model-fitting
+(model fits, seeded samples and inits); those keys have no oracle and are
+checked by properties in ``tests/test_models.py`` and ``tests/test_lloyd.py``.
 """
 
 from __future__ import annotations
@@ -150,7 +151,7 @@ def kmeans_ml_report(spark, data_dir):
     return pct.withColumn("training_cost", F.lit(cluster_ml.training_cost(model)))
 
 
-# -- Lloyd loop (rows-only) -----------------------------------------------------------------
+# -- Lloyd loop -----------------------------------------------------------------
 
 def _embedding_points(spark, data_dir):
     emb = load_table(spark, data_dir, "embeddings")
@@ -163,12 +164,66 @@ def _history_df(spark, res: L.LloydResult):
     return spark.createDataFrame(rows, "pass int, metric double, cost double, moved long, k int")
 
 
-@query("lloyd_converge")
+# The loop as a recursive CTE: the working rows carry the current ('cur') and
+# previous ('prev') centroids; a step runs while no pass has been compared
+# yet or some point moved, and below 100 passes.
+_CONVERGE_SQL = """WITH RECURSIVE
+pts AS (
+  SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos,
+         CAST(unnest(embedding) AS DOUBLE) AS v
+  FROM embeddings),
+init AS (
+  SELECT vec_id, CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS cid
+  FROM embeddings ORDER BY vec_id LIMIT 4),
+loop(it, role, cid, pos, v) AS (
+  SELECT 0, 'cur', i.cid, p.pos, p.v FROM init i JOIN pts p USING (vec_id)
+  UNION ALL
+  SELECT * FROM (
+    WITH w AS (SELECT * FROM loop),
+    dist AS (
+      SELECT w.role, p.vec_id, w.cid, sqrt(sum((p.v - w.v) * (p.v - w.v))) AS d
+      FROM pts p JOIN w ON p.pos = w.pos GROUP BY w.role, p.vec_id, w.cid),
+    asg AS (
+      SELECT role, vec_id, cid FROM dist
+      QUALIFY row_number() OVER (PARTITION BY role, vec_id ORDER BY d, cid) = 1),
+    mv AS (
+      SELECT count(*) FILTER (WHERE a.cid <> b.cid) AS moved, count(b.cid) AS has_prev
+      FROM asg a LEFT JOIN asg b ON a.vec_id = b.vec_id AND b.role = 'prev'
+      WHERE a.role = 'cur'),
+    go AS (SELECT (SELECT any_value(it) FROM w) AS it FROM mv
+           WHERE (has_prev = 0 OR moved > 0) AND (SELECT any_value(it) FROM w) < 100)
+    SELECT go.it + 1, 'cur', a.cid, p.pos, avg(p.v)
+    FROM go, asg a JOIN pts p USING (vec_id) WHERE a.role = 'cur'
+    GROUP BY go.it, a.cid, p.pos
+    UNION ALL
+    SELECT go.it + 1, 'prev', w.cid, w.pos, w.v FROM go, w WHERE w.role = 'cur'
+  )
+),
+dist AS (
+  SELECT l.it, l.role, p.vec_id, l.cid, sqrt(sum((p.v - l.v) * (p.v - l.v))) AS d
+  FROM pts p JOIN loop l ON p.pos = l.pos GROUP BY l.it, l.role, p.vec_id, l.cid),
+asg AS (
+  SELECT it, role, vec_id, cid, d FROM dist
+  QUALIFY row_number() OVER (PARTITION BY it, role, vec_id ORDER BY d, cid) = 1),
+per AS (
+  SELECT it, cid, avg(d) AS m, sum(d * d) AS sse FROM asg WHERE role = 'cur' GROUP BY it, cid)
+SELECT CAST(p.it AS INTEGER) AS pass, round(sum(p.m), 6) AS metric, round(sum(p.sse), 6) AS cost,
+       (SELECT CASE WHEN p.it = 0 THEN NULL ELSE count(*) FILTER (WHERE a.cid <> b.cid) END
+        FROM asg a JOIN asg b ON a.vec_id = b.vec_id AND a.it = b.it
+        WHERE a.it = p.it AND a.role = 'cur' AND b.role = 'prev') AS moved,
+       CAST(count(*) AS INTEGER) AS k
+FROM per p GROUP BY p.it ORDER BY p.it
+"""
+
+
+@query("lloyd_converge", oracle=_CONVERGE_SQL)
 def lloyd_converge(spark, data_dir):
     """k = 4 from the lowest ids until no point moves (at most 100 passes);
     one row per pass: metric (A10), cost (M10), moved count (M16), k."""
     res = L.lloyd(_embedding_points(spark, data_dir), 4, 100, init="lowest")
-    return _history_df(spark, res)
+    hist = _history_df(spark, res)
+    return hist.select("pass", F.round("metric", 6).alias("metric"),
+                       F.round("cost", 6).alias("cost"), "moved", "k")
 
 
 @query("lloyd_restarts")
