@@ -423,3 +423,51 @@ def update_centroids(assigned_with_features: DataFrame, dims: int,
     aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(f"_x{j}").alias(f"_m{j}") for j in range(dims)]
     res = assigned_with_features.groupBy(cid_col).agg(*aggs)
     return res.select(cid_col, F.array(*[F.col(f"_m{j}") for j in range(dims)]).alias("center"), "n")
+
+
+# -- estimator-style entry point -----------------------------------------------------
+
+class LloydModel:
+    """Fitted centroids with the loop's result; scores any DataFrame of vectors."""
+
+    def __init__(self, result: LloydResult, features_col: str, id_col: str):
+        self.result, self.features_col, self.id_col = result, features_col, id_col
+
+    @property
+    def centroids(self) -> Centroids:
+        return self.result.centroids
+
+    @property
+    def metric(self) -> float:
+        return self.result.metric
+
+    @property
+    def iterations(self) -> int:
+        return self.result.iterations
+
+    def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        """``id``, ``keep`` columns, ``cid`` and ``dist`` of every row of ``df``."""
+        pts, _ = prepare_points(df, self.features_col, self.id_col, self.centroids.dims, keep)
+        return assign(pts, self.centroids, keep=["id", *keep]).withColumnRenamed("id", self.id_col)
+
+    def centers(self, spark: SparkSession) -> DataFrame:
+        return self.centroids.to_df(spark)
+
+    def history(self, spark: SparkSession) -> DataFrame:
+        rows = [(h["pass"], float(h["metric"]), float(h["cost"]), h["moved"], h["k"])
+                for h in self.result.history]
+        return spark.createDataFrame(rows, "pass int, metric double, cost double, moved long, k int")
+
+
+class LloydKMeans:
+    """``LloydKMeans(k, max_iterations).fit(df)`` -> :class:`LloydModel`."""
+
+    def __init__(self, k: int, max_iterations: int = 20, init="random", seed: int | None = None,
+                 empty: str = "drop", method: str = "numpy"):
+        self.k, self.max_iterations, self.init, self.seed = k, max_iterations, init, seed
+        self.empty, self.method = empty, method
+
+    def fit(self, df: DataFrame, features_col: str = "features", id_col: str = "id") -> LloydModel:
+        pts, _ = prepare_points(df, features_col, id_col)
+        res = lloyd(pts, self.k, self.max_iterations, self.init, self.seed, self.empty, self.method)
+        return LloydModel(res, features_col, id_col)

@@ -161,3 +161,14 @@ def test_separate_operators_agree_with_pass_stats(spark):
     a1 = L.assign(prepared, c1)
     moved = L.moved_points(a1, a).count()
     assert moved == L.lloyd_pass(prepared, c1, c0).moved
+
+
+def test_estimator_api(spark):
+    pts, df = _fixture(spark, n=120)
+    model = L.LloydKMeans(3, 30, init="lowest").fit(df, "features", "id")
+    out = model.transform(df)
+    assert out.columns == ["id", "cid", "dist"] and out.count() == 120
+    assert model.centers(spark).count() == model.centroids.k
+    assert model.history(spark).count() == model.iterations + 1
+    metric, iterations, _ = brute_lloyd(pts, [pts[i] for i in range(3)], 30)
+    assert model.iterations == iterations and model.metric == pytest.approx(metric, rel=1e-12)
