@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import affine, drop_last, euclidean
 from ..operators.features import assemble
-from ..operators.vectors import explode_vector, vector_mean_by_key, vector_sum_by_key
+from ..operators.vectors import dims_of, explode_vector, vector_mean_by_key, vector_sum_by_key
 from ..sources.tables import load_table
 from .registry import query
 
@@ -61,10 +61,11 @@ def euclidean_distance(spark, data_dir):
     back on the label is broadcast by size, not by hint.
     """
     emb = load_table(spark, data_dir, "embeddings")
-    means = vector_mean_by_key(emb, "label", "embedding", out="m", count_col=None)
+    d = dims_of(emb, "embedding")
+    means = vector_mean_by_key(emb, "label", "embedding", dims=d, out="m", count_col=None)
     joined = emb.join(means, "label")
     return joined.select("vec_id", "label",
-                         F.round(euclidean(_doubles("embedding"), "m"), 6).alias("dist"))
+                         F.round(euclidean("embedding", "m", dims=d), 6).alias("dist"))
 
 
 @query("vector_sum_by_key", oracle="""

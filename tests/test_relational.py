@@ -123,3 +123,12 @@ def test_vector_aggregates_two_forms(spark):
     assert sums == {0: [4.0, 6.0], 1: [5.0, -1.0]}
     ex = explode_vector(df.filter("k = 1"), "v").collect()
     assert [(r.pos, r.value) for r in ex] == [(0, 5.0), (1, -1.0)]
+
+
+def test_euclidean_forms_agree_and_zip_to_shorter(spark):
+    from kestrel.functions.arrays import euclidean
+    df = spark.createDataFrame([([0.0, 3.0, 9.0], [4.0, 0.0, 9.0]), ([1.0, 1.0], [1.0, 1.0, 5.0])],
+                               "a array<double>, b array<double>")
+    hof = [r[0] for r in df.select(euclidean("a", "b")).collect()]
+    assert hof == [5.0, 0.0]
+    assert df.limit(1).select(euclidean("a", "b", dims=3)).collect()[0][0] == 5.0
