@@ -16,10 +16,6 @@ AFFINE_OFFSET = 10.0
 AFFINE_SCALE = 2.0
 
 
-def _doubles(c: str):
-    return F.transform(F.col(c), lambda x: x.cast("double"))
-
-
 @query("array_drop_last", oracle="""
 SELECT vec_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos,
        CAST(unnest(l) AS DOUBLE) AS value
@@ -28,8 +24,9 @@ FROM (SELECT vec_id, embedding[1:len(embedding) - 1] AS l FROM embeddings)
 def array_drop_last(spark, data_dir):
     """every element but the last, one row per element."""
     emb = load_table(spark, data_dir, "embeddings")
-    arr = emb.select("vec_id", drop_last(_doubles("embedding")).alias("v"))
-    return explode_vector(arr, "v")
+    arr = emb.select("vec_id", drop_last("embedding").alias("v"))
+    out = explode_vector(arr, "v")
+    return out.withColumn("value", F.col("value").cast("double"))
 
 
 @query("array_affine", oracle="""
@@ -40,7 +37,8 @@ FROM embeddings
 def array_affine(spark, data_dir):
     """element-wise 10 + 2x."""
     emb = load_table(spark, data_dir, "embeddings")
-    arr = emb.select("vec_id", affine(_doubles("embedding"), AFFINE_OFFSET, AFFINE_SCALE).alias("v"))
+    # FLOAT elements are widened exactly by the DOUBLE arithmetic
+    arr = emb.select("vec_id", affine("embedding", AFFINE_OFFSET, AFFINE_SCALE).alias("v"))
     return explode_vector(arr, "v")
 
 
