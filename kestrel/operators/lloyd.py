@@ -143,6 +143,30 @@ def assign(points: DataFrame, cents: Centroids, keep: Sequence[str] = ("id",),
     return out.select(*keep, "cid", "dist", *(xcols if with_features else []))
 
 
+# Centroid data above this size goes to executors as a broadcast variable
+# (once per executor) instead of inside every task's closure.
+SHIP_BROADCAST_BYTES = 1 << 20
+
+
+def _ship(spark: SparkSession, obj):
+    """(getter, release) for numpy centroid data used inside tasks.
+
+    The size is k * dims * runs numbers, fixed by the parameters, not by the
+    data; small sets ride in the closure, large ones are broadcast.
+    """
+    def nbytes(o):
+        if isinstance(o, np.ndarray):
+            return o.nbytes
+        if isinstance(o, (list, tuple)):
+            return sum(nbytes(x) for x in o)
+        return 0
+
+    if nbytes(obj) <= SHIP_BROADCAST_BYTES:
+        return (lambda: obj), (lambda: None)
+    bc = spark.sparkContext.broadcast(obj)
+    return (lambda: bc.value), bc.destroy
+
+
 def _assign_numpy(points: DataFrame, cents: Centroids, keep: Sequence[str],
                   with_features: bool) -> DataFrame:
     C = np.asarray(cents.centers, dtype=np.float64)
@@ -154,8 +178,9 @@ def _assign_numpy(points: DataFrame, cents: Centroids, keep: Sequence[str],
                        + ["cid int", "dist double"]
                        + ([f"{c} double" for c in xcols] if with_features else []))
     keep = list(keep)
+    get, _ = _ship(points.sparkSession, (C, cids))  # lives as long as the DataFrame
     return src.mapInPandas(
-        lambda it: kernels.assign_batches(it, xcols, keep, C, cids, with_features), schema)
+        lambda it: kernels.assign_batches(it, xcols, keep, *get(), with_features), schema)
 
 
 # -- one pass ----------------------------------------------------------------
@@ -231,11 +256,15 @@ def _pass_numpy(points: DataFrame, runs: list[tuple[Centroids, Centroids | None]
               for cur, prev in runs]
     schema = ("run int, cid long, n long, sum_dist double, sse double, moved long, "
               "sums array<double>")
+    get, release = _ship(points.sparkSession, arrays)
     parts = points.select(*xcols).mapInPandas(
-        lambda it: kernels.partial_pass(it, xcols, arrays), schema)
+        lambda it: kernels.partial_pass(it, xcols, get()), schema)
     aggs = [F.sum(c).alias(c) for c in ["n", "sum_dist", "sse", "moved"]]
     aggs.append(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
-    rows = parts.groupBy("run", "cid").agg(*aggs).collect()  # <= runs * k rows
+    try:
+        rows = parts.groupBy("run", "cid").agg(*aggs).collect()  # <= runs * k rows
+    finally:
+        release()
     return [(r["run"], r["cid"], r["n"], r["sum_dist"], r["sse"], list(r["sums"]), r["moved"])
             for r in rows]
 

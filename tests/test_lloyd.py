@@ -172,3 +172,15 @@ def test_estimator_api(spark):
     assert model.history(spark).count() == model.iterations + 1
     metric, iterations, _ = brute_lloyd(pts, [pts[i] for i in range(3)], 30)
     assert model.iterations == iterations and model.metric == pytest.approx(metric, rel=1e-12)
+
+
+def test_large_centroid_sets_are_broadcast(spark, monkeypatch):
+    pts, df = _fixture(spark, n=150)
+    prepared, _ = L.prepare_points(df, "features", "id")
+    init = L.Centroids.of([pts[i] for i in range(3)])
+    small = L.lloyd(prepared, 3, 10, init=init)
+    monkeypatch.setattr(L, "SHIP_BROADCAST_BYTES", 0)
+    big = L.lloyd(prepared, 3, 10, init=init)
+    assert (big.iterations, big.metric) == (small.iterations, small.metric)
+    a = {r.id: r.cid for r in L.assign(prepared, big.centroids).collect()}
+    assert a == {r.id: r.cid for r in small.assignment().collect()}
