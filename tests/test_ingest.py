@@ -121,3 +121,18 @@ def test_integral_guard_accepts_everything_try_cast_accepts(spark):
     for t in ("int", "bigint", "smallint"):
         bad = df.filter(~F.col("s").try_cast(t).eqNullSafe(text_to_type("s", t))).count()
         assert bad == 0, t
+
+
+def test_strip_matches_python_on_random_text(spark):
+    from hypothesis import given, settings, strategies as st
+
+    alphabet = st.sampled_from(list("ab Z\t\n\r\x0b\x0c\x1c\x1f\x85\xa0 ​　﻿é"))
+    texts = st.lists(st.text(alphabet, max_size=8), min_size=1, max_size=40)
+
+    @settings(max_examples=5, deadline=None)
+    @given(texts)
+    def check(vals):
+        df = spark.createDataFrame([(v,) for v in vals], "s string")
+        assert [r[0] for r in df.select(strip_ws("s")).collect()] == [v.strip() for v in vals]
+
+    check()

@@ -90,3 +90,8 @@ def test_gaussian_generator(spark):
 
 def test_range_source(spark):
     assert [r.id for r in range_source(spark, 5).collect()] == [0, 1, 2, 3, 4]
+
+
+def test_learnable_target_is_learned(spark):
+    acc = entry_mod.queries()["logreg_accuracy"](spark, SF001).collect()[0]
+    assert acc.total > 0 and acc.accuracy > 0.99
