@@ -22,8 +22,9 @@ def duck(data_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
-    if isinstance(v, float) and math.isnan(v):
-        return "nan"
+    if isinstance(v, float):
+        # repr keeps what a value hash sees: -0.0 differs from 0.0
+        return "nan" if math.isnan(v) else repr(v)
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
     return v
