@@ -45,12 +45,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark import StorageLevel
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyspark import cloudpickle
-
 from ..functions.arrays import squared_distance_to
 from . import kmeans_kernels as kernels
 from .ordering import lowest_k, sample_k
