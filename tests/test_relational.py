@@ -132,3 +132,12 @@ def test_euclidean_forms_agree_and_zip_to_shorter(spark):
     hof = [r[0] for r in df.select(euclidean("a", "b")).collect()]
     assert hof == [5.0, 0.0]
     assert df.limit(1).select(euclidean("a", "b", dims=3)).collect()[0][0] == 5.0
+
+
+def test_recall_on_empty_input_and_name_in_two_months(spark, people):
+    empty = spark.createDataFrame([], "y double, prediction double")
+    rows = sorted(tuple(r) for r in metrics.class_recall(empty).collect())
+    assert rows == [(0.0, 0, 0, None), (1.0, 0, 0, None)]
+    more = people.union(spark.createDataFrame([(7.0, dt.date(2013, 7, 2), "Cid")], people.schema))
+    got = sorted(r.name for r in rel.distinct_in_month(more, "startDate", 7, ["name"]).collect())
+    assert got == ["Bea", "Bob", "Cid"]  # Cid also has an August row; counted once
