@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# --- fixed values ---
 # Month/day/year text, the form the unused UDF of the reference was aimed at.
 US_DATE_FORMAT = "MM/dd/yyyy"
+# ---
 
 # Every text Spark's tolerant integral cast accepts has this shape: ASCII
 # digits, one optional sign, characters up to U+0020 around them (checked

@@ -19,8 +19,12 @@ from pyspark.sql import functions as F
 from .features import assembler, string_indexer
 from .relational import binarize
 
+# --- fixed values (the reference's regression settings) ---
 REG_PARAM = 0.03
 ELASTIC_NET = 0.8
+MAX_ITER_FOUR_FEATURES = 10
+MAX_ITER_CONNECTION_RECORDS = 100
+# ---
 
 
 def logistic_regression(features_col: str = "features", label_col: str = "y",

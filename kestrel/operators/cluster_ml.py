@@ -23,8 +23,14 @@ def with_vector(df: DataFrame, array_col: str, out: str = "features") -> DataFra
     return df.withColumn(out, array_to_vector(F.transform(array_col, lambda x: x.cast("double"))))
 
 
-def fit(df: DataFrame, k: int = 3, seed: int = 1, features_col: str = "features",
-        max_iter: int = 20) -> KMeansModel:
+# --- fixed values (the reference's MLlib k-means settings) ---
+DEFAULT_K = 3
+DEFAULT_SEED = 1
+# ---
+
+
+def fit(df: DataFrame, k: int = DEFAULT_K, seed: int = DEFAULT_SEED,
+        features_col: str = "features", max_iter: int = 20) -> KMeansModel:
     return KMeans(k=k, seed=seed, featuresCol=features_col, maxIter=max_iter).fit(df)
 
 

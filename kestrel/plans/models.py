@@ -87,7 +87,8 @@ def _labelled_lineitem(spark, data_dir):
 
 def _kdd_model(spark, data_dir):
     train, test = _labelled_lineitem(spark, data_dir)
-    model = classify.fit(train, _NUMERIC, _CATEGORICAL, "y", max_iter=100)
+    model = classify.fit(train, _NUMERIC, _CATEGORICAL, "y",
+                         max_iter=classify.MAX_ITER_CONNECTION_RECORDS)
     return model, test
 
 
@@ -118,7 +119,7 @@ def logreg_accuracy(spark, data_dir):
     li = load_table(spark, data_dir, "lineitem")
     li = li.withColumn("y", (F.col("l_quantity") > 25).cast("float"))
     train, test = li.filter(_before("l_shipdate", SHIP_SPLIT)), li.filter(~_before("l_shipdate", SHIP_SPLIT))
-    model = classify.fit(train, _NUMERIC, (), "y", max_iter=10)
+    model = classify.fit(train, _NUMERIC, (), "y", max_iter=classify.MAX_ITER_FOUR_FEATURES)
     return metrics.accuracy(classify.score(model, test), "y", "prediction")
 
 

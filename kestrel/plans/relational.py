@@ -15,7 +15,7 @@ from ..operators import metrics, relational as rel
 from ..sources.tables import load_table, register_tables
 from .registry import query
 
-JULY = 7
+JULY = 7  # fixed value: the month the reference's queries select
 
 LIKE_JOIN_SQL = """
 SELECT C.c_custkey AS cid, O.o_totalprice AS total

@@ -13,6 +13,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# --- fixed values (the reference's generator: 10 + s * N(0, 1), seed 1) ---
+MEAN = 10.0
+SEED = 1
+# ---
+
 
 def range_source(spark: SparkSession, n: int, partitions: int | None = None) -> DataFrame:
     """Rows ``id`` = 0 .. n-1."""
@@ -21,7 +26,7 @@ def range_source(spark: SparkSession, n: int, partitions: int | None = None) ->
 
 def gaussian_points(spark: SparkSession, n: int, dims: int = 4, k: int = 3,
                     partitions: int | None = None, std: float = 1.0,
-                    mean: float = 10.0, seed: int = 1,
+                    mean: float = MEAN, seed: int = SEED,
                     as_array: bool = False) -> DataFrame:
     """``n`` rows of ``dims`` values ``mean + std * N(0, 1)`` and a label in [0, k-1].
 
