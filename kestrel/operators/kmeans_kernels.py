@@ -11,22 +11,50 @@ import numpy as np
 import pandas as pd
 
 
-def nearest(X: np.ndarray, C: np.ndarray):
+def _exact(X: np.ndarray, C: np.ndarray) -> np.ndarray:
+    """Exact distances of every row of X to every row of C (rows x k)."""
+    out = np.empty((X.shape[0], C.shape[0]))
+    for i in range(C.shape[0]):
+        diff = X - C[i]
+        out[:, i] = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+    return out
+
+
+def nearest(X: np.ndarray, C: np.ndarray, budget: int = 4_000_000):
     """Index and distance of the nearest row of C for each row of X.
 
-    A running minimum over the centroids in order with a strict ``<``: the
-    first minimum wins, as in the reference. Memory is O(rows), whatever k.
+    Exactly the reference's rule - the first centroid, in order, at the
+    smallest Euclidean distance - at matrix-product speed:
+
+    1. squared distances through BLAS, ||x||^2 - 2 x.c + ||c||^2;
+    2. every centroid within the rounding bound of a row's best value is a
+       candidate (the true minimum is always one of them);
+    3. rows with one candidate take it; rows with several (near-ties) are
+       decided on exact distances, first minimum winning;
+    4. the returned distance is recomputed exactly from the differences.
+
+    Rows go in chunks so the rows x k matrix stays under ``budget`` numbers.
     """
-    n = X.shape[0]
-    best = np.full(n, np.inf)
+    n, k, d = X.shape[0], C.shape[0], C.shape[1]
     idx = np.zeros(n, dtype=np.int64)
-    for i in range(C.shape[0]):
-        diff = X - C[i]
-        d = np.sqrt(np.einsum("ij,ij->i", diff, diff))
-        better = d < best
-        best[better] = d[better]
-        idx[better] = i
-    return idx, best
+    cc = np.einsum("ij,ij->i", C, C)
+    # float64 rounding of the expansion stays far below this (about 4 d eps)
+    rel = 1e-12 * max(d, 1)
+    step = max(1, budget // max(1, k))
+    for s in range(0, n, step):
+        Xs = X[s:s + step]
+        xx = np.einsum("ij,ij->i", Xs, Xs)
+        D = xx[:, None] - 2.0 * (Xs @ C.T) + cc[None, :]
+        best = D.min(axis=1)
+        tol = rel * (xx + cc.max())
+        cand = D <= (best + 2.0 * tol)[:, None]
+        pick = np.argmax(cand, axis=1)
+        ties = np.nonzero(cand.sum(axis=1) > 1)[0]
+        if len(ties):
+            pick[ties] = np.argmin(_exact(Xs[ties], C), axis=1)
+        idx[s:s + step] = pick
+    diff = X - C[idx]
+    return idx, np.sqrt(np.einsum("ij,ij->i", diff, diff))
 
 
 def assign_batches(batches, xcols, keep, C, cids, with_features):
