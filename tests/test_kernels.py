@@ -46,3 +46,12 @@ def test_partial_pass_sums_match_numpy():
         m = idx == [7, 8, 9].index(r.cid)
         assert r.n == m.sum() and np.isclose(r.sum_dist, dist[m].sum())
         assert np.allclose(r.sums, X[m].sum(axis=0)) and r.moved == 0
+
+
+def test_direct_and_matrix_forms_agree():
+    rng = np.random.default_rng(3)
+    X = 10 + 2 * rng.normal(size=(2000, 16))
+    C = X[:12].copy()
+    a_idx, a_d = K._nearest_direct(X, C)
+    b_idx, b_d = K.nearest(X, C)  # 12 centroids: matrix form
+    assert (a_idx == b_idx).all() and np.allclose(a_d, b_d, rtol=0, atol=1e-12)
