@@ -4,6 +4,12 @@ The reference fits one ``StringIndexer`` per column, on the training set and
 then *again* on the test set (D9), so a category can get different codes in
 the two. Here one fitted model is applied to both; values not seen in fitting
 get the extra code ``numLabels`` (``handleInvalid="keep"``).
+
+MLlib's indexer brings every distinct label to the driver and ships the map
+to the executors: right for the reference's few categories (protocol,
+service, flag). :func:`index_by_frequency` gives the same codes with the
+label table kept distributed, for columns whose distinct values grow with
+the data.
 """
 
 from __future__ import annotations
@@ -60,3 +66,38 @@ def index_columns(train: DataFrame, apply_to: DataFrame, input_cols: Sequence[st
                   handle_invalid: str = "keep") -> DataFrame:
     """Fit on ``train``, code ``apply_to`` with the same labels."""
     return index_in_place(fit_indexer(train, input_cols, handle_invalid), apply_to, input_cols)
+
+
+def frequency_codes(train: DataFrame, col: str, code: str = "code") -> DataFrame:
+    """(value, code): 0-based DOUBLE codes, most frequent value first, ties by
+    value - the labels of a fitted ``StringIndexer``, computed without the
+    driver: counts by ``groupBy``, ranks by the range-partitioned row index.
+    NULL is not a label. Ties compare values in Spark's string order (code
+    points); MLlib's indexer compares UTF-16 units, which differs only between
+    characters above U+FFFF and those in U+E000-U+FFFF.
+    """
+    from .ordering import with_row_index
+
+    counts = train.where(F.col(col).isNotNull()).groupBy(col).count()
+    ranked = with_row_index(counts, [F.col("count").desc(), F.col(col).asc()], name="_rank")
+    return ranked.select(col, F.col("_rank").cast("double").alias(code))
+
+
+def index_by_frequency(train: DataFrame, apply_to: DataFrame, cols, handle_invalid: str = "keep"):
+    """Replace each column in ``cols`` by its frequency code fitted on ``train``.
+
+    The scale-safe form of :func:`index_columns` for columns with many
+    distinct values: the label table stays a DataFrame and is joined back
+    (broadcast only when Spark's size estimate allows it, otherwise a
+    sort-merge join with AQE skew splitting). Unseen values and NULL get the
+    code ``number of labels`` (``"keep"``) or drop the row (``"skip"``).
+    """
+    if handle_invalid not in ("keep", "skip"):
+        raise ValueError("handle_invalid must be 'keep' or 'skip'")
+    out = apply_to
+    for c in cols:
+        codes = frequency_codes(train, c, code="_code")
+        n_labels = codes.count()  # one number
+        out = out.join(codes, c, "left" if handle_invalid == "keep" else "inner")
+        out = out.withColumn(c, F.coalesce(F.col("_code"), F.lit(float(n_labels)))).drop("_code")
+    return out

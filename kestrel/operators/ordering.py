@@ -13,7 +13,7 @@ def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def with_row_index(df: DataFrame, order_by: str | list[str], name: str = "row_index",
+def with_row_index(df: DataFrame, order_by, name: str = "row_index",
                    partitions: int | None = None) -> DataFrame:
     """Consecutive 0-based index in ``order_by`` order (W3, ``zipWithIndex``).
 
@@ -39,7 +39,7 @@ def with_row_index(df: DataFrame, order_by: str | list[str], name: str = "row_in
     """
     from ..session import checkpoint_dir
 
-    keys = [order_by] if isinstance(order_by, str) else list(order_by)
+    keys = list(order_by) if isinstance(order_by, (list, tuple)) else [order_by]
     n = partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
     checkpoint_dir(df.sparkSession)
     tie = F.monotonically_increasing_id().alias("_tie")

@@ -95,3 +95,16 @@ def test_range_source(spark):
 def test_learnable_target_is_learned(spark):
     acc = entry_mod.queries()["logreg_accuracy"](spark, SF001).collect()[0]
     assert acc.total > 0 and acc.accuracy > 0.99
+
+
+def test_distributed_indexer_matches_mllib(spark):
+    ev = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    train, test = ev.filter("l_linenumber > 1"), ev.filter("l_linenumber <= 2")
+    cols = ["l_returnflag", "l_linestatus"]
+    a = features.index_columns(train, test, cols).select("l_orderkey", "l_linenumber", *cols)
+    b = features.index_by_frequency(train, test, cols).select("l_orderkey", "l_linenumber", *cols)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    small_train = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "t string")
+    small_test = spark.createDataFrame([("a",), ("b",), ("c",), ("zzz",), (None,)], "t string")
+    got = [r.t for r in features.index_by_frequency(small_train, small_test, ["t"]).collect()]
+    assert sorted(got) == sorted([1.0, 2.0, 0.0, 3.0, 3.0])
