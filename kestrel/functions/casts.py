@@ -27,10 +27,22 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _strict(col: Column, converted: Column, what: str) -> Column:
+    """``converted``, failing the query where a present value does not convert.
+
+    Independent of ``spark.sql.ansi.enabled``: a session with ANSI off would
+    otherwise turn a strict cast into a silent NULL.
+    """
+    bad = col.isNotNull() & converted.isNull()
+    msg = F.concat(F.lit(f"cannot convert to {what}: "), col.cast("string"))
+    return F.when(bad, F.raise_error(msg)).otherwise(converted)
+
+
 def to_type(c, data_type, strict: bool = False) -> Column:
     """Cast to ``data_type`` ("double", "int", "float", ... or a DataType)."""
     col = _col(c)
-    return col.cast(data_type) if strict else col.try_cast(data_type)
+    name = data_type if isinstance(data_type, str) else data_type.simpleString()
+    return _strict(col, col.try_cast(data_type), name) if strict else col.try_cast(data_type)
 
 
 def text_to_type(c, data_type, strict: bool = False) -> Column:
@@ -53,7 +65,8 @@ def to_date(c, fmt: str | None = None, strict: bool = False) -> Column:
     col = _col(c)
     if fmt is None:
         return to_type(col, "date", strict)
-    return F.to_date(col, fmt) if strict else F.try_to_date(col, fmt)
+    parsed = F.try_to_date(col, fmt)
+    return _strict(col, parsed, f"date ({fmt})") if strict else parsed
 
 
 def parse_us_date(c, strict: bool = False) -> Column:

@@ -37,18 +37,22 @@ def logistic_regression(features_col: str = "features", label_col: str = "y",
 
 def classifier(numeric_cols: Sequence[str], categorical_cols: Sequence[str] = (),
                label_col: str = "y", max_iter: int = 10,
-               reg_param: float = REG_PARAM, elastic_net: float = ELASTIC_NET) -> Pipeline:
+               reg_param: float = REG_PARAM, elastic_net: float = ELASTIC_NET,
+               handle_invalid: str = "error") -> Pipeline:
     """Index categoricals (fit once, unseen -> extra code), assemble, regress.
 
     Feature order: the categorical codes first, then the numeric columns, as in
     the reference's column order (categoricals at positions 1-3 there are
     re-appended after indexing; order does not change the fit).
+    ``handle_invalid`` goes to the assembler: "error" (the reference's
+    behaviour: a NULL feature fails the fit), "skip" drops such rows, "keep"
+    keeps NaN.
     """
     stages = []
     cat_out = [f"_{c}_idx" for c in categorical_cols]
     if categorical_cols:
         stages.append(string_indexer(categorical_cols, cat_out, handle_invalid="keep"))
-    stages.append(assembler(list(cat_out) + list(numeric_cols), "features"))
+    stages.append(assembler(list(cat_out) + list(numeric_cols), "features", handle_invalid))
     stages.append(logistic_regression("features", label_col, max_iter, reg_param, elastic_net))
     return Pipeline(stages=stages)
 

@@ -136,3 +136,18 @@ def test_strip_matches_python_on_random_text(spark):
         assert [r[0] for r in df.select(strip_ws("s")).collect()] == [v.strip() for v in vals]
 
     check()
+
+
+def test_strict_casts_fail_even_with_ansi_off(spark):
+    df = spark.createDataFrame([("12",), ("x",)], "s string")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception):
+            df.select(to_type("s", "int", strict=True)).collect()
+        with pytest.raises(Exception):
+            df.select(to_date("s", "MM/dd/yyyy", strict=True)).collect()
+        assert [r[0] for r in df.select(to_type("s", "int")).collect()] == [12, None]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    ok = spark.createDataFrame([("12",), (None,)], "s string")
+    assert [r[0] for r in ok.select(to_type("s", "int", strict=True)).collect()] == [12, None]
