@@ -1,7 +1,7 @@
 """Ingestion queries: delimited text, CSV, typed casts, whitespace, row index.
 
-The reference reads hand-made text files (``Customer.txt``, ``Order.txt``,
-headerless CSV). Here the text is first *derived from the driver's tables* by
+The reference reads hand-made text files (people and orders as delimited
+text, headerless CSV). Here the text is first *derived from the driver's tables* by
 a distributed write into the shared scratch folder, then read back with the
 operators under test, so the work grows with the tables and the oracle can
 state the expected rows directly in SQL.
@@ -23,7 +23,7 @@ from .registry import query
 
 
 def _order_lines(spark, data_dir) -> str:
-    """Write ``Order.txt``-style lines: cid,total,priority[,status].
+    """Write orders-style text lines: cid,total,priority[,status].
 
     Orders with status 'P' carry one extra trailing field, so the arity
     filter has lines to drop.

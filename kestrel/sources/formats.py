@@ -17,9 +17,9 @@ from .text import read_delimited
 
 # --- fixed values -----------------------------------------------------------
 # Labelled numeric points: four float features and a float class.
-IRIS_COLUMNS = ["x1", "x2", "x3", "x4", "y"]
+LABELLED_POINT_COLUMNS = ["x1", "x2", "x3", "x4", "y"]
 # Points with a class name.
-IRIS_CLUSTERING_COLUMNS = ["x1", "x2", "x3", "x4", "label"]
+CLASS_POINT_COLUMNS = ["x1", "x2", "x3", "x4", "label"]
 # Connection records: 41 features and the label; positions 1-3 and 41 are text.
 CONNECTION_RECORD_COLUMNS = [
     "duration", "protocol_type", "service", "flag", "src_bytes", "dst_bytes", "land",
@@ -43,12 +43,12 @@ def _float_schema(names, text=()) -> StructType:
 
 def read_labelled_points(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
     """x1..x4, y (all FLOAT)."""
-    return read_csv(spark, path, _float_schema(IRIS_COLUMNS), mode=mode)
+    return read_csv(spark, path, _float_schema(LABELLED_POINT_COLUMNS), mode=mode)
 
 
 def read_points_with_class(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
     """x1..x4 FLOAT, label STRING."""
-    return read_csv(spark, path, _float_schema(IRIS_CLUSTERING_COLUMNS, ["label"]), mode=mode)
+    return read_csv(spark, path, _float_schema(CLASS_POINT_COLUMNS, ["label"]), mode=mode)
 
 
 def read_connection_records(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:

@@ -79,7 +79,7 @@ def test_int_and_double_casts(spark):
 
 def test_csv_roundtrip_and_modes(spark):
     d = tempfile.mkdtemp(prefix="kestrel-csv-")
-    rows = [(5.1, 3.5, 1.4, 0.2, "Iris-setosa"), (4.9, 3.0, 1.4, 0.2, None)]
+    rows = [(5.1, 3.5, 1.4, 0.2, "class-a"), (4.9, 3.0, 1.4, 0.2, None)]
     schema = "x1 float, x2 float, x3 float, x4 float, label string"
     write_csv(spark.createDataFrame(rows, schema), d + "/out")
     back = read_csv(spark, d + "/out", schema)
