@@ -238,14 +238,21 @@ def lloyd_restarts(spark, data_dir):
 
 # -- generator (rows-only) ----------------------------------------------------------------------
 
-GEN_DIMS, GEN_K, GEN_STD, GEN_SEED, GEN_PARTITIONS = 4, 3, 2.0, 1, 8
+GEN_DIMS, GEN_K, GEN_STD, GEN_SEED = 4, 3, 2.0, 1
+GEN_ROWS_PER_PARTITION = 2_000_000
+
+
+def _gen_partitions(spark, n: int) -> int:
+    """Enough tasks for the cluster, and more as n grows (2M rows per task)."""
+    return max(spark.sparkContext.defaultParallelism, -(-n // GEN_ROWS_PER_PARTITION))
 
 
 @query("gen_gaussian")
 def gen_gaussian(spark, data_dir):
     """As many points as lineitem has rows, 4 dims, labels 0..2, s = 2."""
     n = load_table(spark, data_dir, "lineitem").count()
-    return gaussian_points(spark, n, GEN_DIMS, GEN_K, GEN_PARTITIONS, GEN_STD, seed=GEN_SEED)
+    return gaussian_points(spark, n, GEN_DIMS, GEN_K, _gen_partitions(spark, n), GEN_STD,
+                           seed=GEN_SEED)
 
 
 @query("gen_then_cluster")
@@ -253,7 +260,8 @@ def gen_then_cluster(spark, data_dir):
     """Generate (as many points as orders), write CSV, read it back typed,
     cluster with k = 3 from a seeded random init; one row per pass."""
     n = load_table(spark, data_dir, "orders").count()
-    pts = gaussian_points(spark, n, GEN_DIMS, GEN_K, GEN_PARTITIONS, GEN_STD, seed=GEN_SEED)
+    pts = gaussian_points(spark, n, GEN_DIMS, GEN_K, _gen_partitions(spark, n), GEN_STD,
+                          seed=GEN_SEED)
     path = scratch_path(spark, "gaussian-csv")
     xs = [f"x{j}" for j in range(GEN_DIMS)]
     write_csv(pts.select(*xs, "label"), path)
