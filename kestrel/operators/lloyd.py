@@ -243,12 +243,22 @@ def _pass_literal(points: DataFrame, cur: Centroids, prev: Centroids | None) ->
              r["moved"] if prev is not None else None) for r in rows]
 
 
+# Per-task partial rows are merged on the driver when their total size is
+# at most this many numbers (checked before the job runs); above it, a
+# distributed groupBy merges them.
+DRIVER_MERGE_MAX_NUMBERS = 2_000_000
+
+
 def _pass_numpy(points: DataFrame, runs: list[tuple[Centroids, Centroids | None]]) -> list:
     """One job for several runs: rows (run, cid, n, sum_dist, sse, sums, moved).
 
-    The per-dimension sums travel as one array per partial row and are merged
-    by MLlib's ``Summarizer.sum`` (partial aggregation per task), so the plan
-    has five aggregates whatever the dimension.
+    Every task emits at most (runs x k) partial rows. With few partitions
+    their total is small and proven before the job (partitions x runs x k x
+    (dims + 6) numbers), so they are collected and summed on the driver, the
+    last step of a tree aggregation, one stage per pass. Otherwise the sums
+    travel as one array per partial row and a ``groupBy`` merges them with
+    MLlib's ``Summarizer.sum`` (partial aggregation per task, five aggregates
+    whatever the dimension).
     """
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
@@ -262,11 +272,21 @@ def _pass_numpy(points: DataFrame, runs: list[tuple[Centroids, Centroids | None]
     schema = ("run int, cid long, n long, sum_dist double, sse double, moved long, "
               "sums array<double>")
     get, release = _ship(points.sparkSession, arrays)
-    parts = points.select(*xcols).mapInPandas(
-        lambda it: kernels.partial_pass(it, xcols, get()), schema)
-    aggs = [F.sum(c).alias(c) for c in ["n", "sum_dist", "sse", "moved"]]
-    aggs.append(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
+    src = points.select(*xcols)
+    parts = src.mapInPandas(lambda it: kernels.partial_pass(it, xcols, get()), schema)
+    bound = src.rdd.getNumPartitions() * sum(c.k for c, _ in runs) * (d + 6)
     try:
+        if bound <= DRIVER_MERGE_MAX_NUMBERS:
+            merged: dict = {}
+            for r in parts.collect():
+                key = (r["run"], r["cid"])
+                a = merged.get(key)
+                vals = [r["n"], r["sum_dist"], r["sse"], np.asarray(r["sums"]), r["moved"]]
+                merged[key] = vals if a is None else [x + y for x, y in zip(a, vals)]
+            return [(run, cid, n, sd, sse, list(sums), moved)
+                    for (run, cid), (n, sd, sse, sums, moved) in merged.items()]
+        aggs = [F.sum(c).alias(c) for c in ["n", "sum_dist", "sse", "moved"]]
+        aggs.append(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
         rows = parts.groupBy("run", "cid").agg(*aggs).collect()  # <= runs * k rows
     finally:
         release()

@@ -184,3 +184,14 @@ def test_large_centroid_sets_are_broadcast(spark, monkeypatch):
     assert (big.iterations, big.metric) == (small.iterations, small.metric)
     a = {r.id: r.cid for r in L.assign(prepared, big.centroids).collect()}
     assert a == {r.id: r.cid for r in small.assignment().collect()}
+
+
+def test_driver_merge_and_groupby_merge_agree(spark, monkeypatch):
+    pts, df = _fixture(spark, n=300, parts=4)
+    prepared, _ = L.prepare_points(df, "features", "id")
+    init = L.Centroids.of([pts[i] for i in range(4)])
+    a = L.lloyd(prepared, 4, 20, init=init)
+    monkeypatch.setattr(L, "DRIVER_MERGE_MAX_NUMBERS", 0)
+    b = L.lloyd(prepared, 4, 20, init=init)
+    assert a.iterations == b.iterations and a.metric == pytest.approx(b.metric, rel=1e-12)
+    assert [h["moved"] for h in a.history] == [h["moved"] for h in b.history]
