@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import squared_distance_to
 from . import kmeans_kernels as kernels
-from .ordering import lowest_k, sample_k
+from .ordering import hash_sample_k, lowest_k, sample_k
 from .vectors import dims_of, element_columns
 
 # The literal form is refused above this many centroid numbers (k * dims):
@@ -332,8 +332,10 @@ def init_centroids(points: DataFrame, k: int, init="random", seed: int | None =
     """k points as centroids, cids 0..k-1.
 
     ``"random"``: k sampled points (seeded; the reference's ``takeSample`` is
-    not). ``"lowest"``: the k points with the lowest id, deterministic.
-    A :class:`Centroids` is used as given.
+    not; the draw depends on the partitioning, as any ``rand``). ``"hash"``:
+    k points picked by a seeded hash of the id, the same on any partitioning.
+    ``"lowest"``: the k points with the lowest id. A :class:`Centroids` is
+    used as given; cids are 0..k-1 in the order the points were picked.
     """
     if isinstance(init, Centroids):
         return init
@@ -342,6 +344,8 @@ def init_centroids(points: DataFrame, k: int, init="random", seed: int | None =
         picked = lowest_k(points, k, "id")
     elif init == "random":
         picked = sample_k(points, k, 0 if seed is None else seed)
+    elif init == "hash":
+        picked = hash_sample_k(points, k, 0 if seed is None else seed, "id")
     else:
         raise ValueError(f"unknown init {init!r}")
     rows = picked.select(*[f"_x{j}" for j in range(d)]).collect()  # k rows
@@ -427,7 +431,7 @@ def lloyd(points: DataFrame, k: int, max_iterations: int, init="random",
 
 
 def restarts(points: DataFrame, k: int, max_iterations: int, n: int = 5,
-             base_seed: int = 0, **kw) -> DataFrame:
+             base_seed: int = 0, init: str = "random", **kw) -> DataFrame:
     """``n`` runs from random inits with seeds ``base_seed + i``.
 
     The runs advance together, so each pass reads the points once for all of
@@ -436,7 +440,7 @@ def restarts(points: DataFrame, k: int, max_iterations: int, n: int = 5,
     """
     cached = points.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        inits = [init_centroids(cached, k, "random", base_seed + i) for i in range(n)]
+        inits = [init_centroids(cached, k, init, base_seed + i) for i in range(n)]
         results = lloyd_many(cached, inits, max_iterations, persist=False, **kw)
     finally:
         cached.unpersist()

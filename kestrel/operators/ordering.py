@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _POS_MASK = (1 << 33) - 1  # monotonically_increasing_id keeps the row position in its low 33 bits
@@ -70,3 +70,34 @@ def sample_k(df: DataFrame, k: int, seed: int) -> DataFrame:
 def lowest_k(df: DataFrame, k: int, order_by: str) -> DataFrame:
     """The k rows with the lowest key: the deterministic init of the k-means."""
     return df.orderBy(order_by).limit(k)
+
+
+# Lehmer generator constants (multiplier 48271, modulus 2^31 - 1): products
+# stay below 2^47, so BIGINT arithmetic is exact in any SQL engine.
+_LEHMER_A, _LEHMER_M = 48271, 2147483647
+
+
+def hash_rank(id_col: str, seed: int) -> Column:
+    """A seeded pseudo-random BIGINT per id, computed from the id alone.
+
+    Two Lehmer steps over (id mod M) with an xor-shift between them, mixed
+    with the seed; exact BIGINT arithmetic, so any SQL engine computes the
+    same value. Unlike ``rand``,
+    the value does not depend on how the rows are partitioned, so a sample
+    drawn with it is the same on any cluster and after any retry.
+    """
+    m = F.lit(_LEHMER_M).cast("bigint")
+    offset = F.lit(((seed % _LEHMER_M) * 16807 + 1) % _LEHMER_M).cast("bigint")
+    x = F.pmod(F.col(id_col).cast("bigint"), m)
+    x = F.pmod(x * _LEHMER_A + offset, m)
+    x = x.bitwiseXOR(F.shiftright(x, 16))  # breaks the linearity of two Lehmer steps
+    return F.pmod(x * _LEHMER_A, m)
+
+
+def hash_sample_k(df: DataFrame, k: int, seed: int, id_col: str = "id") -> DataFrame:
+    """k rows without replacement, chosen by :func:`hash_rank` (ties by id).
+
+    A TakeOrderedAndProject like :func:`sample_k`, but reproducible across
+    partitionings.
+    """
+    return df.orderBy(hash_rank(id_col, seed), F.col(id_col)).limit(k)

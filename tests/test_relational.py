@@ -141,3 +141,12 @@ def test_recall_on_empty_input_and_name_in_two_months(spark, people):
     more = people.union(spark.createDataFrame([(7.0, dt.date(2013, 7, 2), "Cid")], people.schema))
     got = sorted(r.name for r in rel.distinct_in_month(more, "startDate", 7, ["name"]).collect())
     assert got == ["Bea", "Bob", "Cid"]  # Cid also has an August row; counted once
+
+
+def test_hash_sample_is_partitioning_independent(spark):
+    from kestrel.operators.ordering import hash_sample_k
+    df = spark.range(0, 3000).select("id")
+    a = [r.id for r in hash_sample_k(df, 7, seed=5).collect()]
+    b = [r.id for r in hash_sample_k(df.repartition(9), 7, seed=5).collect()]
+    c = [r.id for r in hash_sample_k(df, 7, seed=6).collect()]
+    assert a == b and len(set(a)) == 7 and a != c
