@@ -32,7 +32,7 @@ HEADLINE = [
     "cluster_label_pct", "accuracy", "class_recall", "mean_stddev_pop",
     "lloyd_converge", "lloyd_restarts", "kmeans_ml", "kmeans_ml_centers",
     "kmeans_ml_report", "logreg_fit", "logreg_score", "logreg_recall", "logreg_accuracy",
-    "gen_gaussian", "gen_then_cluster", "row_id", "sample_k",
+    "gen_gaussian", "gen_then_cluster", "row_id", "sample_k", "sample_k_hash",
 ]
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import classify, cluster_ml, features, lloyd as L, metrics, report
-from ..operators.ordering import sample_k as sample_rows, with_row_id
+from ..operators.ordering import hash_sample_k, sample_k as sample_rows, with_row_id
 from ..operators.vectors import explode_vector
 from ..session import scratch_path
 from ..sources.csv import read_csv, write_csv
@@ -356,3 +356,16 @@ def row_id(spark, data_dir):
 def sample_k(spark, data_dir):
     """L1: four rows without replacement, seeded."""
     return sample_rows(load_table(spark, data_dir, "embeddings").select("vec_id", "label"), 4, seed=1)
+
+
+@query("sample_k_hash", oracle=f"""
+SELECT vec_id, label FROM (
+  SELECT vec_id, label,
+         ((((vec_id % {_M}) + {_M}) % {_M}) * 48271 + ((1 % {_M}) * 16807 + 1) % {_M}) % {_M} AS x
+  FROM embeddings)
+ORDER BY (xor(x, x >> 16) * 48271) % {_M}, vec_id LIMIT 4
+""")
+def sample_k_hash(spark, data_dir):
+    """L1 with the partitioning-independent sampler: four rows, seed 1."""
+    emb = load_table(spark, data_dir, "embeddings").select("vec_id", "label")
+    return hash_sample_k(emb, 4, seed=1, id_col="vec_id")
