@@ -19,8 +19,8 @@ from .lloyd import Centroids, assign, prepare_points
 
 
 def with_vector(df: DataFrame, array_col: str, out: str = "features") -> DataFrame:
-    """ARRAY<FLOAT|DOUBLE> column -> ML vector column (JVM-side conversion)."""
-    return df.withColumn(out, array_to_vector(F.transform(array_col, lambda x: x.cast("double"))))
+    """ARRAY<FLOAT|DOUBLE> column -> ML vector column (JVM-side, floats widened exactly)."""
+    return df.withColumn(out, array_to_vector(array_col))
 
 
 # --- fixed values (the reference's MLlib k-means settings) ---

@@ -61,7 +61,7 @@ def vector_mean_by_key_summarizer(df: DataFrame, key: str, array_col: str,
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
 
-    vec = array_to_vector(F.transform(array_col, lambda x: x.cast("double")))
+    vec = array_to_vector(array_col)
     return (df.groupBy(key).agg(Summarizer.mean(vec).alias("_m"))
               .select(key, vector_to_array("_m").alias(out)))
 
