@@ -75,17 +75,24 @@ def read_orders_text(spark: SparkSession, path: str, strict: bool = False) -> Da
 
 
 def read_kmeans_points(spark: SparkSession, path: str, dims: int = 4,
-                       strict: bool = True) -> DataFrame:
+                       strict: bool = True, ids: str = "consecutive") -> DataFrame:
     """Lines of ``dims`` numbers and a class name -> id, features ARRAY<DOUBLE>, label.
 
     Lines with another field count are dropped (the reference's arity
-    filter); ``id`` is the consecutive 0-based index in scan order
-    (``zipWithIndex``). A number that does not parse fails the job when
-    ``strict`` (as ``float()`` does in the reference), else becomes NULL.
+    filter). ``ids="consecutive"``: the 0-based index in scan order
+    (``zipWithIndex``; one range shuffle and a checkpoint of the points);
+    ``ids="unique"``: ``monotonically_increasing_id``, no shuffle, enough for
+    the k-means loop, which only needs distinct ids. A number that does not
+    parse fails the job when ``strict`` (as ``float()`` does in the
+    reference), else becomes NULL.
     """
     names = [f"x{j}" for j in range(dims)] + ["label"]
     rows = read_delimited(spark, path, names, ["double"] * dims + [None], arity=dims + 1,
                           strict=strict)
     rows = rows.select(F.array(*names[:-1]).alias("features"), "label",
                        F.monotonically_increasing_id().alias("_scan"))
+    if ids == "unique":
+        return rows.select(F.col("_scan").alias("id"), "features", "label")
+    if ids != "consecutive":
+        raise ValueError("ids must be 'consecutive' or 'unique'")
     return with_row_index(rows, "_scan", name="id").drop("_scan").select("id", "features", "label")
