@@ -249,7 +249,8 @@ def _pass_literal(points: DataFrame, cur: Centroids, prev: Centroids | None) ->
 DRIVER_MERGE_MAX_NUMBERS = 2_000_000
 
 
-def _pass_numpy(points: DataFrame, runs: list[tuple[Centroids, Centroids | None]]) -> list:
+def _pass_numpy(points: DataFrame, runs: list[tuple[Centroids, Centroids | None]],
+                n_partitions: int | None = None) -> list:
     """One job for several runs: rows (run, cid, n, sum_dist, sse, sums, moved).
 
     Every task emits at most (runs x k) partial rows. With few partitions
@@ -274,7 +275,8 @@ def _pass_numpy(points: DataFrame, runs: list[tuple[Centroids, Centroids | None]
     get, release = _ship(points.sparkSession, arrays)
     src = points.select(*xcols)
     parts = src.mapInPandas(lambda it: kernels.partial_pass(it, xcols, get()), schema)
-    bound = src.rdd.getNumPartitions() * sum(c.k for c, _ in runs) * (d + 6)
+    n_partitions = n_partitions or src.rdd.getNumPartitions()
+    bound = n_partitions * sum(c.k for c, _ in runs) * (d + 6)
     try:
         if bound <= DRIVER_MERGE_MAX_NUMBERS:
             merged: dict = {}
@@ -305,7 +307,7 @@ def _stats(rows, with_moved: bool) -> PassStats:
 
 
 def lloyd_passes(points: DataFrame, runs: list[tuple[Centroids, Centroids | None]],
-                 method: str = "numpy") -> list[PassStats]:
+                 method: str = "numpy", n_partitions: int | None = None) -> list[PassStats]:
     """One pass of several independent runs over a single scan of the points.
 
     ``method="literal"`` (generated code, one run at a time) is kept for
@@ -313,7 +315,7 @@ def lloyd_passes(points: DataFrame, runs: list[tuple[Centroids, Centroids | None
     """
     if method == "literal" and all(c.k * c.dims <= LITERAL_LIMIT for c, _ in runs):
         return [_stats(_pass_literal(points, cur, prev), prev is not None) for cur, prev in runs]
-    rows = _pass_numpy(points, runs)
+    rows = _pass_numpy(points, runs, n_partitions)
     return [_stats([row[1:] for row in rows if row[0] == r], prev is not None)
             for r, (_, prev) in enumerate(runs)]
 
@@ -393,12 +395,13 @@ def lloyd_many(points: DataFrame, inits: Sequence[Centroids], max_iterations: in
     cached = points.persist(StorageLevel.MEMORY_AND_DISK) if persist else points
     try:
         state = [{"cur": c, "prev": None, "it": 0, "hist": [], "done": None} for c in inits]
+        n_partitions = cached.rdd.getNumPartitions()  # fixed for the whole run
         while True:
             live = [s for s in state if s["done"] is None]
             if not live:
                 break
             stats = lloyd_passes(cached, [(s["cur"], s["prev"] if s["it"] > 0 else None)
-                                          for s in live], method)
+                                          for s in live], method, n_partitions)
             for s, st in zip(live, stats):
                 s["hist"].append({"pass": s["it"], "metric": st.metric, "cost": st.cost,
                                   "moved": st.moved, "k": s["cur"].k, "centroids": s["cur"]})
