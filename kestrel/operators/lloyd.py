@@ -273,7 +273,7 @@ def _pass_numpy(points: DataFrame, runs: list[tuple[Centroids, Centroids | None]
     schema = ("run int, cid long, n long, sum_dist double, sse double, moved long, "
               "sums array<double>")
     get, release = _ship(points.sparkSession, arrays)
-    src = points.select(*xcols)
+    src = points if points.columns == xcols else points.select(*xcols)
     parts = src.mapInPandas(lambda it: kernels.partial_pass(it, xcols, get()), schema)
     n_partitions = n_partitions or src.rdd.getNumPartitions()
     bound = n_partitions * sum(c.k for c, _ in runs) * (d + 6)
@@ -395,12 +395,14 @@ def lloyd_many(points: DataFrame, inits: Sequence[Centroids], max_iterations: in
     cached = points.persist(StorageLevel.MEMORY_AND_DISK) if persist else points
     try:
         state = [{"cur": c, "prev": None, "it": 0, "hist": [], "done": None} for c in inits]
-        n_partitions = cached.rdd.getNumPartitions()  # fixed for the whole run
+        # built once: the pass plans differ only in the centroids
+        coords = cached.select(*[f"_x{j}" for j in range(inits[0].dims)]) if inits else cached
+        n_partitions = coords.rdd.getNumPartitions()  # fixed for the whole run
         while True:
             live = [s for s in state if s["done"] is None]
             if not live:
                 break
-            stats = lloyd_passes(cached, [(s["cur"], s["prev"] if s["it"] > 0 else None)
+            stats = lloyd_passes(coords, [(s["cur"], s["prev"] if s["it"] > 0 else None)
                                           for s in live], method, n_partitions)
             for s, st in zip(live, stats):
                 s["hist"].append({"pass": s["it"], "metric": st.metric, "cost": st.cost,
