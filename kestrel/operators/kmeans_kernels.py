@@ -1,14 +1,14 @@
-"""Per-task numpy kernels for the k-means passes when k * dims is too large
-for plan literals. They run inside ``mapInPandas`` on Arrow batches.
+"""Per-task numpy kernels for the k-means passes. They run inside
+``mapInArrow``: points arrive as one list column whose values are a single
+contiguous buffer, so a batch becomes a rows x dims matrix without a copy.
 
 This module is pickled *by value* with the functions that use it, so executors
-need numpy and pandas but not this package.
+need numpy and pyarrow but not this package.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 
 
 def _exact(X: np.ndarray, C: np.ndarray) -> np.ndarray:
@@ -79,34 +79,48 @@ def nearest(X: np.ndarray, C: np.ndarray, budget: int = 4_000_000):
     return idx, np.sqrt(np.einsum("ij,ij->i", diff, diff))
 
 
-def assign_batches(batches, xcols, keep, C, cids, with_features):
-    """(keep..., cid, dist[, x...]) for every row."""
-    for pdf in batches:
-        X = pdf[xcols].to_numpy(dtype=np.float64)
+def _points(batch, d: int) -> np.ndarray:
+    """The ``_v`` list column of an Arrow batch as a rows x d float64 matrix.
+
+    The list values are one contiguous buffer; ``flatten`` honours the slice
+    offsets and the reshape is free. FLOAT values are widened exactly.
+    """
+    col = batch.column(batch.schema.get_field_index("_v"))
+    flat = col.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(col), d).astype(np.float64, copy=False)
+
+
+def assign_batches(batches, d, keep, C, cids, with_features):
+    """Arrow batches in, (keep..., cid, dist[, _v]) batches out."""
+    import pyarrow as pa
+
+    for b in batches:
+        X = _points(b, d)
         idx, dist = nearest(X, C)
-        out = pdf[list(keep)].copy()
-        out["cid"] = cids[idx].astype(np.int32)
-        out["dist"] = dist
+        arrays = [b.column(b.schema.get_field_index(k)) for k in keep]
+        arrays += [pa.array(cids[idx].astype(np.int32)), pa.array(dist)]
+        names = list(keep) + ["cid", "dist"]
         if with_features:
-            for j, c in enumerate(xcols):
-                out[c] = X[:, j]
-        yield out
+            arrays.append(b.column(b.schema.get_field_index("_v")))
+            names.append("_v")
+        yield pa.RecordBatch.from_arrays(arrays, names=names)
 
 
-def partial_pass(batches, xcols, runs):
+def partial_pass(batches, d, runs):
     """Map-side combine of one Lloyd pass for several independent runs.
 
     ``runs`` is a list of (C, cids, P, pcids): current centroids and ids, and
-    the previous pass's (P None on a run's first pass). Yields one row per
-    (run, cluster) with members in this task: count, sum of distances, sum of
-    squared distances, moved count and the per-dimension sums as one array.
-    Group sums are ``bincount``s over the cluster index: O(rows * dims) per
-    batch, whatever k.
+    the previous pass's (P None on a run's first pass). Yields one Arrow batch
+    with a row per (run, cluster) that has members in this task: count, sum of
+    distances, sum of squared distances, moved count and the per-dimension
+    sums as one array. Group sums are ``bincount``s over the cluster index:
+    O(rows * dims) per batch, whatever k.
     """
-    d = len(xcols)
+    import pyarrow as pa
+
     acc = [None] * len(runs)
-    for pdf in batches:
-        X = pdf[xcols].to_numpy(dtype=np.float64)
+    for b in batches:
+        X = _points(b, d)
         for r, (C, cids, P, pcids) in enumerate(runs):
             k = C.shape[0]
             idx, dist = nearest(X, C)
@@ -120,7 +134,7 @@ def partial_pass(batches, xcols, runs):
                     np.bincount(idx, weights=moved, minlength=k),
                     np.column_stack([np.bincount(idx, weights=X[:, j], minlength=k)
                                      for j in range(d)]) if d else np.zeros((k, 0))]
-            acc[r] = part if acc[r] is None else [a + b for a, b in zip(acc[r], part)]
+            acc[r] = part if acc[r] is None else [a + b_ for a, b_ in zip(acc[r], part)]
     rows = []
     for r, a in enumerate(acc):
         if a is None:
@@ -128,6 +142,12 @@ def partial_pass(batches, xcols, runs):
         cids = runs[r][1]
         for i in np.nonzero(a[0])[0]:
             rows.append((r, int(cids[i]), int(a[0][i]), float(a[1][i]), float(a[2][i]),
-                         int(round(a[3][i])), a[4][i]))
+                         int(round(a[3][i])), a[4][i].tolist()))
     if rows:
-        yield pd.DataFrame(rows, columns=["run", "cid", "n", "sum_dist", "sse", "moved", "sums"])
+        cols = list(zip(*rows))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()),
+             pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.float64()),
+             pa.array(cols[4], pa.float64()), pa.array(cols[5], pa.int64()),
+             pa.array(cols[6], pa.list_(pa.float64()))],
+            names=["run", "cid", "n", "sum_dist", "sse", "moved", "sums"])

@@ -34,18 +34,32 @@ def test_exact_on_ties_near_ties_and_far_points():
         assert np.allclose(dist, [w[1] for w in want], rtol=0, atol=1e-9)
 
 
+def _batch(X, dtype):
+    import pyarrow as pa
+    values = pa.array(X.astype(dtype).ravel())
+    offsets = pa.array(np.arange(0, X.size + 1, X.shape[1], dtype=np.int32))
+    return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(offsets, values)], names=["_v"])
+
+
 def test_partial_pass_sums_match_numpy():
     rnd = np.random.default_rng(1)
     X = rnd.normal(size=(500, 4))
     C = X[:3].copy()
-    import pandas as pd
-    batches = [pd.DataFrame(X[:250], columns=list("abcd")), pd.DataFrame(X[250:], columns=list("abcd"))]
-    out = next(K.partial_pass(iter(batches), list("abcd"), [(C, np.array([7, 8, 9]), None, None)]))
+    batches = [_batch(X[:250], np.float64), _batch(X[250:], np.float64).slice(0, 250)]
+    out = next(K.partial_pass(iter(batches), 4, [(C, np.array([7, 8, 9]), None, None)]))
+    assert out.schema.field("run").type == "int32" and out.schema.field("sums").type.value_type == "double"
     idx, dist = K.nearest(X, C)
-    for _, r in out.iterrows():
-        m = idx == [7, 8, 9].index(r.cid)
-        assert r.n == m.sum() and np.isclose(r.sum_dist, dist[m].sum())
-        assert np.allclose(r.sums, X[m].sum(axis=0)) and r.moved == 0
+    for r in out.to_pylist():
+        m = idx == [7, 8, 9].index(r["cid"])
+        assert r["n"] == m.sum() and np.isclose(r["sum_dist"], dist[m].sum())
+        assert np.allclose(r["sums"], X[m].sum(axis=0)) and r["moved"] == 0
+
+
+def test_float_batches_widen_exactly_and_respect_slices():
+    X = np.random.default_rng(2).normal(size=(10, 3)).astype(np.float32)
+    b = _batch(X, np.float32).slice(3, 5)
+    got = K._points(b, 3)
+    assert got.dtype == np.float64 and np.array_equal(got, X[3:8].astype(np.float64))
 
 
 def test_direct_and_matrix_forms_agree():
