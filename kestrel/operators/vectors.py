@@ -23,13 +23,6 @@ def dims_of(df: DataFrame, array_col: str) -> int:
     return int(row["d"])
 
 
-def element_columns(array_col: str | Column, dims: int, prefix: str = "_x",
-                    dtype: str = "double") -> list[Column]:
-    """``dims`` columns of type ``dtype``, one per element."""
-    c = F.col(array_col) if isinstance(array_col, str) else array_col
-    return [F.get(c, j).cast(dtype).alias(f"{prefix}{j}") for j in range(dims)]
-
-
 def vector_sum_by_key(df: DataFrame, key: str, array_col: str,
                       dims: int | None = None, out: str = "sum") -> DataFrame:
     """Element-wise sum of the vectors of each key (A8, ``reduceByKey(computeSum)``)."""
