@@ -57,8 +57,9 @@ from .ordering import hash_sample_k, lowest_k, sample_k
 from .vectors import dims_of
 
 # The literal form is refused above this many centroid numbers (k * dims):
-# the generated code would pass the JVM's 64 KB method limit.
-LITERAL_LIMIT = 2048
+# the generated code would pass the JVM's 64 KB method limit (seen at
+# k = 16, dims = 64 for a pass that scores two centroid sets).
+LITERAL_LIMIT = 512
 
 # Ship the numpy kernels with the closures instead of requiring the package
 # on every executor.

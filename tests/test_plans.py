@@ -48,3 +48,12 @@ def test_row_index_broadcasts_only_the_offsets(spark):
     df = spark.range(0, 100).withColumnRenamed("id", "k")
     plan = _plan(with_row_index(df, "k", partitions=4))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_literal_form_falls_back_above_the_limit(spark):
+    emb = spark.read.parquet(f"{SF001}/embeddings.parquet")
+    pts, _ = L.prepare_points(emb, "embedding", "vec_id")
+    small = L.init_centroids(pts, 4, "lowest")
+    big = L.init_centroids(pts, 16, "lowest")  # 16 x 64 > LITERAL_LIMIT
+    assert "MapInArrow" not in _plan(L.assign(pts, small, method="literal"))
+    assert "MapInArrow" in _plan(L.assign(pts, big, method="literal"))
