@@ -263,9 +263,6 @@ def _pass_numpy(points: DataFrame, runs: list[tuple[Centroids, Centroids | None]
     MLlib's ``Summarizer.sum`` (partial aggregation per task, five aggregates
     whatever the dimension).
     """
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
-
     d = runs[0][0].dims
     arrays = [(np.asarray(cur.centers, dtype=np.float64), np.asarray(cur.cids, dtype=np.int64),
                None if prev is None else np.asarray(prev.centers, dtype=np.float64),
@@ -288,15 +285,36 @@ def _pass_numpy(points: DataFrame, runs: list[tuple[Centroids, Centroids | None]
                 merged[key] = vals if a is None else [x + y for x, y in zip(a, vals)]
             return [(run, cid, n, sd, sse, list(sums), moved)
                     for (run, cid), (n, sd, sse, sums, moved) in merged.items()]
-        aggs = [F.sum(c).alias(c) for c in ["n", "sum_dist", "sse", "moved"]]
-        aggs.append(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
-        rows = parts.groupBy("run", "cid").agg(*aggs).collect()  # <= runs * k rows
+        rows = merge_partials(parts).collect()  # <= runs * k rows
     finally:
         release()
     return [(r["run"], r["cid"], r["n"], r["sum_dist"], r["sse"], list(r["sums"]), r["moved"])
             for r in rows]
 
 
+def merge_partials(parts: DataFrame) -> DataFrame:
+    """Distributed merge of per-task partial rows: one row per (run, cid)."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    aggs = [F.sum(c).alias(c) for c in ["n", "sum_dist", "sse", "moved"]]
+    aggs.append(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
+    return parts.groupBy("run", "cid").agg(*aggs)
+
+
+def pass_frame(points: DataFrame, cur: Centroids, prev: Centroids | None = None) -> DataFrame:
+    """The DataFrame one numpy pass evaluates (distributed-merge form), for
+    ``explain`` and inspection; :func:`lloyd_pass` runs it."""
+    arrays = [(np.asarray(cur.centers, dtype=np.float64), np.asarray(cur.cids, dtype=np.int64),
+               None if prev is None else np.asarray(prev.centers, dtype=np.float64),
+               None if prev is None else np.asarray(prev.cids, dtype=np.int64))]
+    schema = ("run int, cid long, n long, sum_dist double, sse double, moved long, "
+              "sums array<double>")
+    d = cur.dims
+    parts = points.select("_v").mapInArrow(lambda it: kernels.partial_pass(it, d, arrays), schema)
+    return merge_partials(parts)
+
+
 def _stats(rows, with_moved: bool) -> PassStats:
     st = PassStats({}, {}, {}, {}, 0 if with_moved else None)
     for cid, n, sd, sse, sums, moved in rows:

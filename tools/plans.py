@@ -28,6 +28,20 @@ def main():
         plan = df._jdf.queryExecution().executedPlan().toString()
         tag = "oracle" if key in ORACLES else "rows-only"
         print(f"## {key} ({tag})\n\n```\n{plan.rstrip()}\n```\n")
+    _lloyd_pass_plan(spark, data_dir)
+
+
+def _lloyd_pass_plan(spark, data_dir):
+    """One Lloyd pass (distributed-merge form): scan of the persisted points,
+    scoring in mapInArrow, partial rows merged by a groupBy."""
+    from kestrel.operators import lloyd as L
+    from kestrel.sources.tables import load_table
+
+    pts, _ = L.prepare_points(load_table(spark, data_dir, "embeddings"), "embedding", "vec_id")
+    cents = L.init_centroids(pts, 4, "lowest")
+    plan = L.pass_frame(pts, cents, cents)._jdf.queryExecution().executedPlan().toString()
+    print("## one Lloyd pass (distributed-merge form, current and previous centroids)\n")
+    print(f"```\n{plan.rstrip()}\n```\n")
 
 
 if __name__ == "__main__":
