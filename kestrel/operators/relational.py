@@ -129,14 +129,16 @@ def group_sum_count_distinct(df: DataFrame, key: str, value: str,
                                F.count_distinct(value).alias(distinct_alias))
 
 
-def group_avg_all(df: DataFrame, *keys: str, prefix: str = "avg_") -> DataFrame:
-    """Average of every numeric non-key column per key (A3), renamed ``avg_<col>``.
+def group_avg_all(df: DataFrame, *keys: str, prefix: str = "avg_",
+                  include_keys: bool = True) -> DataFrame:
+    """Average of every numeric column per key (A3), renamed ``avg_<col>``.
 
-    Spark's ``groupBy().avg()`` names the columns ``avg(c)``; the rename keeps
-    them usable in SQL and stable across engines.
+    Like Spark's ``groupBy(...).avg()`` without arguments, numeric grouping
+    columns are averaged too (``include_keys=False`` leaves them out). Spark
+    names the columns ``avg(c)``; the rename keeps them usable in SQL.
     """
     numeric = [f.name for f in df.schema.fields
-               if isinstance(f.dataType, NumericType) and f.name not in keys]
+               if isinstance(f.dataType, NumericType) and (include_keys or f.name not in keys)]
     return df.groupBy(*keys).agg(*[F.avg(c).alias(f"{prefix}{c}") for c in numeric])
 
 

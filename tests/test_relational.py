@@ -150,3 +150,13 @@ def test_hash_sample_is_partitioning_independent(spark):
     b = [r.id for r in hash_sample_k(df.repartition(9), 7, seed=5).collect()]
     c = [r.id for r in hash_sample_k(df, 7, seed=6).collect()]
     assert a == b and len(set(a)) == 7 and a != c
+
+
+def test_group_avg_all_matches_spark_avg_naming_and_columns(spark):
+    df = spark.createDataFrame([(0, "a", 1.0), (0, "b", 3.0), (1, "a", 5.0)],
+                               "prediction int, label string, pct double")
+    ours = rel.group_avg_all(df, "label", "prediction")
+    theirs = df.groupBy("label", "prediction").avg()
+    assert [c.replace("avg_", "avg(") + ")" if c.startswith("avg_") else c for c in ours.columns] \
+        == theirs.columns
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, theirs.collect()))
