@@ -48,16 +48,24 @@ def main() -> None:
     spark.range(1000).selectExpr("sum(id)").collect()  # JVM warm-up, not timed
 
     times: dict[str, float] = {}
+    failed: dict[str, str] = {}
     for name in names:
         t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        try:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        except Exception as exc:  # one broken query must not hide the others' times
+            failed[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            print(f"{name}: FAILED {failed[name]}", file=sys.stderr, flush=True)
+            continue
         times[name] = round(time.perf_counter() - t0, 3)
         print(f"{name}: {times[name]}s", file=sys.stderr, flush=True)
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times,
-                      "sf": float(m.group(1)) if m else None}))
+    record = {"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
+              "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else None}
+    if failed:
+        record["failed"] = failed
+    print(json.dumps(record))
     spark.stop()
 
 
