@@ -30,17 +30,28 @@ def _norm(v):
     return v
 
 
+# Spark type name -> DuckDB type name for the types the queries return.
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT",
+          "string": "VARCHAR", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+          "boolean": "BOOLEAN", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
 def compare(spark, con, fn, sql, data_dir):
     sdf = fn(spark, data_dir)
     s_cols = sdf.columns
     s_rows = [tuple(r) for r in sdf.collect()]
-    cur = con.execute(sql)
-    d_cols = [c[0] for c in cur.description]
-    d_rows = cur.fetchall()
+    rel = con.sql(sql)
+    d_cols = list(rel.columns)
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    d_rows = rel.fetchall()
     problems = []
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns spark={s_cols} duckdb={d_cols}")
         return problems
+    for f in sdf.schema.fields:
+        want = _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+        if want != d_types[f.name]:
+            problems.append(f"type of {f.name}: spark {f.dataType.simpleString()} duckdb {d_types[f.name]}")
     order = sorted(s_cols)
     si = [s_cols.index(c) for c in order]
     di = [d_cols.index(c) for c in order]
