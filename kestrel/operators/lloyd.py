@@ -369,6 +369,8 @@ def init_centroids(points: DataFrame, k: int, init="random", seed: int | None =
     else:
         raise ValueError(f"unknown init {init!r}")
     rows = picked.select("_v").collect()  # k rows
+    if not rows:
+        raise ValueError("no points to take initial centroids from")
     return Centroids.of([list(r["_v"]) for r in rows])
 
 

@@ -195,3 +195,10 @@ def test_driver_merge_and_groupby_merge_agree(spark, monkeypatch):
     b = L.lloyd(prepared, 4, 20, init=init)
     assert a.iterations == b.iterations and a.metric == pytest.approx(b.metric, rel=1e-12)
     assert [h["moved"] for h in a.history] == [h["moved"] for h in b.history]
+
+
+def test_empty_input_is_a_clear_error(spark):
+    empty = spark.createDataFrame([], "id long, features array<double>")
+    prepared, _ = L.prepare_points(empty, "features", "id", dims=3)
+    with pytest.raises(ValueError, match="no points"):
+        L.lloyd(prepared, 2, 5, init="lowest")
