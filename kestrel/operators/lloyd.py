@@ -143,8 +143,10 @@ def assign(points: DataFrame, cents: Centroids, keep: Sequence[str] = ("id",),
            with_features: bool = False, method: str = "auto") -> DataFrame:
     """``keep`` columns, ``cid``, ``dist`` for prepared points.
 
-    With ``with_features`` the per-dimension columns ride along, so the update
-    needs no join back to the data by id (J3).
+    With ``with_features`` the vector ``_v`` rides along, so the update needs
+    no join back to the data by id (J3). ``method``: "auto"/"numpy" scores in
+    ``mapInArrow``; "literal" in generated code (k * dims up to
+    ``LITERAL_LIMIT``, else the numpy form is used).
     """
     if method in ("numpy", "auto") or cents.k * cents.dims > LITERAL_LIMIT:
         return _assign_numpy(points, cents, keep, with_features)
