@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 from ..sources.tables import load_table
-from . import packing, token_counts, token_files
+from . import credentials, decontaminate, licenses, packing, token_counts, token_files
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,11 @@ def query(fn):
     return fn
 
 
+@query
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.scan(load_table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
@@ -31,6 +36,16 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, path)
 
 
+@query
+def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(load_table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(load_table(spark, sf_dir, "documents"), TOKENIZER, TOKEN_LIMIT)
