@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
 from ..sources.tables import load_table
-from . import credentials, decontaminate, licenses, packing, token_counts, token_files
+from . import credentials, decontaminate, jaccard, licenses, packing, token_counts, token_files
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,11 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_components(load_table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(load_table(spark, sf_dir, "documents"), TOKENIZER, TOKEN_LIMIT)
