@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import load_table
-from . import credentials, decontaminate, jaccard, licenses, packing, token_counts, token_files
+from . import credentials, decontaminate, jaccard, langid, licenses, packing, token_counts, token_files
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -51,6 +52,22 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(load_table(spark, sf_dir, "documents"))
 
 
+def held_out(docs: DataFrame) -> Column:
+    """Rows kept out of training. A row without doc_id is kept out too."""
+    return F.coalesce(F.pmod(F.crc32(docs["doc_id"].cast("string").cast("binary")), F.lit(4)) == 2, F.lit(True))
+
+
+def language_model(docs: DataFrame) -> langid.Model:
+    return langid.train(langid.training_sample(docs, ~held_out(docs)))
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents")
+    found = langid.predict(docs, language_model(docs))
+    return found.select("doc_id", held_out(found).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(load_table(spark, sf_dir, "documents"), TOKENIZER, TOKEN_LIMIT)
