@@ -99,15 +99,18 @@ WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text FROM documents
 ), w AS (
   SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
-         list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
          row_number() OVER () AS r
   FROM d
 ), places AS (
-  SELECT r, words, unnest(range(0, greatest(len(words) - 7, 0))) AS i FROM w
+  SELECT r, unnest(words) AS word, unnest(range(0, len(words))) AS i FROM w
 ), windows AS (
-  SELECT r, i, words[i + 1:i + 8] AS win FROM places
+  SELECT r, i, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o,
+                         lead(word, 4) OVER o, lead(word, 5) OVER o, lead(word, 6) OVER o, lead(word, 7) OVER o) AS win,
+         lead(word, 7) OVER o IS NOT NULL AS whole
+  FROM places WINDOW o AS (PARTITION BY r ORDER BY i)
 ), twice AS (
-  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS n FROM windows) WHERE n > 1
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS n FROM windows WHERE whole) WHERE n > 1
 ), covered AS (
   SELECT r, count(DISTINCT i + k) AS n FROM twice, range(8) AS t(k) GROUP BY r
 ), m AS (
