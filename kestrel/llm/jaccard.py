@@ -81,6 +81,19 @@ class Sets:
             out.append(sums[self.ends] - sums[self.ends - self.size])
         return out[0], out[1]
 
+    def outlines(self) -> list[bytes | None]:
+        """Counts of each set's shingles by the low bits of a hash, one byte each:
+        ``outline_groups`` of them. Two sets differ in at least as many shingles as
+        their counts differ by. None if a count doesn't fit (then nothing is known)."""
+        groups = outline_groups(self.size)
+        ends = np.cumsum(groups)
+        owner = np.repeat(np.arange(len(groups)), self.size)
+        low = T.mix(self.values ^ _U(0x8CB92BA72F3D8DD7)).astype(np.int64) & (groups[owner] - 1)
+        counts = np.bincount((ends - groups)[owner] + low, minlength=int(groups.sum()))
+        small = counts.astype(np.uint8)
+        return [small[e - g:e].tobytes() if counts[e - g:e].max(initial=0) < 256 else None
+                for e, g in zip(ends.tolist(), groups.tolist())]
+
     def take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(values, place in ``which``) of the sets at the given places."""
         n = self.size[which]
@@ -88,6 +101,18 @@ class Sets:
         return self.values[at], np.repeat(np.arange(len(which)), n)
 
 
+def outline_groups(size: np.ndarray) -> np.ndarray:
+    """Groups of a set's outline: 64, or the power of two within size / 8 to size / 4."""
+    return np.maximum(64, 1 << np.maximum(np.frexp(np.maximum(size, 1) / 4.0)[1] - 1, 0)).astype(np.int64)
+
+
+def differences(x: bytes, y: bytes) -> int:
+    """At least so many shingles are in only one of the sets with these outlines."""
+    a, b = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
+    groups = min(len(a), len(b))
+    return int(np.abs(a.reshape(-1, groups).sum(axis=0) - b.reshape(-1, groups).sum(axis=0)).sum())
+
+
 def band_of(size: np.ndarray) -> np.ndarray:
     """Band k holds the sizes from 4**k to 4**(k + 1) - 1."""
     return ((np.frexp(size.astype(np.float64))[1] - 1) // 2).astype(np.int64)
@@ -155,7 +180,7 @@ def entries(sets: Sets, which: np.ndarray, band: int, bound: np.ndarray, plan) -
 
 # ---- passes over the documents ---------------------------------------------
 
-DESCRIBED = "doc_id bigint, size bigint, print1 bigint, print2 bigint, band int, block int, filled binary"
+DESCRIBED = "doc_id bigint, size bigint, print1 bigint, print2 bigint, outline binary, band int, block int, filled binary"
 
 
 def _describe(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -180,13 +205,13 @@ def _describe(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 none = pa.nulls(b - a, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(sets.size), pa.array(p1.view(np.int64)),
-                     pa.array(p2.view(np.int64)), none, none, pa.nulls(b - a, pa.binary())], _NAMES)
+                     pa.array(p2.view(np.int64)), pa.array(sets.outlines(), pa.binary()), none, none, pa.nulls(b - a, pa.binary())], _NAMES)
         for k, c in counts.items():
             blocks = c.astype("<i8").reshape(-1, STATS_BLOCK)
             some = np.flatnonzero(blocks.any(axis=1))
             no = pa.nulls(len(some), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [no, no, no, no, pa.array(np.full(len(some), k, np.int32)), pa.array(some.astype(np.int32)),
+                [no, no, no, no, pa.nulls(len(some), pa.binary()), pa.array(np.full(len(some), k, np.int32)), pa.array(some.astype(np.int32)),
                  pa.array([blocks[i].tobytes() for i in some], pa.binary())], _NAMES)
 
     _NAMES = [x.split()[0] for x in DESCRIBED.split(", ")]
@@ -342,6 +367,27 @@ def _bit(values: np.ndarray) -> np.ndarray:
     return (T.mix(values.astype(np.int64).view(_U)) & _U(MAP_BITS - 1)).astype(np.int64)
 
 
+def _possible(pairs: DataFrame, described: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and outlines don't rule out."""
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m, n = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            good = 100 * np.minimum(m, n) >= percent * np.maximum(m, n)
+            most = (100 - percent) * (m + n) // (100 + percent)
+            x, y = batch.column(4), batch.column(5)
+            for i in np.flatnonzero(good).tolist():
+                a, b = x[i].as_py(), y[i].as_py()
+                good[i] = a is None or b is None or differences(a, b) <= most[i]
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    def side(name: str) -> DataFrame:
+        return described.where("band IS NULL").select(F.col("doc_id").alias(name), F.col("size").alias(f"size_{name}"),
+                                                      F.col("outline").alias(f"outline_{name}"))
+
+    both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "size_a", "size_b", "outline_a", "outline_b")
+    return saved(both.mapInArrow(check, "a bigint, b bigint").distinct(), "jaccard-possible")
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of ``pairs`` whose whole sets are similar enough.
 
@@ -413,13 +459,13 @@ def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     to_class = saved(to_class, "jaccard-copies")
     pairs = relabel(relabel(met.where("a IS NOT NULL").select("a", "b"), "a", to_class), "b", to_class).where("a <> b")
     pairs = saved(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-pairs")
-    links = _verified(docs, pairs, width, percent)
+    links = _verified(docs, _possible(pairs, described, percent), width, percent)
     same = copies.select(F.col("label").alias("a"), F.col("node").alias("b"))
     labels = components(links.unionByName(same))
 
     rest = _between_components(met, to_class, labels, sets, percent)
     if rest is not None:
-        rest = saved(rest.join(pairs, ["a", "b"], "left_anti"), "jaccard-pairs")
+        rest = _possible(rest.join(pairs, ["a", "b"], "left_anti"), described, percent)
         if not rest.isEmpty():
             labels = components(_verified(docs, rest, width, percent).unionByName(links).unionByName(same))
 
