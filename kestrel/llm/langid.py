@@ -92,7 +92,7 @@ class Model:
                 escapes[known, k] = np.log2((total[known] + kinds[known]) / kinds[known])
                 own = g[some]
                 context = some >> SYMBOL_BITS
-                with np.errstate(divide="ignore"):
+                with np.errstate(divide="ignore", invalid="ignore"):
                     direct = np.log2(total[context] + kinds[context]) - np.log2(own)
                 shorter = (flat[k] if order == 0 else self._lookup(order - 1, some & ((size >> SYMBOL_BITS) - 1))[:, k])
                 bits[:, k] = np.where(own > 0, direct, escapes[context, k] + shorter)
