@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,30 +21,14 @@ def affine(c, offset: float, scale: float) -> Column:
     return F.transform(_col(c), lambda x: F.lit(offset) + F.lit(scale) * x)
 
 
-def euclidean(x, y, dims: int | None = None) -> Column:
+def euclidean(x, y) -> Column:
     """Euclidean distance of two arrays, zipped to the shorter one.
 
     Zipping to the shorter length is the reference's behaviour; elements past
-    the common length are ignored. With ``dims`` (both arrays have at least
-    that many elements) the sum is unrolled into plain arithmetic that stays
-    in generated code; higher-order functions are interpreted per element.
-    Measured on 2M pairs of 64 doubles: 0.6 s unrolled against 2.4 s.
+    the common length are ignored. The expression doesn't grow with the width.
     """
     a, b = _col(x), _col(y)
-    if dims is not None:
-        terms = [(F.get(a, j) - F.get(b, j)) * (F.get(a, j) - F.get(b, j)) for j in range(dims)]
-        return F.sqrt(reduce(add, terms))
     n = F.least(F.size(a), F.size(b))
     a, b = F.slice(a, 1, n), F.slice(b, 1, n)
     sq = F.zip_with(a, b, lambda u, v: (u - v) * (u - v))
     return F.sqrt(F.aggregate(sq, F.lit(0.0).cast("double"), lambda acc, t: acc + t))
-
-
-def squared_distance_to(xs: list[Column], center: list[float]) -> Column:
-    """Squared distance of per-dimension columns to a literal point.
-
-    Unrolled arithmetic, summed left to right in dimension order, so it stays
-    inside whole-stage codegen (higher-order functions do not).
-    """
-    terms = [(x - F.lit(float(c))) * (x - F.lit(float(c))) for x, c in zip(xs, center)]
-    return reduce(add, terms)

@@ -52,7 +52,7 @@ def training_cost(model: KMeansModel) -> float:
 
 def cost(model: KMeansModel, df: DataFrame, array_col: str, id_col: str) -> DataFrame:
     """One row ``cost`` for any rows, from the model's centers (M10, SQL form)."""
-    pts, _ = prepare_points(df, array_col, id_col)
+    pts, *_ = prepare_points(df, array_col, id_col)
     cents = Centroids.of([list(c) for c in model.clusterCenters()])
     a = assign(pts, cents)
     return a.agg(F.sum(F.col("dist") * F.col("dist")).alias("cost"))

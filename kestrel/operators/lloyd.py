@@ -21,17 +21,13 @@ per pass, never points). Each pass is **one job**:
 * restarts advance in lockstep: one scan per pass serves every live run.
 
 The lineage of every pass is the same short plan (scan -> mapInArrow ->
-aggregate), so nothing needs checkpointing; the prepared points are
-persisted (memory and disk) and recomputed from the scan if an executor is
-lost.
-
-A second form keeps everything in generated JVM code: the centroids enter the
-plan as literals and the distances are unrolled arithmetic. Measured on
-local[8] with 2M points of 64 dims and k = 4, it is 3-5x slower than the
-numpy form (assignment 12.4 s vs 4.2 s, full pass 18.4 s vs 3.6 s), it
-recompiles every pass (the literals change), and at k = 16 the generated
-method passes the 64 KB limit and Spark falls back to interpretation. It is
-kept as ``method="literal"`` and as the second form in the tests.
+aggregate), so nothing needs checkpointing; persisted points (a parameter) are
+recomputed from the scan if an executor is lost.
+
+Vectors are checked before a run: one aggregate over all rows finds their
+lengths, missing vectors and missing or non-finite components, and
+:func:`prepare_points` fails on any unless the caller asks to drop such rows,
+in which case it says how many.
 
 Deviations from the reference, by design: a seed for the random init (D15);
 ``max_iterations < 0`` is rejected instead of failing later (D16); the result
@@ -44,6 +40,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 import numpy as np
 from pyspark import StorageLevel, cloudpickle
@@ -51,15 +48,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from ..functions.arrays import squared_distance_to
 from . import kmeans_kernels as kernels
 from .ordering import hash_sample_k, lowest_k, sample_k
-from .vectors import dims_of
-
-# The literal form is refused above this many centroid numbers (k * dims):
-# the generated code would pass the JVM's 64 KB method limit (seen at
-# k = 16, dims = 64 for a pass that scores two centroid sets).
-LITERAL_LIMIT = 512
 
 # Ship the numpy kernels with the closures instead of requiring the package
 # on every executor.
@@ -91,8 +81,25 @@ class Centroids:
         return spark.createDataFrame(rows, "cid int, center array<double>")
 
 
+def invalid_vector(vec: Column, dims: int) -> Column:
+    """True for a missing vector, another length than ``dims``, or a missing or
+    non-finite component."""
+    def bad(x: Column) -> Column:
+        v = x.cast("double")
+        return v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))
+
+    return vec.isNull() | (F.size(vec) != dims) | F.exists(vec, bad)
+
+
+class PreparedPoints(NamedTuple):
+    points: DataFrame
+    dims: int
+    dropped: int  # rows left out (0 unless on_invalid="drop")
+
+
 def prepare_points(df: DataFrame, features_col: str = "features", id_col: str = "id",
-                   dims: int | None = None, keep: Sequence[str] = ()) -> tuple[DataFrame, int]:
+                   dims: int | None = None, keep: Sequence[str] = (),
+                   on_invalid: str = "error") -> PreparedPoints:
     """Points as ``id``, kept columns and the vector as one array column ``_v``.
 
     One array column moves to Python as a single contiguous Arrow buffer:
@@ -100,58 +107,55 @@ def prepare_points(df: DataFrame, features_col: str = "features", id_col: str =
     columns through pandas. FLOAT elements stay FLOAT (half the memory of the
     persisted points); every distance is still computed in DOUBLE, the
     widening being exact. Other numeric elements become DOUBLE.
-    Rows whose vector does not have ``dims`` elements are left out, the
-    arity check of the reference's loader (S4).
+
+    ``dims`` is taken from all rows when not given; vectors of different
+    lengths are then an error. A row with an invalid vector
+    (:func:`invalid_vector`) raises ``ValueError`` with the count of such rows;
+    ``on_invalid="drop"`` leaves them out and returns their count as ``dropped``.
     """
-    d = dims or dims_of(df, features_col)
+    if on_invalid not in ("error", "drop"):
+        raise ValueError("on_invalid must be 'error' or 'drop'")
+    col = F.col(features_col)
+    if dims is None:
+        r = df.agg(F.min(F.size(col)).alias("lo"), F.max(F.size(col)).alias("hi")).first()
+        if r["hi"] is None or r["hi"] < 0:
+            raise ValueError(f"no non-null '{features_col}' to take the dimension from")
+        if df.where(col.isNotNull()).agg(F.min(F.size(col))).first()[0] != r["hi"]:
+            raise ValueError(f"vectors of different lengths in '{features_col}'; give dims")
+        dims = r["hi"]
+    invalid = df.agg(F.count_if(invalid_vector(col, dims))).first()[0]
+    if invalid and on_invalid == "error":
+        raise ValueError(f"{invalid} rows whose '{features_col}' isn't {dims} finite numbers; "
+                         "on_invalid='drop' leaves them out")
+    if invalid:
+        df = df.where(~invalid_vector(col, dims))
+    return PreparedPoints(df.select(F.col(id_col).alias("id"), *keep, _numbers(df, features_col).alias("_v")),
+                          dims, invalid)
+
+
+def _numbers(df: DataFrame, features_col: str) -> Column:
     elem = df.schema[features_col].dataType.elementType.simpleString()
     vec = F.col(features_col)
-    if elem not in ("float", "double"):
-        vec = F.transform(vec, lambda x: x.cast("double"))
-    pts = (df.filter(F.size(features_col) == d)
-             .select(F.col(id_col).alias("id"), *keep, vec.alias("_v")))
-    return pts, d
-
-
-def _xs(d: int) -> list[Column]:
-    return [F.get(F.col("_v"), j) for j in range(d)]
-
-
-def _with_nearest(df: DataFrame, cents: Centroids, tag: str = "") -> DataFrame:
-    """Add ``{tag}cid`` and ``{tag}dist``: the nearest centroid, first minimum
-    winning (A11, M13).
-
-    The k distances are their own projection, and the argmin reads them as
-    columns: inlined, the large distance expression would be generated once
-    per use (array_min, array_position, the aggregates), several times over.
-    """
-    xs = _xs(cents.dims)
-    dcols = [f"_{tag}d{i}" for i in range(cents.k)]
-    df = df.select("*", *[F.sqrt(squared_distance_to(xs, c)).alias(n)
-                          for n, c in zip(dcols, cents.centers)])
-    if cents.k == 1:
-        return df.withColumn(f"{tag}cid", F.lit(cents.cids[0])) \
-                 .withColumnRenamed(dcols[0], f"{tag}dist")
-    arr = F.array(*[F.col(n) for n in dcols])
-    best = F.array_min(arr)
-    pos = F.array_position(arr, best).cast("int")
-    cid = F.element_at(F.array(*[F.lit(c) for c in cents.cids]), pos)
-    return df.select("*", cid.alias(f"{tag}cid"), best.alias(f"{tag}dist")).drop(*dcols)
+    return vec if elem in ("float", "double") else F.transform(vec, lambda x: x.cast("double"))
 
 
 def assign(points: DataFrame, cents: Centroids, keep: Sequence[str] = ("id",),
-           with_features: bool = False, method: str = "auto") -> DataFrame:
+           with_features: bool = False) -> DataFrame:
     """``keep`` columns, ``cid``, ``dist`` for prepared points.
 
-    With ``with_features`` the vector ``_v`` rides along, so the update needs
-    no join back to the data by id (J3). ``method``: "auto"/"numpy" scores in
-    ``mapInArrow``; "literal" in generated code (k * dims up to
-    ``LITERAL_LIMIT``, else the numpy form is used).
+    With ``with_features`` the vector ``_v`` rides along, so an update needs
+    no join back to the data by id (J3).
     """
-    if method in ("numpy", "auto") or cents.k * cents.dims > LITERAL_LIMIT:
-        return _assign_numpy(points, cents, keep, with_features)
-    out = _with_nearest(points.select(*keep, "_v"), cents)
-    return out.select(*keep, "cid", "dist", *(["_v"] if with_features else []))
+    C = np.asarray(cents.centers, dtype=np.float64)
+    cids = np.asarray(cents.cids, dtype=np.int32)
+    d, keep = cents.dims, list(keep)
+    src = points.select(*keep, "_v")
+    schema = StructType([src.schema[k] for k in keep]
+                        + [StructField("cid", IntegerType()), StructField("dist", DoubleType())]
+                        + ([src.schema["_v"]] if with_features else []))
+    get, _ = _ship(points.sparkSession, (C, cids))  # lives as long as the DataFrame
+    return src.mapInArrow(
+        lambda it: kernels.assign_batches(it, d, keep, *get(), with_features), schema)
 
 
 # Centroid data above this size goes to executors as a broadcast variable
@@ -178,20 +182,6 @@ def _ship(spark: SparkSession, obj):
     return (lambda: bc.value), bc.destroy
 
 
-def _assign_numpy(points: DataFrame, cents: Centroids, keep: Sequence[str],
-                  with_features: bool) -> DataFrame:
-    C = np.asarray(cents.centers, dtype=np.float64)
-    cids = np.asarray(cents.cids, dtype=np.int32)
-    d, keep = cents.dims, list(keep)
-    src = points.select(*keep, "_v")
-    schema = StructType([src.schema[k] for k in keep]
-                        + [StructField("cid", IntegerType()), StructField("dist", DoubleType())]
-                        + ([src.schema["_v"]] if with_features else []))
-    get, _ = _ship(points.sparkSession, (C, cids))  # lives as long as the DataFrame
-    return src.mapInArrow(
-        lambda it: kernels.assign_batches(it, d, keep, *get(), with_features), schema)
-
-
 # -- one pass ----------------------------------------------------------------
 
 @dataclass
@@ -228,65 +218,28 @@ class PassStats:
         return Centroids.of(centers, cids)
 
 
-def _pass_aggs(d: int, with_moved: bool) -> list[Column]:
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum("dist").alias("sum_dist"),
-            F.sum(F.col("dist") * F.col("dist")).alias("sse")]
-    aggs += [F.sum(F.get(F.col("_v"), j)).alias(f"s{j}") for j in range(d)]
-    if with_moved:
-        aggs.append(F.count_if(F.col("cid") != F.col("prev_cid")).alias("moved"))
-    return aggs
-
-
-def _pass_literal(points: DataFrame, cur: Centroids, prev: Centroids | None) -> list:
-    d = cur.dims
-    df = _with_nearest(points.select("_v"), cur)
-    if prev is not None:
-        df = _with_nearest(df, prev, "prev_")
-    rows = df.groupBy("cid").agg(*_pass_aggs(d, prev is not None)).collect()  # <= k rows
-    return [(r["cid"], r["n"], r["sum_dist"], r["sse"], [r[f"s{j}"] for j in range(d)],
-             r["moved"] if prev is not None else None) for r in rows]
+def _arrays(runs: list[tuple[Centroids, Centroids | None]]) -> list:
+    return [(np.asarray(cur.centers, dtype=np.float64), np.asarray(cur.cids, dtype=np.int64),
+             None if prev is None else np.asarray(prev.centers, dtype=np.float64),
+             None if prev is None else np.asarray(prev.cids, dtype=np.int64))
+            for cur, prev in runs]
 
 
-# Per-task partial rows are merged on the driver when their total size is
-# at most this many numbers (checked before the job runs); above it, a
-# distributed groupBy merges them.
-DRIVER_MERGE_MAX_NUMBERS = 2_000_000
+PARTIALS = ("run int, cid long, n long, sum_dist double, sse double, moved long, "
+            "sums array<double>")
 
 
-def _pass_numpy(points: DataFrame, runs: list[tuple[Centroids, Centroids | None]],
-                n_partitions: int | None = None) -> list:
+def _pass_rows(points: DataFrame, runs: list[tuple[Centroids, Centroids | None]]) -> list:
     """One job for several runs: rows (run, cid, n, sum_dist, sse, sums, moved).
 
-    Every task emits at most (runs x k) partial rows. With few partitions
-    their total is small and proven before the job (partitions x runs x k x
-    (dims + 6) numbers), so they are collected and summed on the driver, the
-    last step of a tree aggregation, one stage per pass. Otherwise the sums
-    travel as one array per partial row and a ``groupBy`` merges them with
-    MLlib's ``Summarizer.sum`` (partial aggregation per task, five aggregates
-    whatever the dimension).
+    Every task emits at most (runs x k) partial rows with the sums as one
+    array, and a ``groupBy`` merges them (:func:`merge_partials`): at most
+    runs x k rows come to the driver.
     """
     d = runs[0][0].dims
-    arrays = [(np.asarray(cur.centers, dtype=np.float64), np.asarray(cur.cids, dtype=np.int64),
-               None if prev is None else np.asarray(prev.centers, dtype=np.float64),
-               None if prev is None else np.asarray(prev.cids, dtype=np.int64))
-              for cur, prev in runs]
-    schema = ("run int, cid long, n long, sum_dist double, sse double, moved long, "
-              "sums array<double>")
-    get, release = _ship(points.sparkSession, arrays)
-    src = points if points.columns == ["_v"] else points.select("_v")
-    parts = src.mapInArrow(lambda it: kernels.partial_pass(it, d, get()), schema)
-    n_partitions = n_partitions or src.rdd.getNumPartitions()
-    bound = n_partitions * sum(c.k for c, _ in runs) * (d + 6)
+    get, release = _ship(points.sparkSession, _arrays(runs))
+    parts = points.select("_v").mapInArrow(lambda it: kernels.partial_pass(it, d, get()), PARTIALS)
     try:
-        if bound <= DRIVER_MERGE_MAX_NUMBERS:
-            merged: dict = {}
-            for r in parts.collect():
-                key = (r["run"], r["cid"])
-                a = merged.get(key)
-                vals = [r["n"], r["sum_dist"], r["sse"], np.asarray(r["sums"]), r["moved"]]
-                merged[key] = vals if a is None else [x + y for x, y in zip(a, vals)]
-            return [(run, cid, n, sd, sse, list(sums), moved)
-                    for (run, cid), (n, sd, sse, sums, moved) in merged.items()]
         rows = merge_partials(parts).collect()  # <= runs * k rows
     finally:
         release()
@@ -305,15 +258,10 @@ def merge_partials(parts: DataFrame) -> DataFrame:
 
 
 def pass_frame(points: DataFrame, cur: Centroids, prev: Centroids | None = None) -> DataFrame:
-    """The DataFrame one numpy pass evaluates (distributed-merge form), for
-    ``explain`` and inspection; :func:`lloyd_pass` runs it."""
-    arrays = [(np.asarray(cur.centers, dtype=np.float64), np.asarray(cur.cids, dtype=np.int64),
-               None if prev is None else np.asarray(prev.centers, dtype=np.float64),
-               None if prev is None else np.asarray(prev.cids, dtype=np.int64))]
-    schema = ("run int, cid long, n long, sum_dist double, sse double, moved long, "
-              "sums array<double>")
-    d = cur.dims
-    parts = points.select("_v").mapInArrow(lambda it: kernels.partial_pass(it, d, arrays), schema)
+    """The DataFrame that one pass evaluates: (run, cid, n, sum_dist, sse,
+    moved, sums), a row per cluster."""
+    arrays, d = _arrays([(cur, prev)]), cur.dims
+    parts = points.select("_v").mapInArrow(lambda it: kernels.partial_pass(it, d, arrays), PARTIALS)
     return merge_partials(parts)
 
 
@@ -327,26 +275,20 @@ def _stats(rows, with_moved: bool) -> PassStats:
     return st
 
 
-def lloyd_passes(points: DataFrame, runs: list[tuple[Centroids, Centroids | None]],
-                 method: str = "numpy", n_partitions: int | None = None) -> list[PassStats]:
-    """One pass of several independent runs over a single scan of the points.
-
-    ``method="literal"`` (generated code, one run at a time) is kept for
-    comparison; "numpy" scores all runs in the same task.
-    """
-    if method == "literal" and all(c.k * c.dims <= LITERAL_LIMIT for c, _ in runs):
-        return [_stats(_pass_literal(points, cur, prev), prev is not None) for cur, prev in runs]
-    rows = _pass_numpy(points, runs, n_partitions)
+def lloyd_passes(points: DataFrame,
+                 runs: list[tuple[Centroids, Centroids | None]]) -> list[PassStats]:
+    """One pass of several independent runs over a single scan of the points."""
+    rows = _pass_rows(points, runs)
     return [_stats([row[1:] for row in rows if row[0] == r], prev is not None)
             for r, (_, prev) in enumerate(runs)]
 
 
-def lloyd_pass(points: DataFrame, cur: Centroids, prev: Centroids | None = None,
-               method: str = "auto") -> PassStats:
+def lloyd_pass(points: DataFrame, cur: Centroids, prev: Centroids | None = None) -> PassStats:
     """Assign, aggregate and (with ``prev``) count moved points in one job."""
-    if method == "auto" or cur.k * cur.dims > LITERAL_LIMIT:
-        method = "numpy"
-    return lloyd_passes(points, [(cur, prev)], method)[0]
+    return lloyd_passes(points, [(cur, prev)])[0]
+
+
+PERSIST = StorageLevel.MEMORY_AND_DISK
 
 
 # -- init and loop -----------------------------------------------------------------
@@ -388,14 +330,18 @@ class LloydResult:
     def passes(self) -> int:
         return self.iterations + 1
 
-    def assignment(self, keep: Sequence[str] = ("id",), method: str = "auto") -> DataFrame:
+    @property
+    def converged(self) -> bool:
+        """Whether the last pass moved no point."""
+        return self.iterations > 0 and self.history[-1]["moved"] == 0
+
+    def assignment(self, keep: Sequence[str] = ("id",)) -> DataFrame:
         """(id, cid, dist) of the last pass."""
-        return assign(self.points, self.centroids, keep, method=method)
+        return assign(self.points, self.centroids, keep)
 
 
 def lloyd_many(points: DataFrame, inits: Sequence[Centroids], max_iterations: int,
-               empty: str = "drop", method: str = "numpy",
-               persist: bool = True) -> list[LloydResult]:
+               empty: str = "drop", persist: StorageLevel | None = PERSIST) -> list[LloydResult]:
     """Independent Lloyd runs in lockstep, one job per pass for all live runs.
 
     Pass 0 never tests movement. After pass i > 0 a run stops when no point
@@ -406,26 +352,23 @@ def lloyd_many(points: DataFrame, inits: Sequence[Centroids], max_iterations: in
 
     ``points`` must come from :func:`prepare_points`.
 
-    ``method``: "numpy" (default) scores the runs in ``mapInArrow`` with
-    per-task partial sums; "literal" keeps the pass in generated JVM code
-    (slower, see the module notes) and runs one job per live run.
+    ``persist``: storage level of the points during the run, or None.
     """
     if max_iterations < 0:
         raise ValueError("max_iterations must be >= 0")
     if empty not in ("drop", "keep"):
         raise ValueError("empty must be 'drop' or 'keep'")
-    cached = points.persist(StorageLevel.MEMORY_AND_DISK) if persist else points
+    cached = points.persist(persist) if persist else points
     try:
         state = [{"cur": c, "prev": None, "it": 0, "hist": [], "done": None} for c in inits]
         # built once: the pass plans differ only in the centroids
         coords = cached.select("_v")
-        n_partitions = coords.rdd.getNumPartitions()  # fixed for the whole run
         while True:
             live = [s for s in state if s["done"] is None]
             if not live:
                 break
             stats = lloyd_passes(coords, [(s["cur"], s["prev"] if s["it"] > 0 else None)
-                                          for s in live], method, n_partitions)
+                                          for s in live])
             for s, st in zip(live, stats):
                 s["hist"].append({"pass": s["it"], "metric": st.metric, "cost": st.cost,
                                   "moved": st.moved, "k": s["cur"].k, "centroids": s["cur"]})
@@ -442,14 +385,14 @@ def lloyd_many(points: DataFrame, inits: Sequence[Centroids], max_iterations: in
 
 
 def lloyd(points: DataFrame, k: int, max_iterations: int, init="random",
-          seed: int | None = None, empty: str = "drop", method: str = "numpy",
-          persist: bool = True) -> LloydResult:
+          seed: int | None = None, empty: str = "drop",
+          persist: StorageLevel | None = PERSIST) -> LloydResult:
     """One Lloyd run from ``init`` ("random" with ``seed``, "lowest", or
     :class:`Centroids`); see :func:`lloyd_many` for the loop semantics."""
-    cached = points.persist(StorageLevel.MEMORY_AND_DISK) if persist else points
+    cached = points.persist(persist) if persist else points
     try:
         cents = init_centroids(cached, k, init, seed)
-        res = lloyd_many(cached, [cents], max_iterations, empty, method, persist=False)[0]
+        res = lloyd_many(cached, [cents], max_iterations, empty, persist=None)[0]
         res.points = points
         return res
     finally:
@@ -458,19 +401,21 @@ def lloyd(points: DataFrame, k: int, max_iterations: int, init="random",
 
 
 def restarts(points: DataFrame, k: int, max_iterations: int, n: int = 5,
-             base_seed: int = 0, init: str = "random", **kw) -> DataFrame:
+             base_seed: int = 0, init: str = "random", empty: str = "drop",
+             persist: StorageLevel | None = PERSIST) -> DataFrame:
     """``n`` runs from random inits with seeds ``base_seed + i``.
 
     The runs advance together, so each pass reads the points once for all of
     them (the reference re-reads the input per run). Returns one row per run:
     restart, seed, metric, iterations.
     """
-    cached = points.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = points.persist(persist) if persist else points
     try:
         inits = [init_centroids(cached, k, init, base_seed + i) for i in range(n)]
-        results = lloyd_many(cached, inits, max_iterations, persist=False, **kw)
+        results = lloyd_many(cached, inits, max_iterations, empty, persist=None)
     finally:
-        cached.unpersist()
+        if persist:
+            cached.unpersist()
     runs = [(i, base_seed + i, r.metric, r.iterations) for i, r in enumerate(results)]
     spark = points.sparkSession
     return spark.createDataFrame(runs, "restart int, seed int, metric double, iterations int")
@@ -490,25 +435,24 @@ def kmeans_cost(assignment: DataFrame, dist_col: str = "dist") -> DataFrame:
     return assignment.agg(F.sum(F.col(dist_col) * F.col(dist_col)).alias("cost"))
 
 
-def moved_points(cur: DataFrame, prev: DataFrame, id_col: str = "id",
-                 cid_col: str = "cid") -> DataFrame:
-    """Points whose cluster differs between two assignments.
-
-    Join form of the reference; both sides are partitioned on the id by the
-    join. The loop itself uses the fused column comparison instead.
-    """
-    p = prev.select(F.col(id_col), F.col(cid_col).alias("prev_cid"))
-    return (cur.select(id_col, cid_col).join(p, id_col)
-               .filter(F.col(cid_col) != F.col("prev_cid")))
+def moved_points(points: DataFrame, cur: Centroids, prev: Centroids) -> DataFrame:
+    """``id``, ``prev_cid``, ``cid`` of the prepared points whose cluster differs
+    between two sets of centroids (J5, P12, M16). Each point is scored against
+    both in one task; nothing is joined or shuffled."""
+    (C, cids, P, pcids), = _arrays([(cur, prev)])
+    d = cur.dims
+    src = points.select("id", "_v")
+    schema = StructType([src.schema["id"], StructField("prev_cid", IntegerType()),
+                         StructField("cid", IntegerType())])
+    return src.mapInArrow(lambda it: kernels.moved_batches(it, d, C, cids, P, pcids), schema)
 
 
-def update_centroids(assigned_with_features: DataFrame, dims: int,
-                     cid_col: str = "cid") -> DataFrame:
-    """(cid, center, n): mean of the members per cluster."""
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(F.get(F.col("_v"), j)).alias(f"_m{j}")
-                                              for j in range(dims)]
-    res = assigned_with_features.groupBy(cid_col).agg(*aggs)
-    return res.select(cid_col, F.array(*[F.col(f"_m{j}") for j in range(dims)]).alias("center"), "n")
+def update_centroids(points: DataFrame, cents: Centroids) -> DataFrame:
+    """(cid, center, n): mean of the members per cluster (A9, M14), from the
+    per-task sums of one pass."""
+    p = pass_frame(points, cents)
+    center = F.transform("sums", lambda s: s / F.col("n"))
+    return p.select(F.col("cid").cast("int").alias("cid"), center.alias("center"), "n")
 
 
 # -- estimator-style entry point -----------------------------------------------------
@@ -532,9 +476,18 @@ class LloydModel:
         return self.result.iterations
 
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        """``id``, ``keep`` columns, ``cid`` and ``dist`` of every row of ``df``."""
-        pts, _ = prepare_points(df, self.features_col, self.id_col, self.centroids.dims, keep)
-        return assign(pts, self.centroids, keep=["id", *keep]).withColumnRenamed("id", self.id_col)
+        """``id``, ``keep`` columns, ``cid`` and ``dist`` of every row of ``df``;
+        both null where the vector is invalid."""
+        d = self.centroids.dims
+        bad = invalid_vector(F.col(self.features_col), d)
+        filler = F.array_repeat(F.lit(0.0).cast("double"), d)
+        vec = _numbers(df, self.features_col).cast("array<double>")
+        pts = df.select(F.col(self.id_col).alias("id"), *keep, bad.alias("_bad"),
+                        F.when(bad, filler).otherwise(vec).alias("_v"))
+        out = assign(pts, self.centroids, keep=["id", *keep, "_bad"])
+        for c in ("cid", "dist"):
+            out = out.withColumn(c, F.when(~F.col("_bad"), F.col(c)))
+        return out.drop("_bad").withColumnRenamed("id", self.id_col)
 
     def centers(self, spark: SparkSession) -> DataFrame:
         return self.centroids.to_df(spark)
@@ -549,11 +502,11 @@ class LloydKMeans:
     """``LloydKMeans(k, max_iterations).fit(df)`` -> :class:`LloydModel`."""
 
     def __init__(self, k: int, max_iterations: int = 20, init="random", seed: int | None = None,
-                 empty: str = "drop", method: str = "numpy"):
+                 empty: str = "drop", on_invalid: str = "error"):
         self.k, self.max_iterations, self.init, self.seed = k, max_iterations, init, seed
-        self.empty, self.method = empty, method
+        self.empty, self.on_invalid = empty, on_invalid
 
     def fit(self, df: DataFrame, features_col: str = "features", id_col: str = "id") -> LloydModel:
-        pts, _ = prepare_points(df, features_col, id_col)
-        res = lloyd(pts, self.k, self.max_iterations, self.init, self.seed, self.empty, self.method)
+        pts = prepare_points(df, features_col, id_col, on_invalid=self.on_invalid).points
+        res = lloyd(pts, self.k, self.max_iterations, self.init, self.seed, self.empty)
         return LloydModel(res, features_col, id_col)

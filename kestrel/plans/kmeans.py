@@ -21,8 +21,8 @@ K = 4
 
 def _points(spark, data_dir):
     emb = load_table(spark, data_dir, "embeddings")
-    pts, d = L.prepare_points(emb, "embedding", "vec_id", keep=["label"])
-    return pts, d
+    p = L.prepare_points(emb, "embedding", "vec_id", keep=["label"])
+    return p.points, p.dims
 
 
 def _centroids_by_pass(pts, passes: int) -> list[L.Centroids]:
@@ -73,10 +73,8 @@ def nearest_centroid(spark, data_dir):
        oracle=_cte(0) + "SELECT cid, pos, round(v, 6) AS value FROM c1")
 def lloyd_update(spark, data_dir):
     """M14, A9, J3/J4 removed: member means after pass 0, one aggregation."""
-    pts, d = _points(spark, data_dir)
-    cents = L.init_centroids(pts, K, "lowest")
-    a = L.assign(pts, cents, keep=("id",), with_features=True)
-    upd = L.update_centroids(a, d)
+    pts, _ = _points(spark, data_dir)
+    upd = L.update_centroids(pts, L.init_centroids(pts, K, "lowest"))
     return upd.select("cid", F.posexplode("center").alias("pos", "value")) \
               .select("cid", "pos", F.round("value", 6).alias("value"))
 
@@ -97,9 +95,8 @@ def lloyd_moved(spark, data_dir):
     """Points whose cluster changed between passes 1 and 2."""
     pts, _ = _points(spark, data_dir)
     hist = _centroids_by_pass(pts, 2)
-    a1 = _assignment(pts, hist[min(1, len(hist) - 1)], keep=("id",))
-    a2 = _assignment(pts, hist[-1], keep=("id",))
-    return L.moved_points(a2, a1, "vec_id").select("vec_id", "prev_cid", "cid")
+    moved = L.moved_points(pts, hist[-1], hist[min(1, len(hist) - 1)])
+    return moved.select(F.col("id").alias("vec_id"), "prev_cid", "cid")
 
 
 @query("intra_cluster_distance", oracle=_cte(1) + """

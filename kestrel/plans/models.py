@@ -339,7 +339,7 @@ def gen_then_cluster(spark, data_dir):
     schema = ", ".join([f"{x} DOUBLE" for x in xs] + ["label INT"])
     back = with_row_id(read_csv(spark, path, schema, mode="FAILFAST"), "id")
     back = back.withColumn("features", F.array(*xs))
-    prepared, _ = L.prepare_points(back, "features", "id", dims=GEN_DIMS)
+    prepared, *_ = L.prepare_points(back, "features", "id", dims=GEN_DIMS)
     res = L.lloyd(prepared, GEN_K, 100, init="random", seed=GEN_SEED)
     return _history_df(spark, res)
 

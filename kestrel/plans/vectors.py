@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import affine, drop_last, euclidean
 from ..operators.features import assemble
-from ..operators.vectors import dims_of, explode_vector, vector_mean_by_key, vector_sum_by_key
+from ..operators.vectors import explode_vector, vector_mean_by_key, vector_sum_by_key
+from ..session import scratch_path
 from ..sources.tables import load_table
 from .registry import query
 
 # Affine map of the reference's generator: 10 + s * x, here with s = 2.
 AFFINE_OFFSET = 10.0
 AFFINE_SCALE = 2.0
+# 64 MB of doubles.
+MEANS_BROADCAST_NUMBERS = 8_000_000
 
 
 @query("array_drop_last", oracle="""
@@ -55,15 +58,18 @@ GROUP BY p.vec_id, p.label
 def euclidean_distance(spark, data_dir):
     """F6 (and A9): distance of each vector to the mean vector of its label.
 
-    The per-label means are one aggregation (labels x dims numbers); the join
-    back on the label is broadcast by size, not by hint.
+    The per-label means are one aggregation. Their measured size decides the
+    join back on the label: up to ``MEANS_BROADCAST_NUMBERS`` they are sent to
+    the tasks and no vector is shuffled, beyond that it is a plain join.
     """
     emb = load_table(spark, data_dir, "embeddings")
-    d = dims_of(emb, "embedding")
-    means = vector_mean_by_key(emb, "label", "embedding", dims=d, out="m", count_col=None)
-    joined = emb.join(means, "label")
-    return joined.select("vec_id", "label",
-                         F.round(euclidean("embedding", "m", dims=d), 6).alias("dist"))
+    path = scratch_path(spark, "label-means")
+    vector_mean_by_key(emb, "label", "embedding", out="m", count_col=None).write.parquet(path)
+    means = spark.read.parquet(path)
+    if (means.agg(F.sum(F.size("m"))).first()[0] or 0) <= MEANS_BROADCAST_NUMBERS:
+        means = F.broadcast(means)
+    return emb.join(means, "label").select(
+        "vec_id", "label", F.round(euclidean("embedding", "m"), 6).alias("dist"))
 
 
 @query("vector_sum_by_key", oracle="""

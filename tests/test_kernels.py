@@ -62,10 +62,11 @@ def test_float_batches_widen_exactly_and_respect_slices():
     assert got.dtype == np.float64 and np.array_equal(got, X[3:8].astype(np.float64))
 
 
-def test_direct_and_matrix_forms_agree():
+def test_matrix_form_matches_exact_distances():
     rng = np.random.default_rng(3)
     X = 10 + 2 * rng.normal(size=(2000, 16))
-    C = X[:12].copy()
-    a_idx, a_d = K._nearest_direct(X, C)
-    b_idx, b_d = K.nearest(X, C)  # 12 centroids: matrix form
-    assert (a_idx == b_idx).all() and np.allclose(a_d, b_d, rtol=0, atol=1e-12)
+    for k in (1, 3, 12):
+        C = X[:k].copy()
+        exact = K._exact(X, C)
+        idx, dist = K.nearest(X, C)
+        assert (idx == exact.argmin(axis=1)).all() and np.allclose(dist, exact.min(axis=1), rtol=0, atol=1e-12)

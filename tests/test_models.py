@@ -68,7 +68,7 @@ def test_mllib_kmeans_properties(spark):
     pred = cluster_ml.predict(m1, emb, keep=["vec_id", "embedding"])
     sizes = pred.groupBy("prediction").count().collect()
     assert sum(r["count"] for r in sizes) == emb.count()
-    pts, _ = prepare_points(emb.drop("features"), "embedding", "vec_id")
+    pts, *_ = prepare_points(emb.drop("features"), "embedding", "vec_id")
     mine = {r.id: r.cid for r in assign(pts, Centroids.of(m1.clusterCenters())).collect()}
     assert all(mine[r.vec_id] == r.prediction for r in pred.collect())
     cost = cluster_ml.cost(m1, emb.drop("features"), "embedding", "vec_id").collect()[0].cost

@@ -28,11 +28,10 @@ def test_count_distinct_combines_before_each_shuffle(spark):
 
 def test_lloyd_pass_scores_without_a_join(spark):
     emb = spark.read.parquet(f"{SF001}/embeddings.parquet")
-    pts, _ = L.prepare_points(emb, "embedding", "vec_id")
+    pts, *_ = L.prepare_points(emb, "embedding", "vec_id")
     cents = L.init_centroids(pts, 3, "lowest")
-    for method in ("numpy", "literal"):
-        plan = _plan(L.assign(pts, cents, method=method))
-        assert "Join" not in plan and "CartesianProduct" not in plan
+    plan = _plan(L.assign(pts, cents))
+    assert "Join" not in plan and "CartesianProduct" not in plan
 
 
 def test_row_index_splits_a_hot_key(spark):
@@ -50,10 +49,12 @@ def test_row_index_broadcasts_only_the_offsets(spark):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
-def test_literal_form_falls_back_above_the_limit(spark):
-    emb = spark.read.parquet(f"{SF001}/embeddings.parquet")
-    pts, _ = L.prepare_points(emb, "embedding", "vec_id")
-    small = L.init_centroids(pts, 4, "lowest")
-    big = L.init_centroids(pts, 16, "lowest")  # 16 x 64 > LITERAL_LIMIT
-    assert "MapInArrow" not in _plan(L.assign(pts, small, method="literal"))
-    assert "MapInArrow" in _plan(L.assign(pts, big, method="literal"))
+def test_no_shuffle_of_points_past_the_broadcast_threshold(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for key in ("lloyd_moved", "euclidean_distance"):
+            plan = _plan(entry_mod.queries()[key](spark, SF001))
+            assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan, key
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -21,7 +21,7 @@ def test_lloyd_on_a_million_points(spark):
     df = gaussian_points(spark, 1_000_000, dims=64, k=8, partitions=16, std=2.0, seed=3,
                          as_array=True)
     df = df.withColumn("features", F.transform("features", lambda x: x.cast("float")))
-    pts, _ = L.prepare_points(df, "features", "id", dims=64)
+    pts, *_ = L.prepare_points(df, "features", "id", dims=64)
     res = L.lloyd(pts, 8, 5, init="hash", seed=1)
     costs = [h["cost"] for h in res.history]
     assert all(b <= a * (1 + 1e-12) for a, b in zip(costs, costs[1:]))

@@ -37,7 +37,7 @@ def _lloyd_pass_plan(spark, data_dir):
     from kestrel.operators import lloyd as L
     from kestrel.sources.tables import load_table
 
-    pts, _ = L.prepare_points(load_table(spark, data_dir, "embeddings"), "embedding", "vec_id")
+    pts, *_ = L.prepare_points(load_table(spark, data_dir, "embeddings"), "embedding", "vec_id")
     cents = L.init_centroids(pts, 4, "lowest")
     plan = L.pass_frame(pts, cents, cents)._jdf.queryExecution().executedPlan().toString()
     print("## one Lloyd pass (distributed-merge form, current and previous centroids)\n")
