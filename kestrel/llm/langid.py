@@ -73,41 +73,48 @@ class Model:
         self.symbol = np.zeros(256, np.int64)  # 0: any byte rare in training
         self.symbol[common] = np.arange(1, len(common) + 1)
         n = len(self.langs)
-        flat = np.full(n, 8.0)
-        #: by context length: bits of each (context, byte) that some language has
-        #: seen, its rows by code, and the bits of escaping from a context
-        self.seen: list[np.ndarray] = []
+        #: by context length: the codes of each (context, byte) that some language
+        #: has seen, their bits in every language, and the bits of escaping from a
+        #: context
+        self.codes: list[np.ndarray] = []
         self.bits: list[np.ndarray] = []
         self.escape: list[np.ndarray] = []
+        self._rows: list[np.ndarray] = []
         for order in range(ORDER + 1):
-            size = 1 << SYMBOL_BITS * (order + 1)
-            grams = [self._grams(samples[x], order, size) for x in self.langs]
-            some = np.flatnonzero(sum(g > 0 for g in grams)) if grams else np.empty(0, np.int64)
-            escapes = np.zeros((size >> SYMBOL_BITS, n), np.float32)
+            grams = [self._grams(samples[x], order) for x in self.langs]
+            some = np.unique(np.concatenate([c for c, _ in grams])) if grams else np.empty(0, np.int64)
+            context, contexts = some >> SYMBOL_BITS, 1 << SYMBOL_BITS * order
+            escapes = np.zeros((contexts, n), np.float32)
             bits = np.empty((len(some), n), np.float32)
-            for k, g in enumerate(grams):
-                table = g.reshape(-1, 1 << SYMBOL_BITS)
-                total, kinds = table.sum(axis=1), (table > 0).sum(axis=1)
-                known = total > 0
+            shorter = self._lookup(order - 1, some & (contexts - 1)) if order else np.full((len(some), n), 8.0)
+            for k, (codes, counts) in enumerate(grams):
+                total = np.bincount(codes >> SYMBOL_BITS, weights=counts, minlength=contexts)
+                kinds = np.bincount(codes >> SYMBOL_BITS, minlength=contexts)
+                known = kinds > 0
                 escapes[known, k] = np.log2((total[known] + kinds[known]) / kinds[known])
-                own = g[some]
-                context = some >> SYMBOL_BITS
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    direct = np.log2(total[context] + kinds[context]) - np.log2(own)
-                shorter = (flat[k] if order == 0 else self._lookup(order - 1, some & ((size >> SYMBOL_BITS) - 1))[:, k])
-                bits[:, k] = np.where(own > 0, direct, escapes[context, k] + shorter)
-            row = np.full(size, -1, np.int32)
-            row[some] = np.arange(len(some))
-            self.seen.append(row)
+                bits[:, k] = escapes[context, k] + shorter[:, k]
+                own = np.searchsorted(some, codes)
+                bits[own, k] = np.log2((total + kinds)[codes >> SYMBOL_BITS] / counts)
+            self.codes.append(some)
             self.bits.append(bits)
             self.escape.append(escapes)
 
-    def _grams(self, texts: list[bytes], order: int, size: int) -> np.ndarray:
-        out = np.zeros(size, np.int64)
-        for d in texts:
-            out += np.bincount(self._codes(self.symbol[np.frombuffer(d, np.uint8)], order), minlength=size) \
-                if len(d) > order else 0
-        return out
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_rows": []}  # made again where the model arrives
+
+    def _row(self, order: int, codes: np.ndarray) -> np.ndarray:
+        """Place of each code among the known ones, or -1."""
+        while len(self._rows) <= order:
+            k = len(self._rows)
+            row = np.full(1 << SYMBOL_BITS * (k + 1), -1, np.int32)
+            row[self.codes[k]] = np.arange(len(self.codes[k]))
+            self._rows.append(row)
+        return self._rows[order][codes]
+
+    def _grams(self, texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
+        """(codes, counts) of what a language has seen."""
+        parts = [self._codes(self.symbol[np.frombuffer(d, np.uint8)], order) for d in texts if len(d) > order]
+        return np.unique(np.concatenate([np.empty(0, np.int64), *parts]), return_counts=True)
 
     @staticmethod
     def _codes(symbols: np.ndarray, order: int) -> np.ndarray:
@@ -120,7 +127,7 @@ class Model:
 
     def _lookup(self, order: int, codes: np.ndarray) -> np.ndarray:
         """Bits of each code in every language."""
-        row = self.seen[order][codes]
+        row = self._row(order, codes)
         out = self.bits[order][np.maximum(row, 0)] if len(self.bits[order]) else np.zeros((len(codes), len(self.langs)), np.float32)
         lost = np.flatnonzero(row < 0)
         if len(lost):
