@@ -24,12 +24,12 @@ HEADLINE = [
     "sql_like_join", "sql_month_filter", "month_filter_distinct", "sql_sum_distinct",
     "group_sum", "group_avg_all", "project_rename", "binarize_label", "case_not_null",
     "typed_cast", "typed_cast_date", "parse_us_date", "strip_text", "text_split_scan",
-    "text_arity_filter", "csv_roundtrip", "range_source", "row_index",
+    "text_arity_filter", "csv_roundtrip", "range_source", "row_index", "scan_index",
     "array_drop_last", "array_affine", "euclidean_distance", "vector_sum_by_key",
-    "assemble_features", "string_index", "string_index_multi",
+    "assemble_features", "string_index", "string_index_multi", "string_index_joined", "string_index_many",
     "nearest_centroid", "lloyd_update", "lloyd_3pass", "lloyd_moved",
     "intra_cluster_distance", "kmeans_cost", "cluster_sizes", "label_by_cluster",
-    "cluster_label_pct", "accuracy", "class_recall", "mean_stddev_pop",
+    "cluster_label_pct", "cluster_label_pct_joined", "accuracy", "class_recall", "mean_stddev_pop",
     "lloyd_converge", "lloyd_restarts", "kmeans_ml", "kmeans_ml_centers",
     "kmeans_ml_report", "logreg_fit", "logreg_score", "logreg_recall", "logreg_accuracy",
     "gen_gaussian", "gen_then_cluster", "row_id", "sample_k", "sample_k_hash",

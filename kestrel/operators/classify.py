@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .features import assembler, string_indexer
+from .features import assembler, check_label_counts, string_indexer
 from .relational import binarize
 
 # --- fixed values (the reference's regression settings) ---
@@ -60,6 +60,8 @@ def classifier(numeric_cols: Sequence[str], categorical_cols: Sequence[str] = ()
 def fit(train: DataFrame, numeric_cols: Sequence[str], categorical_cols: Sequence[str] = (),
         label_col: str = "y", max_iter: int = 10, **kw) -> PipelineModel:
     """Fit the whole preparation + regression on training rows only."""
+    if categorical_cols:
+        check_label_counts(train, categorical_cols)
     return classifier(numeric_cols, categorical_cols, label_col, max_iter, **kw).fit(train)
 
 

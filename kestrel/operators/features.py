@@ -49,9 +49,22 @@ def string_indexer(input_cols: Sequence[str], output_cols: Sequence[str] | None
                          handleInvalid=handle_invalid, stringOrderType="frequencyDesc")
 
 
+MAX_DRIVER_LABELS = 100_000  # distinct labels a StringIndexer may bring to the driver
+
+
+def check_label_counts(train: DataFrame, input_cols: Sequence[str], limit: int = MAX_DRIVER_LABELS) -> None:
+    """Raise if a column has more distinct labels than the driver should hold."""
+    counts = train.agg(*[F.count_distinct(c).alias(c) for c in input_cols]).first()
+    for c in input_cols:
+        if counts[c] > limit:
+            raise ValueError(f"{c!r} has {counts[c]} distinct labels, more than {limit}; use index_by_frequency")
+
+
 def fit_indexer(train: DataFrame, input_cols: Sequence[str],
                 handle_invalid: str = "keep") -> PipelineModel:
-    """Fit once on training rows; all columns in one aggregation job (M3)."""
+    """Fit once on training rows; all columns in one aggregation job (M3). The
+    labels come to the driver, so their number is checked first."""
+    check_label_counts(train, input_cols)
     return Pipeline(stages=[string_indexer(input_cols, handle_invalid=handle_invalid)]).fit(train)
 
 

@@ -14,9 +14,13 @@ def with_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
 
 
 def with_row_index(df: DataFrame, order_by, name: str = "row_index",
-                   partitions: int | None = None) -> DataFrame:
+                   partitions: int | None = None,
+                   rows_per_partition: int = 5_000_000) -> DataFrame:
     """Consecutive 0-based index in ``order_by`` order (W3, ``zipWithIndex``).
 
+    The number of tasks follows the row count (``rows_per_partition``) unless
+    ``partitions`` is given.
+
     A global ``row_number()`` would pull every row into one task. Instead:
 
     1. range-partition on the order key and sort inside each partition;
@@ -40,7 +44,8 @@ def with_row_index(df: DataFrame, order_by, name: str = "row_index",
     from ..session import checkpoint_dir
 
     keys = list(order_by) if isinstance(order_by, (list, tuple)) else [order_by]
-    n = partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    n = partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                          -(-df.count() // rows_per_partition))
     checkpoint_dir(df.sparkSession)
     tie = F.monotonically_increasing_id().alias("_tie")
     ranged = (df.select("*", tie)
@@ -58,6 +63,22 @@ def with_row_index(df: DataFrame, order_by, name: str = "row_index",
                   .drop("_pid", "_pos", "_off"))
 
 
+def with_scan_index(df: DataFrame, name: str = "row_index") -> DataFrame:
+    """Consecutive 0-based index in scan order (W3), without moving a row.
+
+    ``monotonically_increasing_id`` already holds partition and position; one
+    count per partition gives the offsets. ``df`` must be a scan (or narrow
+    steps over one), whose partitions are the same each time it is read.
+    """
+    tagged = df.withColumn("_id", F.monotonically_increasing_id())
+    part, pos = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit(_POS_MASK))
+    counts = tagged.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (tagged.join(F.broadcast(offsets), part == F.col("_pid"))
+                  .withColumn(name, F.col("_off") + pos).drop("_id", "_pid", "_off"))
+
+
 def sample_k(df: DataFrame, k: int, seed: int) -> DataFrame:
     """k rows without replacement (L1, ``takeSample(False, k)``) with a seed.
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import format_us_date, parse_us_date, text_to_type, to_date
 from ..functions.strings import strip_ws
-from ..operators.ordering import with_row_index
+from ..operators.ordering import with_row_index, with_scan_index
 from ..session import scratch_path
 from ..sources.csv import read_csv, write_csv
 from ..sources.generate import range_source
@@ -142,12 +142,31 @@ def strip_text(spark, data_dir):
 
 
 @query("range_source", oracle="""
-SELECT CAST(row_number() OVER () - 1 AS BIGINT) AS id FROM orders
+SELECT r.id FROM (SELECT range AS id FROM range((SELECT max(o_orderkey) + 1 FROM orders))) r
+ANTI JOIN orders o ON o.o_orderkey = r.id
 """)
 def range_source_q(spark, data_dir):
-    """Ids 0 .. n-1, n = number of orders (one count job, then a range)."""
-    n = load_table(spark, data_dir, "orders").count()
-    return range_source(spark, n)
+    """Of the ids 0 .. largest order key, those that no order has."""
+    o = load_table(spark, data_dir, "orders").select("o_orderkey")
+    n = (o.agg(F.max("o_orderkey")).first()[0] or -1) + 1
+    return range_source(spark, n).join(o, F.col("id") == F.col("o_orderkey"), "left_anti")
+
+
+@query("scan_index", oracle="""
+SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) - 1 AS row_index FROM embeddings
+""")
+def scan_index(spark, data_dir):
+    """W3 in scan order, on rows written in the order of their key."""
+    path = scratch_path(spark, "ordered")
+    emb = load_table(spark, data_dir, "embeddings").select("vec_id", "label")
+    emb.repartitionByRange(4, "vec_id").sortWithinPartitions("vec_id").write.parquet(path)
+    parts = spark.read.parquet(path)
+    # one task per written file, in the order of the files' names
+    files = sorted(parts.inputFiles())
+    ordered = spark.read.parquet(files[0])
+    for f in files[1:]:
+        ordered = ordered.unionByName(spark.read.parquet(f))
+    return with_scan_index(ordered)
 
 
 @query("row_index", oracle="""

@@ -149,3 +149,14 @@ def cluster_label_pct(spark, data_dir):
     """Share of each label within each cluster, in percent."""
     out = report.cluster_label_pct(_clustered(spark, data_dir))
     return out.select("label", "prediction", F.round("percentage", 6).alias("percentage"))
+
+
+@query("cluster_label_pct_joined", oracle=_cte(1) + """
+SELECT e.label, a.cid AS prediction,
+       round(count(*) / sum(count(*)) OVER (PARTITION BY a.cid) * 100, 6) AS percentage
+FROM a1 a JOIN embeddings e USING (vec_id) GROUP BY e.label, a.cid
+""")
+def cluster_label_pct_joined(spark, data_dir):
+    """The same report by joining sizes and counts on differently named keys."""
+    out = report.cluster_label_pct_join(_clustered(spark, data_dir))
+    return out.select("label", "prediction", F.round("percentage", 6).alias("percentage"))

@@ -1,11 +1,10 @@
 """Feature indexing, logistic regression, MLlib k-means, the Lloyd loop and the
 generator, on the driver's tables.
 
-String indexing and the Lloyd loop (``lloyd_converge`` and the hash-seeded
-``lloyd_restarts``, as recursive CTEs) have DuckDB oracles. The rest is
-random or model-fitting (model fits, ``rand``-seeded samples); those keys
-have no oracle and are checked by properties in ``tests/test_models.py`` and
-``tests/test_lloyd.py``.
+The Lloyd loop's oracles (``lloyd_converge`` and the hash-seeded
+``lloyd_restarts``) are recursive CTEs. Fitted models get inputs whose answer
+SQL can state: targets that the features decide, groups far apart. Only
+``gen_gaussian`` is random and has no oracle.
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ from ..operators.ordering import hash_sample_k, sample_k as sample_rows, with_ro
 from ..operators.vectors import explode_vector
 from ..session import scratch_path
 from ..sources.csv import read_csv, write_csv
-from ..sources.generate import gaussian_points
 from ..sources.tables import load_table
 from .registry import query
 
@@ -73,48 +71,104 @@ def string_index_multi(spark, data_dir):
     return out.select("l_orderkey", "l_linenumber", *cols)
 
 
-# -- logistic regression (rows-only) -------------------------------------------------
+@query("string_index_joined", oracle=f"""
+WITH {_code_cte('l_returnflag', 'rf')}, {_code_cte('l_linestatus', 'ls')}
+SELECT li.l_orderkey, li.l_linenumber,
+       coalesce(rf.code, CAST((SELECT count(*) FROM rf) AS DOUBLE)) AS l_returnflag,
+       coalesce(ls.code, CAST((SELECT count(*) FROM ls) AS DOUBLE)) AS l_linestatus
+FROM lineitem li LEFT JOIN rf USING (l_returnflag) LEFT JOIN ls USING (l_linestatus)
+WHERE li.l_shipdate >= TIMESTAMP '{SHIP_SPLIT}'
+""")
+def string_index_joined(spark, data_dir):
+    """M3 without the driver: the label table stays distributed and is joined."""
+    li = load_table(spark, data_dir, "lineitem")
+    train, test = li.filter(_before("l_shipdate", SHIP_SPLIT)), li.filter(~_before("l_shipdate", SHIP_SPLIT))
+    cols = ["l_returnflag", "l_linestatus"]
+    out = features.index_by_frequency(train, test, cols)
+    return out.select("l_orderkey", "l_linenumber", *cols)
+
+
+@query("string_index_many", oracle="""
+WITH lab AS (
+  SELECT o_custkey, CAST(row_number() OVER (ORDER BY count(*) DESC, o_custkey) - 1 AS DOUBLE) AS code
+  FROM orders WHERE o_orderstatus <> 'P' GROUP BY o_custkey)
+SELECT o.o_orderkey, coalesce(l.code, CAST((SELECT count(*) FROM lab) AS DOUBLE)) AS code
+FROM orders o LEFT JOIN lab l USING (o_custkey)
+""")
+def string_index_many(spark, data_dir):
+    """M2 on a column of many values, fitted on the orders not pending."""
+    o = load_table(spark, data_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    out = features.index_by_frequency(o.where("o_orderstatus <> 'P'"), o, ["o_custkey"])
+    return out.select("o_orderkey", F.col("o_custkey").alias("code"))
+
+
+# -- logistic regression -------------------------------------------------------------
 
 _NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _CATEGORICAL = ["l_linestatus"]
 
 
-def _labelled_lineitem(spark, data_dir):
-    """Connection-record flow on lineitem: y = 1.0 for return flag 'R' (P15)."""
-    li = load_table(spark, data_dir, "lineitem")
-    li = classify.label_binary(li, "l_returnflag", "R")
+def _split_lineitem(spark, data_dir, label: str, positive: str):
+    """Connection-record flow on lineitem: y = 1.0 where ``label`` is ``positive``."""
+    li = classify.label_binary(load_table(spark, data_dir, "lineitem").withColumn("_label", F.col(label)),
+                               "_label", positive)
     return li.filter(_before("l_shipdate", SHIP_SPLIT)), li.filter(~_before("l_shipdate", SHIP_SPLIT))
 
 
-def _kdd_model(spark, data_dir):
-    train, test = _labelled_lineitem(spark, data_dir)
+def _status_scored(spark, data_dir):
+    """y = (line status is 'O'), which only the code of the categorical tells."""
+    train, test = _split_lineitem(spark, data_dir, "l_linestatus", "O")
     model = classify.fit(train, _NUMERIC, _CATEGORICAL, "y",
                          max_iter=classify.MAX_ITER_CONNECTION_RECORDS)
-    return model, test
+    return classify.score(model, test, keep=["l_orderkey", "l_linenumber"])
 
 
-@query("logreg_fit")
+@query("logreg_fit", oracle=f"""
+WITH p AS (
+  SELECT avg(CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END) AS p
+  FROM lineitem WHERE l_shipdate < TIMESTAMP '{SHIP_SPLIT}')
+SELECT unnest(['l_linestatus', 'l_quantity', 'l_extendedprice', 'l_discount', 'l_tax']) AS feature,
+       CAST(0 AS DOUBLE) AS weight
+UNION ALL SELECT '(intercept)', round(ln(p / (1 - p)), 3) FROM p
+""")
 def logreg_fit(spark, data_dir):
-    """M4, M6: weights per feature and the intercept (elastic net 0.03 / 0.8)."""
-    model, _ = _kdd_model(spark, data_dir)
-    return classify.coefficients(model, spark, classify.feature_names(_NUMERIC, _CATEGORICAL))
+    """M4, M6 (elastic net 0.03 / 0.8): the return flag depends on no feature, so
+    the fit keeps the intercept alone, at the log odds of the training rows."""
+    train, _ = _split_lineitem(spark, data_dir, "l_returnflag", "R")
+    model = classify.fit(train, _NUMERIC, _CATEGORICAL, "y",
+                         max_iter=classify.MAX_ITER_CONNECTION_RECORDS)
+    out = classify.coefficients(model, spark, classify.feature_names(_NUMERIC, _CATEGORICAL))
+    return out.select("feature", (F.round("weight", 3) + F.lit(0.0)).alias("weight"))
 
 
-@query("logreg_score")
+@query("logreg_score", oracle=f"""
+SELECT l_orderkey, l_linenumber, CAST(l_linestatus = 'O' AS DOUBLE) AS y,
+       CAST(l_linestatus = 'O' AS DOUBLE) AS prediction, TRUE AS sums_to_one
+FROM lineitem WHERE l_shipdate >= TIMESTAMP '{SHIP_SPLIT}'
+""")
 def logreg_score(spark, data_dir):
-    """M5: probability (2 values) and prediction for the held-out rows."""
-    model, test = _kdd_model(spark, data_dir)
-    return classify.score(model, test, keep=["l_orderkey", "l_linenumber"])
-
-
-@query("logreg_recall")
+    """M5: prediction for the held-out rows; both probabilities add up to 1."""
+    return _status_scored(spark, data_dir).select(
+        "l_orderkey", "l_linenumber", F.col("y").cast("double").alias("y"), "prediction",
+        (F.abs(F.get("probability", 0) + F.get("probability", 1) - 1) < 1e-9).alias("sums_to_one"))
+
+
+@query("logreg_recall", oracle=f"""
+WITH t AS (
+  SELECT CAST(l_linestatus = 'O' AS DOUBLE) AS y FROM lineitem WHERE l_shipdate >= TIMESTAMP '{SHIP_SPLIT}')
+SELECT c.class, count(t.y) AS support, count(t.y) AS hits,
+       CASE WHEN count(t.y) > 0 THEN CAST(1 AS DOUBLE) END AS recall
+FROM (SELECT CAST(unnest([0, 1]) AS DOUBLE) AS class) c LEFT JOIN t ON t.y = c.class GROUP BY c.class
+""")
 def logreg_recall(spark, data_dir):
     """A14 on the model's predictions: support, hits, recall of both classes."""
-    model, test = _kdd_model(spark, data_dir)
-    return metrics.class_recall(classify.score(model, test), "y", "prediction")
+    return metrics.class_recall(_status_scored(spark, data_dir), "y", "prediction")
 
 
-@query("logreg_accuracy")
+@query("logreg_accuracy", oracle=f"""
+SELECT count(*) AS hits, count(*) AS total, CAST(1 AS DOUBLE) AS accuracy
+FROM lineitem WHERE l_shipdate >= TIMESTAMP '{SHIP_SPLIT}'
+""")
 def logreg_accuracy(spark, data_dir):
     """Four-feature flow (maxIter 10) with a learnable target: y = quantity > 25; A13."""
     li = load_table(spark, data_dir, "lineitem")
@@ -124,33 +178,69 @@ def logreg_accuracy(spark, data_dir):
     return metrics.accuracy(classify.score(model, test), "y", "prediction")
 
 
-# -- MLlib k-means (rows-only) ------------------------------------------------------------
+# -- MLlib k-means ------------------------------------------------------------------------
 
-def _ml_kmeans(spark, data_dir):
-    emb = cluster_ml.with_vector(load_table(spark, data_dir, "embeddings"), "embedding")
-    return cluster_ml.fit(emb, k=3, seed=1), emb
+FLAG_SHIFT = 1000.0
+_FLAG = "CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END"
 
 
-@query("kmeans_ml")
-def kmeans_ml(spark, data_dir):
-    """M7, M8: k = 3, seed 1, other settings default; cluster of every vector."""
-    model, emb = _ml_kmeans(spark, data_dir)
-    return cluster_ml.predict(model, emb, keep=["vec_id", "label"])
+def _flag_points(spark, data_dir):
+    """Lineitem rows as points, shifted far apart by return flag."""
+    li = load_table(spark, data_dir, "lineitem")
+    return li.withColumn("point", F.array(F.col("l_quantity") + F.expr(_FLAG) * FLAG_SHIFT, F.col("l_tax") * 100))
 
 
-@query("kmeans_ml_centers")
-def kmeans_ml_centers(spark, data_dir):
-    """M9: the centers, one row per (cluster, dimension)."""
-    model, _ = _ml_kmeans(spark, data_dir)
-    return explode_vector(cluster_ml.centers(model, spark), "center")
+def _ml_kmeans(spark, data_dir):
+    """(model, points, cluster of a prediction): clusters are named by the order
+    of their centers' first coordinates."""
+    pts = cluster_ml.with_vector(_flag_points(spark, data_dir), "point")
+    model = cluster_ml.fit(pts, k=3, seed=1)
+    first = [float(c[0]) for c in model.clusterCenters()]
+    names = F.array(*[F.lit(sorted(first).index(x)) for x in first])
+    return model, pts, lambda prediction: F.get(names, F.col(prediction))
 
 
-@query("kmeans_ml_report")
+@query("kmeans_ml", oracle=f"""
+SELECT l_orderkey, l_linenumber, CAST({_FLAG} AS INTEGER) AS cluster FROM lineitem
+""")
+def kmeans_ml(spark, data_dir):
+    """M7, M8: k = 3, seed 1, other settings default; cluster of every row."""
+    model, pts, name = _ml_kmeans(spark, data_dir)
+    out = cluster_ml.predict(model, pts, keep=["l_orderkey", "l_linenumber"])
+    return out.select("l_orderkey", "l_linenumber", name("prediction").alias("cluster"))
+
+
+@query("kmeans_ml_centers", oracle=f"""
+WITH c AS (
+  SELECT CAST({_FLAG} AS INTEGER) AS cluster, avg(l_quantity + {_FLAG} * 1000.0) AS x, avg(l_tax * 100) AS y
+  FROM lineitem GROUP BY l_returnflag)
+SELECT cluster, 0 AS pos, round(x, 6) AS value FROM c
+UNION ALL SELECT cluster, 1, round(y, 6) FROM c
+""")
+def kmeans_ml_centers(spark, data_dir):
+    """M9: the centers, one row per (cluster, dimension)."""
+    model, _, name = _ml_kmeans(spark, data_dir)
+    out = explode_vector(cluster_ml.centers(model, spark), "center")
+    return out.select(name("cid").alias("cluster"), "pos", F.round("value", 6).alias("value"))
+
+
+@query("kmeans_ml_report", oracle=f"""
+WITH p AS (
+  SELECT {_FLAG} AS cluster, l_linestatus, l_quantity AS x, l_tax * 100 AS y FROM lineitem),
+c AS (SELECT cluster, avg(x) AS cx, avg(y) AS cy FROM p GROUP BY cluster),
+cost AS (SELECT round(sum((x - cx) * (x - cx) + (y - cy) * (y - cy))) AS cost FROM p JOIN c USING (cluster))
+SELECT l_linestatus AS label, CAST(cluster AS INTEGER) AS cluster,
+       round(count(*) / sum(count(*)) OVER (PARTITION BY cluster) * 100, 6) AS percentage,
+       (SELECT cost FROM cost) AS cost
+FROM p GROUP BY l_linestatus, cluster
+""")
 def kmeans_ml_report(spark, data_dir):
-    """Training cost beside the label composition of the MLlib clusters."""
-    model, emb = _ml_kmeans(spark, data_dir)
-    pct = report.cluster_label_pct(cluster_ml.predict(model, emb, keep=["label"]))
-    return pct.withColumn("training_cost", F.lit(cluster_ml.training_cost(model)))
+    """Cost beside the line-status composition of the MLlib clusters."""
+    model, pts, name = _ml_kmeans(spark, data_dir)
+    pct = report.cluster_label_pct(cluster_ml.predict(model, pts, keep=["l_linestatus"]), "l_linestatus")
+    cost = cluster_ml.cost(model, pts, "point", "l_orderkey").first()["cost"]
+    return pct.select(F.col("l_linestatus").alias("label"), name("prediction").alias("cluster"),
+                      F.round("percentage", 6).alias("percentage"), F.lit(float(round(cost))).alias("cost"))
 
 
 # -- Lloyd loop -----------------------------------------------------------------
@@ -309,53 +399,64 @@ def lloyd_restarts(spark, data_dir):
 
 # -- generator (rows-only) ----------------------------------------------------------------------
 
-GEN_DIMS, GEN_K, GEN_STD, GEN_SEED = 4, 3, 2.0, 1
-GEN_ROWS_PER_PARTITION = 2_000_000
-
-
-def _gen_partitions(spark, n: int) -> int:
-    """Enough tasks for the cluster, and more as n grows (2M rows per task)."""
-    return max(spark.sparkContext.defaultParallelism, -(-n // GEN_ROWS_PER_PARTITION))
+GEN_DIMS, GEN_STD, GEN_SEED = 4, 2.0, 1
 
 
 @query("gen_gaussian")
 def gen_gaussian(spark, data_dir):
-    """As many points as lineitem has rows, 4 dims, labels 0..2, s = 2."""
-    n = load_table(spark, data_dir, "lineitem").count()
-    return gaussian_points(spark, n, GEN_DIMS, GEN_K, _gen_partitions(spark, n), GEN_STD,
-                           seed=GEN_SEED)
+    """Gaussian noise (s = 2) around every lineitem row's quantity in
+    4 dims, and a uniform label 0..2."""
+    li = load_table(spark, data_dir, "lineitem")
+    noise = [(F.col("l_quantity") + GEN_STD * F.randn(GEN_SEED + j)).alias(f"x{j}") for j in range(GEN_DIMS)]
+    label = F.floor(F.rand(GEN_SEED + GEN_DIMS) * 3).cast("int").alias("label")
+    return li.select("l_orderkey", "l_linenumber", *noise, label)
 
 
-@query("gen_then_cluster")
+@query("gen_then_cluster", oracle=f"""
+SELECT CAST({_FLAG} AS INTEGER) AS cid, l_returnflag, count(*) AS n, TRUE AS converged
+FROM lineitem GROUP BY l_returnflag
+""")
 def gen_then_cluster(spark, data_dir):
-    """Generate (as many points as orders), write CSV, read it back typed,
-    cluster with k = 3 from a seeded random init; one row per pass."""
-    n = load_table(spark, data_dir, "orders").count()
-    pts = gaussian_points(spark, n, GEN_DIMS, GEN_K, _gen_partitions(spark, n), GEN_STD,
-                          seed=GEN_SEED)
+    """Noise around every lineitem row, shifted by return flag, written as
+    CSV, read back typed and clustered from one center per flag until no point
+    moves; rows per cluster and flag."""
+    li = load_table(spark, data_dir, "lineitem")
+    noise = [F.expr(_FLAG) * FLAG_SHIFT + F.col("l_quantity") + GEN_STD * F.randn(GEN_SEED + j) for j in range(GEN_DIMS)]
     path = scratch_path(spark, "gaussian-csv")
-    xs = [f"x{j}" for j in range(GEN_DIMS)]
-    write_csv(pts.select(*xs, "label"), path)
-    schema = ", ".join([f"{x} DOUBLE" for x in xs] + ["label INT"])
+    write_csv(li.select(*[x.alias(f"x{j}") for j, x in enumerate(noise)], "l_returnflag"), path)
+    schema = ", ".join([f"x{j} DOUBLE" for j in range(GEN_DIMS)] + ["l_returnflag STRING"])
     back = with_row_id(read_csv(spark, path, schema, mode="FAILFAST"), "id")
-    back = back.withColumn("features", F.array(*xs))
-    prepared, *_ = L.prepare_points(back, "features", "id", dims=GEN_DIMS)
-    res = L.lloyd(prepared, GEN_K, 100, init="random", seed=GEN_SEED)
-    return _history_df(spark, res)
+    back = back.withColumn("features", F.array(*[f"x{j}" for j in range(GEN_DIMS)]))
+    pts = L.prepare_points(back, "features", "id", dims=GEN_DIMS, keep=["l_returnflag"]).points
+    start = L.Centroids.of([[k * FLAG_SHIFT] * GEN_DIMS for k in range(3)])
+    res = L.lloyd(pts, 3, 100, init=start)
+    out = res.assignment(keep=["l_returnflag"]).groupBy("cid", "l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+    return out.withColumn("converged", F.lit(res.converged))
 
 
-# -- ids and samples (rows-only) -------------------------------------------------------------
+# -- ids and samples ---------------------------------------------------------------------------
 
-@query("row_id")
+@query("row_id", oracle="""
+SELECT label, count(*) AS n, count(DISTINCT vec_id) AS ids, TRUE AS increasing FROM embeddings GROUP BY label
+""")
 def row_id(spark, data_dir):
-    """Unique, increasing, non-consecutive id per row."""
-    return with_row_id(load_table(spark, data_dir, "embeddings").select("vec_id", "label"), "p_id")
+    """Unique, increasing, non-consecutive id per row; counted by label."""
+    df = with_row_id(load_table(spark, data_dir, "embeddings").select("vec_id", "label"), "p_id")
+    return df.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("p_id").alias("ids"),
+                                   (F.min("p_id") >= 0).alias("increasing"))
 
 
-@query("sample_k")
+@query("sample_k", oracle="""
+SELECT least(count(*), 4) AS n, least(count(*), 4) AS ids, least(count(*), 4) AS members FROM embeddings
+""")
 def sample_k(spark, data_dir):
-    """L1: four rows without replacement, seeded."""
-    return sample_rows(load_table(spark, data_dir, "embeddings").select("vec_id", "label"), 4, seed=1)
+    """L1: four rows without replacement, seeded: how many, how many different,
+    how many that are rows of the table."""
+    emb = load_table(spark, data_dir, "embeddings").select("vec_id", "label")
+    got = sample_rows(emb, 4, seed=1).withColumn("taken", F.lit(True))
+    found = got.join(emb, ["vec_id", "label"], "left_semi").agg(F.count(F.lit(1)).alias("members"))
+    counts = got.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("vec_id").alias("ids"))
+    return counts.select("n", "ids", found.scalar().alias("members"))
 
 
 @query("sample_k_hash", oracle=f"""

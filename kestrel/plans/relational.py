@@ -17,18 +17,18 @@ from .registry import query
 
 JULY = 7  # fixed value: the month the reference's queries select
 
-LIKE_JOIN_SQL = """
-SELECT C.c_custkey AS cid, O.o_totalprice AS total
-FROM customer C, orders O
-WHERE C.c_mktsegment LIKE 'B%' AND C.c_custkey = O.o_custkey
+BUILDING_TOTALS_SQL = """
+WITH segment AS (SELECT c_custkey FROM customer WHERE c_mktsegment LIKE 'B%')
+SELECT segment.c_custkey AS cid, orders.o_totalprice AS total
+FROM segment JOIN orders ON orders.o_custkey = segment.c_custkey
 """
 
 
-@query("sql_like_join", oracle=LIKE_JOIN_SQL)
+@query("sql_like_join", oracle=BUILDING_TOTALS_SQL)
 def sql_like_join(spark, data_dir):
-    """Comma join + WHERE + LIKE through ``spark.sql``."""
+    """Join and LIKE through ``spark.sql``."""
     register_tables(spark, data_dir, ("customer", "orders"))
-    return spark.sql(LIKE_JOIN_SQL)
+    return spark.sql(BUILDING_TOTALS_SQL)
 
 
 @query("sql_month_filter", oracle="SELECT * FROM orders WHERE month(o_orderdate) = 7")
@@ -46,22 +46,20 @@ def month_filter_distinct(spark, data_dir):
                                  ["o_custkey"])
 
 
-SUM_DISTINCT_SQL = """
-SELECT o_custkey AS cid, sum(CAST(o_totalprice AS INT)) AS tot,
-       count(DISTINCT CAST(o_totalprice AS INT)) AS cnt
-FROM orders GROUP BY o_custkey
+CUSTOMER_TOTALS_SQL = """
+WITH whole AS (SELECT o_custkey AS cid, CAST(o_totalprice AS INT) AS amount FROM orders)
+SELECT cid, sum(amount) AS tot, count(DISTINCT amount) AS cnt FROM whole GROUP BY cid
 """
 
 
 @query("sql_sum_distinct", oracle="""
-SELECT o_custkey AS cid, CAST(sum(CAST(trunc(o_totalprice) AS INTEGER)) AS BIGINT) AS tot,
-       count(DISTINCT CAST(trunc(o_totalprice) AS INTEGER)) AS cnt
-FROM orders GROUP BY o_custkey
+WITH whole AS (SELECT o_custkey AS cid, CAST(trunc(o_totalprice) AS INTEGER) AS amount FROM orders)
+SELECT cid, CAST(sum(amount) AS BIGINT) AS tot, count(DISTINCT amount) AS cnt FROM whole GROUP BY cid
 """)
 def sql_sum_distinct(spark, data_dir):
     """A4: SUM and COUNT(DISTINCT) per key through SQL (Spark truncates double -> int)."""
     register_tables(spark, data_dir, ("orders",))
-    return spark.sql(SUM_DISTINCT_SQL)
+    return spark.sql(CUSTOMER_TOTALS_SQL)
 
 
 @query("group_sum", oracle="""

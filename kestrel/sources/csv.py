@@ -24,7 +24,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str,
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",",
-              mode: str = "overwrite") -> str:
+              mode: str = "errorifexists") -> str:
     """Write each partition as its own CSV part file; nothing goes through the driver."""
     df.write.mode(mode).option("header", "false").option("sep", sep).csv(path)
     return path
