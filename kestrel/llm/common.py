@@ -32,3 +32,12 @@ def running_offsets(spark: SparkSession, df: DataFrame, part: str, size: str, of
 def only(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns; whatever else the table has is left behind."""
     return df.select(*[df[n] for n in names])
+
+
+BROADCAST_ROWS = 300_000
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """``df``, a written table of narrow rows, marked for broadcast if it has at
+    most ``BROADCAST_ROWS`` rows (some 10 MB); beyond that a join shuffles it."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import saved, sized
 
 
 def relabel(df: DataFrame, column: str, labels: DataFrame) -> DataFrame:
@@ -29,7 +29,8 @@ def components(links: DataFrame) -> DataFrame:
     while not left.isEmpty():
         ends = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         nearest = saved(ends.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("label")), "labels")
-        step = saved(relabel(nearest, "label", nearest), "labels")
+        step = saved(relabel(nearest, "label", sized(nearest)), "labels")
+        step = sized(step)
         labels = step if labels is None else relabel(labels, "label", step)
         left = relabel(relabel(left, "a", step), "b", step).where("a <> b")
         left = saved(left.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")

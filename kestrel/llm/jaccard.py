@@ -18,9 +18,14 @@ cheaper than checking what they would pair up, the lightest segments get the
 second unit in their place.
 
 Equal sets are one class. Within an entry's bucket small groups give all pairs;
-a large one is tied to its smallest member first, and only pairs between what are
-still different components afterwards are checked in full. All pairs are verified
-on the whole shingle sets. Shingles are compared by 64-bit hash.
+a large one is tied to its smallest member. Where a large bucket still spans more
+than one component afterwards, its entry is common: the documents in such buckets
+are indexed again with common entries last in the order (any order of the entries
+that all sets share keeps the argument above), as long as that thins them out.
+What then still spans components - sets that are common entries nearly throughout
+- is compared by outline, block by block, and only pairs of different components
+that the outlines allow leave the tasks. All pairs are verified on the whole
+shingle sets. Shingles are compared by 64-bit hash.
 
 Nothing is capped. Documents without words, or without text, link with nothing.
 Rows with the same doc_id are one node; each row still reports its own set. A row
@@ -39,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .common import only, saved
+from .common import only, saved, sized
 from .components import components, relabel
 
 _U = np.uint64
@@ -50,6 +55,8 @@ FEW_SEGMENTS = 1 << 14  # segments of the bands of small sets
 STATS_BLOCK = 256
 SMALL_BUCKET = 8       # buckets up to this size give all their pairs at once
 CHECK_COST = 50        # a pair's verification, in index entries
+THINNED = 0.7          # index again while common buckets shrink to this share
+BLOCK_MEMBERS = 1000   # members of a bucket compared in one task with as many others
 PART_ENTRIES = 2_000_000
 SEND_ENTRIES = 4_000_000
 
@@ -102,8 +109,8 @@ class Sets:
 
 
 def outline_groups(size: np.ndarray) -> np.ndarray:
-    """Groups of a set's outline: 64, or the power of two within size / 8 to size / 4."""
-    return np.maximum(64, 1 << np.maximum(np.frexp(np.maximum(size, 1) / 4.0)[1] - 1, 0)).astype(np.int64)
+    """Groups of a set's outline: 64, or the power of two within size / 2 to size."""
+    return np.maximum(64, 1 << np.maximum(np.frexp(np.maximum(size, 1).astype(np.float64))[1] - 1, 0)).astype(np.int64)
 
 
 def differences(x: bytes, y: bytes) -> int:
@@ -144,32 +151,38 @@ def _segments(values: np.ndarray, band: int) -> np.ndarray:
     return (T.mix(values + _salt(band, 0xA0761D6478BD642F)) & _U(segment_count(band) - 1)).astype(np.int64)
 
 
-def entries(sets: Sets, which: np.ndarray, band: int, bound: np.ndarray, plan) -> tuple[np.ndarray, np.ndarray]:
+def entries(sets: Sets, which: np.ndarray, band: int, bound: np.ndarray, plan,
+            common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(entry, set) pairs of the index for some sets of one band. ``plan``: each
-    segment's place in the order and its units, or None."""
+    segment's place in the order and its units, or None. ``common``: bit map of
+    the entries that come last; every segment then counts one unit."""
     values, owner = sets.take(which)
     segment = _segments(values, band)
     place, units = (plan[0][segment], plan[1][segment]) if plan else (segment, None)
     order = np.argsort(owner << 33 | place, kind="stable")
-    values, owner, segment = values[order], owner[order], segment[order]
+    values, owner, segment, place = values[order], owner[order], segment[order], place[order]
     start = np.flatnonzero(np.append(True, (np.diff(owner) != 0) | (np.diff(segment) != 0)))
     size = np.diff(np.append(start, len(values)))
     mixed = T.mix(values ^ _U(0x9FB21C651E98DF25))
     content = np.add.reduceat(mixed, start)
-    item_owner, item_segment = owner[start], segment[start]
+    item_owner = owner[start]
+    salt = T.mix(segment[start].astype(_U) + _salt(band, 0xE7037ED1A0B428DB))
+    entry = T.mix(content + salt)
     unit = np.ones(len(start), np.int64)
-    if units is not None:
+    if common is not None:
+        last = _marked(common, entry)
+        order = np.argsort(item_owner << 34 | last.astype(np.int64) << 33 | place[start], kind="stable")
+        item_owner, entry = item_owner[order], entry[order]
+    elif units is not None:
         unit[(units[order][start] == 2) & (size >= 2)] = 2
     total = np.cumsum(unit)
     before = total - unit
     first = np.searchsorted(item_owner, np.arange(len(which)))
-    last = np.searchsorted(item_owner, np.arange(len(which)), side="right") - 1
-    if (total[last] - before[first] <= bound).any():
+    end = np.searchsorted(item_owner, np.arange(len(which)), side="right") - 1
+    if (total[end] - before[first] <= bound).any():
         raise RuntimeError("a set fills too few segments; choose more segments for its band")
     use = before - before[first][item_owner] <= bound[item_owner]
-    salt = T.mix(item_segment.astype(_U) + _salt(band, 0xE7037ED1A0B428DB))
-    found = [T.mix(content[use] + salt[use])]
-    owners = [item_owner[use]]
+    found, owners = [entry[use]], [item_owner[use]]
     if (two := use & (unit == 2)).any():
         item = np.repeat(np.arange(len(start)), size)
         own = two[item]
@@ -178,6 +191,35 @@ def entries(sets: Sets, which: np.ndarray, band: int, bound: np.ndarray, plan) -
     return np.concatenate(found), which[np.concatenate(owners)]
 
 
+# ---- bit maps of fixed size ---------------------------------------------------
+
+MAP_BITS = 1 << 26
+
+
+def _bit(values: np.ndarray) -> np.ndarray:
+    return (T.mix(values.astype(np.int64).view(_U)) & _U(MAP_BITS - 1)).astype(np.int64)
+
+
+def _marked(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = _bit(values)
+    return bits[at >> 6] >> (at & 63) & 1 > 0
+
+
+def _bit_map(ids: DataFrame) -> np.ndarray:
+    """Bit map of a column of bigints: 8 MB, however many there are."""
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unique(_bit(batch.column(0).to_numpy()))
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array((at & 63).astype(np.int32))], ["word", "bit"])
+
+    one = F.lit(1).cast("bigint")
+    words = ids.mapInArrow(bits, "word bigint, bit int").groupBy("word").agg(
+        F.bit_or(F.call_function("shiftleft", one, F.col("bit"))).alias("bits")).toArrow()
+    out = np.zeros(MAP_BITS // 64, np.int64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return out
+
+
 # ---- passes over the documents ---------------------------------------------
 
 DESCRIBED = "doc_id bigint, size bigint, print1 bigint, print2 bigint, outline binary, band int, block int, filled binary"
@@ -274,30 +316,32 @@ def allocation(filled: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 INDEXED = "part int, base bigint, entries binary, owners binary"
 
 
-def _index(docs: DataFrame, plans, parts: int, width: int, percent: int) -> DataFrame:
+def _index(docs: DataFrame, plans, parts: int, width: int, percent: int, only_docs: np.ndarray | None = None,
+           common: np.ndarray | None = None) -> DataFrame:
     """Index entries in packed lists, one for each task and part: the entries and
     the doc_ids (as offsets from ``base``) they belong to. Of equal sets of a task
-    only the first is indexed."""
-    sent = docs.sparkSession.sparkContext.broadcast(plans)
+    only the first is indexed. ``only_docs``: bit map of the doc_ids to index."""
+    sent = docs.sparkSession.sparkContext.broadcast((plans, only_docs, common))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int, int]] = set()
         found, owners, held = [], [], 0
+        plans, only_docs, common = sent.value
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            known = ~np.isnan(ids) if ids.dtype.kind == "f" else np.ones(len(ids), bool)
-            if not known.all():
-                ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
+            batch = batch.filter(batch.column(0).is_valid())
+            if only_docs is not None:
+                batch = batch.filter(pa.array(_marked(only_docs, batch.column(0).to_numpy())))
+            ids = batch.column(0).to_numpy()
             for a, b, buf, offsets in T.slices(batch.column(1), lower=True):
                 sets = Sets(buf, offsets, width)
                 p1, p2 = sets.prints()
-                new = _first_of_kind(seen, sets.size, p1, p2, np.arange(b - a)) & known[a:b]
+                new = _first_of_kind(seen, sets.size, p1, p2, np.arange(b - a))
                 seen.update((int(s), int(x), int(y)) for s, x, y, n in zip(sets.size, p1, p2, new) if n)
                 for which, bands, bound in roles(sets.size, percent):
                     for k in np.unique(bands).tolist():
                         own = (bands == k) & new[which]
                         if own.any():
-                            e, o = entries(sets, which[own], k, bound[own], sent.value.get(k))
+                            e, o = entries(sets, which[own], k, bound[own], plans.get(k), common)
                             found.append(e)
                             owners.append(ids[a:b][o])
                             held += len(e)
@@ -326,11 +370,12 @@ def _packed(found: list[np.ndarray], owners: list[np.ndarray], parts: int) -> It
          pa.array([small[a:b].tobytes() for _, a, b in some], pa.binary())], ["part", "base", "entries", "owners"])
 
 
-CANDIDATES = "a bigint, b bigint, members binary"
+CANDIDATES = "a bigint, b bigint, members binary, entries binary"
 
 
 def _meet(frames: pd.DataFrame) -> pd.DataFrame:
-    """Candidate pairs of one part, and the members of its large buckets."""
+    """Candidate pairs of one part, and the members of its large buckets with the
+    entries that have just these members."""
     entry = np.frombuffer(b"".join(frames["entries"]), _U)
     owner = np.concatenate([np.frombuffer(o, np.dtype(f"<u{8 * len(o) // len(e)}")).astype(np.int64) + base
                             for o, e, base in zip(frames["owners"], frames["entries"], frames["base"])])
@@ -352,21 +397,17 @@ def _meet(frames: pd.DataFrame) -> pd.DataFrame:
     tied = tied[start[bucket[tied]] != tied]
     pairs.append(np.stack([owner[start[bucket[tied]]], owner[tied]], axis=1))
     both = np.unique(np.concatenate(pairs), axis=0)
-    lists = list({owner[s:s + n].astype("<i8").tobytes() for s, n in zip(start[large].tolist(), size[large].tolist())})
+    lists: dict[bytes, list[int]] = {}
+    for i in np.flatnonzero(large).tolist():
+        lists.setdefault(owner[start[i]:start[i] + size[i]].astype("<i8").tobytes(), []).append(start[i])
     return pd.DataFrame({"a": pd.array([*both[:, 0], *[None] * len(lists)], "Int64"),
                          "b": pd.array([*both[:, 1], *[None] * len(lists)], "Int64"),
-                         "members": [None] * len(both) + lists})
+                         "members": [None] * len(both) + list(lists),
+                         "entries": [None] * len(both) + [entry[at].tobytes() for at in lists.values()]})
 
 
 # ---- verification -----------------------------------------------------------
 
-MAP_BITS = 1 << 26
-
-
-def _bit(values: np.ndarray) -> np.ndarray:
-    return (T.mix(values.astype(np.int64).view(_U)) & _U(MAP_BITS - 1)).astype(np.int64)
-
-
 def _possible(pairs: DataFrame, described: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that sizes and outlines don't rule out."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -385,7 +426,7 @@ def _possible(pairs: DataFrame, described: DataFrame, percent: int) -> DataFrame
                                                       F.col("outline").alias(f"outline_{name}"))
 
     both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "size_a", "size_b", "outline_a", "outline_b")
-    return saved(both.mapInArrow(check, "a bigint, b bigint").distinct(), "jaccard-possible")
+    return saved(both.mapInArrow(check, "a bigint, b bigint"), "jaccard-possible")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -394,24 +435,13 @@ def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Da
     Only documents in a pair send their sets: a bit map of fixed size, filled from
     the pairs, keeps most others back, and the join drops the rest.
     """
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = np.unique(_bit(batch.column(0).to_numpy()))
-            yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array((at & 63).astype(np.int32))], ["word", "bit"])
-
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    one = F.lit(1).cast("bigint")
-    words = ids.mapInArrow(bits, "word bigint, bit int").groupBy("word").agg(
-        F.bit_or(F.call_function("shiftleft", one, F.col("bit"))).alias("bits")).toArrow()
-    marked = np.zeros(MAP_BITS // 64, np.int64)
-    marked[words["word"].to_numpy()] = words["bits"].to_numpy()
-    sent = docs.sparkSession.sparkContext.broadcast(marked)
+    sent = docs.sparkSession.sparkContext.broadcast(_bit_map(ids))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             some = batch.filter(batch.column(0).is_valid())
-            at = _bit(some.column(0).to_numpy())
-            some = some.filter(pa.array(sent.value[at >> 6] >> (at & 63) & 1 > 0))
+            some = some.filter(pa.array(_marked(sent.value, some.column(0).to_numpy())))
             for a, b, buf, offsets in T.slices(some.column(1), lower=True):
                 sets = Sets(buf, offsets, width)
                 blobs = [sets.values[e - n:e].tobytes() for e, n in zip(sets.ends.tolist(), sets.size.tolist())]
@@ -431,7 +461,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Da
     sets = _texts(docs).mapInArrow(send, "id bigint, values binary")
     left = pairs.join(sets.select(F.col("id").alias("b"), F.col("values").alias("y")), "b")
     full = left.join(sets.select(F.col("id").alias("a"), F.col("values").alias("x")), "a").select("a", "b", "x", "y")
-    return saved(full.mapInArrow(check, "a bigint, b bigint").distinct(), "jaccard-links")
+    return saved(full.mapInArrow(check, "a bigint, b bigint"), "jaccard-links")
 
 
 # ---- the operator -----------------------------------------------------------
@@ -448,54 +478,98 @@ def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
 
     kinds = saved(sets.where("size > 0 AND doc_id IS NOT NULL").groupBy("size", "print1", "print2").agg(
         F.min("doc_id").alias("label"), F.max("doc_id").alias("_last")).where("label <> _last").drop("_last"), "jaccard-classes")
-    copies = saved(sets.join(kinds, ["size", "print1", "print2"]).where("doc_id <> label").select(
-        F.col("doc_id").alias("node"), "label").distinct(), "jaccard-copies")
-
-    index = _index(docs, _plans(described), parts, width, percent)
-    met = saved(index.groupBy("part").applyInPandas(_meet, CANDIDATES), "jaccard-candidates")
-
-    # a row may have several doc_ids' worth of classes only if a doc_id repeats
-    to_class = copies.groupBy("node").agg(F.min("label").alias("label"))
-    to_class = saved(to_class, "jaccard-copies")
-    pairs = relabel(relabel(met.where("a IS NOT NULL").select("a", "b"), "a", to_class), "b", to_class).where("a <> b")
-    pairs = saved(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-pairs")
-    links = _verified(docs, _possible(pairs, described, percent), width, percent)
-    same = copies.select(F.col("label").alias("a"), F.col("node").alias("b"))
-    labels = components(links.unionByName(same))
-
-    rest = _between_components(met, to_class, labels, sets, percent)
-    if rest is not None:
-        rest = _possible(rest.join(pairs, ["a", "b"], "left_anti"), described, percent)
-        if not rest.isEmpty():
-            labels = components(_verified(docs, rest, width, percent).unionByName(links).unionByName(same))
+    copies = saved(sets.join(sized(kinds), ["size", "print1", "print2"]).where("doc_id <> label").select(
+        F.col("doc_id").alias("node"), "label"), "jaccard-copies")
+
+    # a node may have several classes if its doc_id repeats; the smallest names it
+    to_class = sized(saved(copies.groupBy("node").agg(F.min("label").alias("label")), "jaccard-copies"))
+    labels = sized(components(copies.select(F.col("label").alias("a"), F.col("node").alias("b"))))
+    plans, only_docs, common, last = _plans(described), None, None, None
+    while True:
+        index = _index(docs, plans, parts, width, percent, only_docs, common)
+        met = saved(index.groupBy("part").applyInPandas(_meet, CANDIDATES), "jaccard-candidates")
+        pairs = relabel(relabel(met.where("a IS NOT NULL").select("a", "b"), "a", to_class), "b", to_class)
+        labels = _linked(docs, pairs, described, labels, width, percent)
+        rows, found = _mixed(met, to_class, labels)
+        if rows is None:
+            break
+        new, size = _bit_map(found), rows.count()
+        if last is not None and size > THINNED * last:
+            labels = _linked(docs, _between(rows, described, percent), described, labels, width, percent)
+            break
+        last = size
+        only_docs = _bit_map(rows.select("id").distinct())
+        common = new if common is None else new | common
 
     out = sets.select("doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return relabel(out, "component_id", labels)
 
 
-def _between_components(met: DataFrame, to_class: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """Pairs of members of large buckets that lie in different components and
-    whose sizes allow a link."""
-    large = met.where("members IS NOT NULL").select("members").distinct()
-    if large.isEmpty():
-        return None
+def _linked(docs: DataFrame, pairs: DataFrame, described: DataFrame, labels: DataFrame, width: int, percent: int) -> DataFrame:
+    """``labels`` (node, label) after the links among ``pairs``; pairs within one
+    component are passed over."""
+    ends = relabel(relabel(pairs.select("a", "b", F.col("a").alias("x"), F.col("b").alias("y")), "x", labels), "y", labels)
+    apart = ends.where("x <> y").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links = _verified(docs, _possible(saved(apart, "jaccard-pairs"), described, percent), width, percent)
+    if links.isEmpty():
+        return labels
+    ends = saved(relabel(relabel(links, "a", labels), "b", labels), "jaccard-links")
+    new = ends.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels, "node", "left_anti")
+    every = labels.unionByName(new.select("node", F.col("node").alias("label")))
+    return sized(saved(relabel(every, "label", sized(components(ends))), "labels"))
+
+
+def _mixed(met: DataFrame, to_class: DataFrame, labels: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+    """(bucket, id, label) of the large buckets that span components, and their
+    entries."""
+    large = met.where("members IS NOT NULL").select(F.xxhash64("members").alias("bucket"), "members", "entries")
 
-    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for bucket, blob in zip(batch.column(0), batch.column(1)):
                 ids = np.frombuffer(blob.as_py(), "<i8")
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), bucket.as_py())), pa.array(ids)], ["bucket", "id"])
 
-    rows = large.select(F.xxhash64("members").alias("bucket"), "members").mapInArrow(members, "bucket bigint, id bigint")
-    rows = relabel(rows, "id", to_class).distinct().withColumn("label", F.col("id"))
+    unpacked = large.select("bucket", "members").mapInArrow(unpack, "bucket bigint, id bigint")
+    rows = relabel(unpacked, "id", to_class).withColumn("label", F.col("id"))
     rows = saved(relabel(rows, "label", labels), "jaccard-buckets")
     mixed = saved(rows.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket"),
                   "jaccard-mixed")
     if mixed.isEmpty():
-        return None
-    sizes = sets.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), "size")
-    own = saved(rows.join(mixed, "bucket").join(sizes, "id"), "jaccard-mixed-rows")
-    other = own.select("bucket", F.col("id").alias("b"), F.col("label").alias("label_b"), F.col("size").alias("size_b"))
-    fits = (F.least("size", "size_b") * 100 >= F.greatest("size", "size_b") * percent)
-    return own.withColumnRenamed("id", "a").join(other, "bucket").where((F.col("label") < F.col("label_b")) & fits).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        return None, None
+    own = saved(rows.join(sized(mixed), "bucket").distinct(), "jaccard-mixed")
+    found = large.join(sized(mixed), "bucket").select("bucket", "entries").mapInArrow(unpack, "bucket bigint, id bigint")
+    return own, found.select("id")
+
+
+def _between(rows: DataFrame, described: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one bucket, of different components, that sizes and outlines
+    allow. A bucket is dealt into blocks; a task holds two of them at most."""
+    outlines = described.where("band IS NULL AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), "size", "outline")
+    counts = rows.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS).cast("int").alias("blocks"))
+    own = rows.join(sized(saved(counts, "jaccard-mixed")), "bucket").join(outlines, "id")
+    own = own.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "label",
+        "size", "outline")
+
+    def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        flat = np.stack([np.zeros(64, np.int32) if o is None
+                         else np.frombuffer(o, np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int32) for o in frame["outline"]])
+        known = np.array([o is not None for o in frame["outline"]])
+        ids, label, n, block = (frame[c].to_numpy() for c in ("id", "label", "size", "block"))
+        outline = frame["outline"].tolist()
+        out: set[tuple[int, int]] = set()
+        for x in range(len(ids)):
+            y = np.arange(x + 1, len(ids))
+            y = y[(label[y] != label[x]) & (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))]
+            if key[1] != key[2]:
+                y = y[block[y] != block[x]]
+            most = (100 - percent) * (n[y] + n[x]) // (100 + percent)
+            y, most = (v[(np.abs(flat[y] - flat[x]).sum(axis=1) <= most) | ~(known[y] & known[x])] for v in (y, most))
+            for k, m in zip(y.tolist(), most.tolist()):
+                if outline[x] is None or outline[k] is None or differences(outline[x], outline[k]) <= m:
+                    out.add((min(ids[x], ids[k]), max(ids[x], ids[k])))
+        return pd.DataFrame(sorted(out), columns=["a", "b"], dtype="int64")
+
+    return saved(dealt.groupBy("bucket", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct(), "jaccard-pairs")
