@@ -55,10 +55,10 @@ FEW_SEGMENTS = 1 << 14  # segments of the bands of small sets
 STATS_BLOCK = 256
 SMALL_BUCKET = 8       # buckets up to this size give all their pairs at once
 CHECK_COST = 50        # a pair's verification, in index entries
-THINNED = 0.7          # index again while common buckets shrink to this share
+THINNED = 0.6          # index again while common buckets shrink to this share
 BLOCK_MEMBERS = 1000   # members of a bucket compared in one task with as many others
 PART_ENTRIES = 2_000_000
-SEND_ENTRIES = 4_000_000
+SEND_ENTRIES = 1_000_000
 
 
 # ---- sets -----------------------------------------------------------------
