@@ -16,7 +16,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from kestrel.session import get_session  # noqa: E402
+from kestrel.session import clear_scratch, get_session  # noqa: E402
 from kestrel.plans import QUERIES  # noqa: E402
 
 # Headline set, in this order; $BENCH_QUERIES (comma-separated) overrides it.
@@ -58,6 +58,7 @@ def main() -> None:
             print(f"{name}: FAILED {failed[name]}", file=sys.stderr, flush=True)
             continue
         times[name] = round(time.perf_counter() - t0, 3)
+        clear_scratch(spark)
         print(f"{name}: {times[name]}s", file=sys.stderr, flush=True)
 
     m = re.search(r"sf([0-9.]+)", sf_dir)

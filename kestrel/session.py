@@ -64,6 +64,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_scratch: list[tuple[object, str]] = []  # (application, path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/kestrel/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique path below the shared checkpoint folder.
+
+    What is written there stays until :func:`clear_scratch`, as lazy results
+    may still read it.
+    """
+    path = f"{checkpoint_dir(spark)}/kestrel/{name}-{uuid.uuid4().hex}"
+    _scratch.append((getattr(spark.sparkContext, "applicationId", None), path))
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what this application wrote to paths from :func:`scratch_path`;
+    call it once the results that read it are no longer needed. Returns the
+    number of paths deleted."""
+    app = spark.sparkContext.applicationId
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    own = [p for a, p in _scratch if a == app]
+    _scratch[:] = [x for x in _scratch if x[0] != app]
+    paths = [jvm.org.apache.hadoop.fs.Path(p) for p in own]
+    return sum(bool(p.getFileSystem(conf).delete(p, True)) for p in paths)

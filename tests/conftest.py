@@ -13,7 +13,7 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from kestrel.session import checkpoint_dir, get_session
+    from kestrel.session import checkpoint_dir, clear_scratch, get_session
 
     s = get_session("local[4]", app="kestrel-tests", shuffle_partitions=4,
                     conf={"spark.ui.showConsoleProgress": "false",
@@ -21,3 +21,4 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(s)  # sets a temp checkpoint folder only when none is configured
     yield s
+    clear_scratch(s)

@@ -45,3 +45,14 @@ def test_local_without_folder_gets_a_temp_one():
     s = _Session("local[2]")
     base = session.checkpoint_dir(s)
     assert base and s.sparkContext.getCheckpointDir() == base
+
+
+def test_scratch_is_deleted_on_request(spark):
+    from kestrel.session import clear_scratch, scratch_path
+
+    clear_scratch(spark)
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert clear_scratch(spark) == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
