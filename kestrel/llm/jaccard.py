@@ -55,7 +55,7 @@ FEW_SEGMENTS = 1 << 14  # segments of the bands of small sets
 STATS_BLOCK = 256
 SMALL_BUCKET = 8       # buckets up to this size give all their pairs at once
 CHECK_COST = 50        # a pair's verification, in index entries
-THINNED = 0.6          # index again while common buckets shrink to this share
+THINNED = 0.5          # index again while common buckets shrink to this share
 BLOCK_MEMBERS = 1000   # members of a bucket compared in one task with as many others
 PART_ENTRIES = 2_000_000
 SEND_ENTRIES = 1_000_000
@@ -483,7 +483,12 @@ def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
 
     # a node may have several classes if its doc_id repeats; the smallest names it
     to_class = sized(saved(copies.groupBy("node").agg(F.min("label").alias("label")), "jaccard-copies"))
-    labels = sized(components(copies.select(F.col("label").alias("a"), F.col("node").alias("b"))))
+    labels = saved(to_class.unionByName(kinds.select(F.col("label").alias("node"), "label")), "labels")
+    nodes = labels.select("node").distinct().count()
+    if copies.count() == to_class.count() and nodes == labels.count():
+        labels = sized(labels)
+    else:  # a doc_id repeats and ties classes together
+        labels = sized(components(copies.select(F.col("label").alias("a"), F.col("node").alias("b"))))
     plans, only_docs, common, last = _plans(described), None, None, None
     while True:
         index = _index(docs, plans, parts, width, percent, only_docs, common)
@@ -510,10 +515,10 @@ def _linked(docs: DataFrame, pairs: DataFrame, described: DataFrame, labels: Dat
     component are passed over."""
     ends = relabel(relabel(pairs.select("a", "b", F.col("a").alias("x"), F.col("b").alias("y")), "x", labels), "y", labels)
     apart = ends.where("x <> y").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = _verified(docs, _possible(saved(apart, "jaccard-pairs"), described, percent), width, percent)
+    links = _verified(docs, _possible(apart, described, percent), width, percent)
     if links.isEmpty():
         return labels
-    ends = saved(relabel(relabel(links, "a", labels), "b", labels), "jaccard-links")
+    ends = relabel(relabel(links, "a", labels), "b", labels)
     new = ends.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels, "node", "left_anti")
     every = labels.unionByName(new.select("node", F.col("node").alias("label")))
     return sized(saved(relabel(every, "label", sized(components(ends))), "labels"))
