@@ -57,6 +57,7 @@ SMALL_BUCKET = 8       # buckets up to this size give all their pairs at once
 CHECK_COST = 50        # a pair's verification, in index entries
 THINNED = 0.5          # index again while common buckets shrink to this share
 BLOCK_MEMBERS = 1000   # members of a bucket compared in one task with as many others
+SLICE_BYTES = 1 << 19   # text worked on at once: some twenty numbers are held for a word
 PART_ENTRIES = 2_000_000
 SEND_ENTRIES = 1_000_000
 
@@ -232,7 +233,7 @@ def _describe(docs: DataFrame, width: int, percent: int) -> DataFrame:
         counts: dict[int, np.ndarray] = {}
         seen: set[tuple[int, int, int]] = set()
         for batch in batches:
-            for a, b, buf, offsets in T.slices(batch.column(1), lower=True):
+            for a, b, buf, offsets in T.slices(batch.column(1), lower=True, size=SLICE_BYTES):
                 sets = Sets(buf, offsets, width)
                 p1, p2 = sets.prints()
                 for which, bands, _ in roles(sets.size, percent):
@@ -332,7 +333,7 @@ def _index(docs: DataFrame, plans, parts: int, width: int, percent: int, only_do
             if only_docs is not None:
                 batch = batch.filter(pa.array(_marked(only_docs, batch.column(0).to_numpy())))
             ids = batch.column(0).to_numpy()
-            for a, b, buf, offsets in T.slices(batch.column(1), lower=True):
+            for a, b, buf, offsets in T.slices(batch.column(1), lower=True, size=SLICE_BYTES):
                 sets = Sets(buf, offsets, width)
                 p1, p2 = sets.prints()
                 new = _first_of_kind(seen, sets.size, p1, p2, np.arange(b - a))
@@ -442,7 +443,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Da
         for batch in batches:
             some = batch.filter(batch.column(0).is_valid())
             some = some.filter(pa.array(_marked(sent.value, some.column(0).to_numpy())))
-            for a, b, buf, offsets in T.slices(some.column(1), lower=True):
+            for a, b, buf, offsets in T.slices(some.column(1), lower=True, size=SLICE_BYTES):
                 sets = Sets(buf, offsets, width)
                 blobs = [sets.values[e - n:e].tobytes() for e, n in zip(sets.ends.tolist(), sets.size.tolist())]
                 yield pa.RecordBatch.from_arrays([some.column(0).slice(a, b - a), pa.array(blobs, pa.binary())], ["id", "values"])
@@ -561,6 +562,8 @@ def _between(rows: DataFrame, described: DataFrame, percent: int) -> DataFrame:
     def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         flat = np.stack([np.zeros(64, np.int32) if o is None
                          else np.frombuffer(o, np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int32) for o in frame["outline"]])
+        if flat.max(initial=0) < 1 << 14:
+            flat = flat.astype(np.int16)  # differences and their sums stay small
         known = np.array([o is not None for o in frame["outline"]])
         ids, label, n, block = (frame[c].to_numpy() for c in ("id", "label", "size", "block"))
         outline = frame["outline"].tolist()
@@ -571,7 +574,7 @@ def _between(rows: DataFrame, described: DataFrame, percent: int) -> DataFrame:
             if key[1] != key[2]:
                 y = y[block[y] != block[x]]
             most = (100 - percent) * (n[y] + n[x]) // (100 + percent)
-            y, most = (v[(np.abs(flat[y] - flat[x]).sum(axis=1) <= most) | ~(known[y] & known[x])] for v in (y, most))
+            y, most = (v[(np.abs(flat[y] - flat[x]).sum(axis=1, dtype=np.int64) <= most) | ~(known[y] & known[x])] for v in (y, most))
             for k, m in zip(y.tolist(), most.tolist()):
                 if outline[x] is None or outline[k] is None or differences(outline[x], outline[k]) <= m:
                     out.add((min(ids[x], ids[k]), max(ids[x], ids[k])))

@@ -122,12 +122,12 @@ def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:
     return buf[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def slices(column, lower: bool) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(column, lower: bool, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first text, past the last text, bytes, offsets) for slices of a column."""
     buf, offsets = text_buffers(column)
     a, n = 0, len(offsets) - 1
     while a < n:
-        b = int(np.searchsorted(offsets, offsets[a] + SLICE_BYTES, side="right")) - 1
+        b = int(np.searchsorted(offsets, offsets[a] + size, side="right")) - 1
         b = min(max(b, a + 1), n)
         part = buf[offsets[a]:offsets[b]]
         yield a, b, (_LOWER[part] if lower else part), offsets[a:b + 1] - offsets[a]
