@@ -17,6 +17,10 @@ import pyarrow as pa
 
 SLICE_BYTES = 1 << 21
 
+# Arrow's own allocator keeps what is freed. Python workers share an executor's
+# memory and live long, so freed batches go back to the system.
+pa.set_memory_pool(pa.system_memory_pool())
+
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
