@@ -1,11 +1,13 @@
 """Secret scans (operator 2): assignment-aware lexing.
 
 Besides three token patterns, a small lexer reads ``name = literal`` pairs in the
-syntaxes of source code and configuration (``=``, ``:=``, ``=>``, ``:``; quoted
-literals joined by ``+``; bare values; names as right sides). Names bound to
+syntaxes of source code and configuration (``=``, ``:=``, ``=>``, ``:``; names in
+subscripts and with type annotations; quoted literals joined by ``+``; bare values
+up to white space, comma or semicolon; names as right sides). Names bound to
 literals are constants, and a later ``target = constant`` hands the constant's
 literals on. A literal is reported when the names it reaches and its own shape
-score at least ``THRESHOLD`` together.
+score at least ``THRESHOLD`` together; spaces and lengths of 6 and 7 count only for
+quoted literals under a name of weight 1.
 
 Spans are code points, end exclusive. Null text is empty; repeated rows give
 repeated results; an empty table gives an empty result; other columns are ignored
@@ -38,13 +40,29 @@ SENSITIVE = {"password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "sec
              "credential": 0.9, "credentials": 0.9, "auth": 0.6, "bearer": 0.8, "signing": 0.6}
 SENSITIVE_PAIRS = {("api", "key"): 1.0, ("access", "key"): 1.0, ("private", "key"): 1.0, ("secret", "key"): 1.0,
                    ("client", "secret"): 1.0, ("encryption", "key"): 1.0}
-PLACEHOLDERS = {"changeme", "example", "password", "placeholder", "undefined", "redacted", "required", "optional"}
+PLACEHOLDERS = {"changeme", "example", "password", "placeholder", "undefined", "redacted", "required", "optional",
+                "string", "number", "object", "boolean", "default"}
 THRESHOLD = 1.5
 
-_VALUE = r"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|[A-Za-z0-9+/_.=-]+"
-_PAIR = re.compile(rf"([A-Za-z_][A-Za-z0-9_.-]*)[\"']?[ \t]*(?::=|=>|=|:)[ \t]*((?:{_VALUE})(?:[ \t]*\+[ \t]*(?:{_VALUE}))*)")
+_QUOTED = r"(?:[bBrRuUfFL]{1,2}|@)?(?:\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|`(?:[^`\\\n]|\\.)*`)"
+_VALUE = rf"{_QUOTED}|[^\s,;\"'`(\[{{<A-Za-z0-9+/_.=-]*[A-Za-z0-9+/_.=-]+"
+_VALUES = rf"((?:{_VALUE})(?:[ \t]*\+[ \t]*(?:{_VALUE}))*)"
+_WORD = r"[A-Za-z_][A-Za-z0-9_.-]*+"
+_CLOSE = r"(?:[\"'`]?[ \t]*\]|\[\d*\]|[\"'`])?"  # of a quoted name, a subscript or an array
+_PAIR = re.compile(rf"({_WORD}){_CLOSE}[ \t]*(?::=|=>|=|:)[ \t]*{_VALUES}")
+_TYPE = r"[&*]*(?:'\w+[ \t]+)?(?:mut[ \t]+)?([A-Za-z_][\w.]*)(?:[\[<(][^\n=;\"]{0,80}[\]>)])?[?!]?(?:\[\])*"
+_TYPED = re.compile(rf"(?:({_WORD}){_CLOSE}[?!]?[ \t]*:|\b(?:var|const)[ \t]+({_WORD})[ \t])[ \t]*"
+                    rf"({_TYPE}(?:[ \t]*\|[ \t]*{_TYPE.replace('([A-Z', '(?:[A-Z')})*)[ \t]*=(?![=>])[ \t]*{_VALUES}")
+_TYPE_NAME = re.compile(r"[A-Za-z_.]+\d{0,3}")
 _PART = re.compile(_VALUE)
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*")
+# The rest of a bare value, up to the next one of a query string or a closing tag;
+# what makes a name an expression instead; references to values kept elsewhere.
+_REST = re.compile(r"(?:(?!&[A-Za-z_][\w.-]*=|</)[^\s,;])+")
+_CODE = re.compile(r"[(\[{]|(?<=-)>|::|\?\.|!\(")
+_REFERENCE = re.compile(r"\$[A-Za-z_]\w*\Z|\$[{(]|%\(|\{\{|%[A-Za-z_]\w*%\Z")
+_LINE_START = re.compile(r"[ \t]*(?:(?:export|set|ENV|-)[ \t]+)?\Z")
+_CLOSERS = "\"'`)]}>"
 _SUBWORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 Span = tuple[int, int]
@@ -57,9 +75,11 @@ def name_score(name: str) -> float:
                 *(SENSITIVE_PAIRS.get(pair, 0.0) for pair in zip(parts, parts[1:]))])
 
 
-def literal_score(literal: str) -> float:
-    """0 to 1: how random a literal looks, by length, entropy and kinds of characters."""
-    if len(literal) < 8 or " " in literal or literal.lower() in PLACEHOLDERS:
+def literal_score(literal: str, full: bool = False) -> float:
+    """0 to 1: how random a literal looks, by length, entropy and kinds of characters.
+    ``full``: quoted and under a fully sensitive name, so short ones and ones with
+    spaces count too."""
+    if len(literal) < (6 if full else 8) or (" " in literal and not full) or literal.strip().lower() in PLACEHOLDERS | {""}:
         return 0.0
     n = len(literal)
     entropy = -sum(c / n * math.log2(c / n) for c in Counter(literal).values())
@@ -67,25 +87,58 @@ def literal_score(literal: str) -> float:
     return min(1.0, 0.15 * entropy + 0.15 * kinds + (0.1 if n >= 16 else 0.0))
 
 
+def _bare_end(text: str, name: int, a: int, b: int) -> int:
+    """Where the bare value that starts at ``a`` and is lexed up to ``b`` ends."""
+    rest = _REST.match(text, b)
+    if not rest or (_NAME.fullmatch(text, a, b) and _CODE.match(text, b)):
+        return b
+    end = rest.end()
+    line = text[text.rfind("\n", 0, name) + 1:name]
+    if text[end:end + 1] not in ("", "\n", "\r") or not _LINE_START.match(line):
+        while end > b and text[end - 1] in _CLOSERS:
+            end -= 1
+    return end if literal_score(text[a:end]) >= literal_score(text[a:b]) else b
+
+
+def _pairs(text: str) -> list[tuple[int, int, int, tuple[str, ...]]]:
+    """(value start, value end, name start, names) of the pairs, in order of the text.
+    Where ``x: y = literal`` may be a type as well as a name, both names count."""
+    typed, types = [], set()
+    if "=" in text:
+        for m in _TYPED.finditer(text):
+            typed.append((*m.span(5), m.start(), (m[1] or m[2], m[4])))
+            if _TYPE_NAME.fullmatch(m[4]):
+                types.add(m.start(4))
+    plain = [(*m.span(2), m.start(), (m[1],)) for m in _PAIR.finditer(text) if m.start(2) not in types]
+    return sorted(plain + typed)
+
+
 def literal_spans(text: str) -> list[Span]:
     """Literals whose names, also by propagation, and shape make them secrets."""
     constants: dict[str, list[Span]] = {}
     best: dict[Span, float] = {}
-    for m in _PAIR.finditer(text):
+    quoted: set[Span] = set()
+    for start, end, at, names in _pairs(text):
         spans: list[Span] = []
-        for part in _PART.finditer(text, m.start(2), m.end(2)):
+        for part in _PART.finditer(text, start, end):
             a, b = part.span()
-            if text[a] in "\"'":
+            if part[0][-1] in "\"'`":
+                a = min(k for k in (text.find(q, a, b) for q in "\"'`") if k >= 0)
                 spans.append((a + 1, b - 1))
+                quoted.add((a + 1, b - 1))
             elif _NAME.fullmatch(part[0]) and part[0] in constants:
                 spans += constants[part[0]]
             else:
-                spans.append((a, b))
-        constants[m[1]] = spans
-        if score := name_score(m[1]):
-            for span in spans:
-                best[span] = max(best.get(span, 0.0), score)
-    return sorted(s for s, score in best.items() if score + literal_score(text[s[0]:s[1]]) >= THRESHOLD)
+                b = _bare_end(text, at, a, b)
+                if not _REFERENCE.match(text[a:b]):
+                    spans.append((a, b))
+        for name in names:
+            constants[name] = spans
+            if score := name_score(name):
+                for span in spans:
+                    best[span] = max(best.get(span, 0.0), score)
+    return sorted(s for s, score in best.items()
+                  if score + literal_score(text[s[0]:s[1]], score >= 1 and s in quoted) >= THRESHOLD)
 
 
 def base_spans(text: str) -> list[tuple[int, str, int]]:

@@ -104,6 +104,25 @@ def test_constants_are_handed_on():
     assert credentials.redacted("password=abcdef1 and AKIA" + "A" * 16) == "[REDACTED] and [REDACTED]"
 
 
+@pytest.mark.parametrize("text, secrets", [
+    ('const apiKey: string = "sk-9aZ81kLmQ2xT7vB4"', ["sk-9aZ81kLmQ2xT7vB4"]),
+    ('db_password: str = "Zx81kLmQ2xT7vB4"', ["Zx81kLmQ2xT7vB4"]),
+    ("signing_secret: Optional[str] | None = 'Zx81kLmQ2xT7vB4'", ["Zx81kLmQ2xT7vB4"]),
+    ('config: signing_key = "Zk93jd82kLq0"', ["Zk93jd82kLq0"]),
+    ('os.environ["AWS_SECRET_ACCESS_KEY"] = "wJalrXUtnFEMI/K7"', ["wJalrXUtnFEMI/K7"]),
+    ("SECRET=ab$9kLmQ2xT7vB4", ["ab$9kLmQ2xT7vB4"]),
+    ("export DB_PASSWORD=Tr0ub4dor&3xyzQ!\n", ["Tr0ub4dor&3xyzQ!"]),
+    ("f(access_key=Zx81kLmQ2xT7vB4)", ["Zx81kLmQ2xT7vB4"]),
+    ("u?access_key=Zx81kLmQ2x&client_secret=Ab12Cd34Ef", ["Zx81kLmQ2x", "Ab12Cd34Ef"]),
+    ('passphrase = "correct horse battery staple"', ["correct horse battery staple"]),
+    ('client_secret: "aB3$x9"', ["aB3$x9"]),
+    ("access_key=${ACCESS_KEY}", []), ("access_key: CredentialProvider = f()", []), ('auth = "short words here"', []),
+])
+def test_syntaxes_of_literals(text, secrets):
+    assert [text[a:b] for a, b in credentials.literal_spans(text)] == secrets
+    assert not any(s in credentials.redacted(text) for s in secrets)
+
+
 def test_base_matches_consume_text_before_the_length_test():
     text = "password: token: abcdefg ſecret=abcdefgh"
     assert brute.secret_spans(text)[:3] == (0, 0, 0) and credentials.base_spans(text) == []
