@@ -12,9 +12,10 @@ that any language has seen, one column for each language, with escapes already
 added up, so scoring is a lookup for each byte. Bytes rare in training share a
 symbol, which keeps a full context within 24 bits.
 
-Training rows: at most ``sample_docs`` documents of a language (smallest hash of
-the text), of which at most the first ``sample_bytes`` bytes are counted. That
-bound is on the training sample alone; whole texts are scored.
+Training rows: the distinct texts of a language by smallest hash, at most
+``sample_docs``, until they have ``sample_bytes`` bytes together. Each is counted
+whole, copies of it once. That bound is on the training sample alone; whole texts
+are scored.
 
 A null text, or one without a letter, is ``und`` with score 0. A tie goes to the
 language first in the alphabet. Repeated rows give repeated results. Without a
@@ -39,7 +40,7 @@ from .common import only
 ORDER = 3
 SYMBOL_BITS = 6
 SAMPLE_DOCS = 400
-SAMPLE_BYTES = 4000
+SAMPLE_BYTES = 16 << 20
 UNKNOWN = "und"
 _ASCII_LETTER = re.compile("[A-Za-z]")
 
@@ -50,16 +51,21 @@ def has_letter(text: str | None) -> bool:
 
 def training_sample(docs: DataFrame, use: Column, text_col: str = "text", lang_col: str = "lang",
                     sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
-    """(lang, data): at most ``sample_docs`` documents of each language among the
-    rows where ``use`` is true, picked in two rounds so that no task ranks them all."""
-    rows = docs.where(use & docs[lang_col].isNotNull() & docs[text_col].isNotNull()).select(
-        docs[lang_col].alias("lang"), F.xxhash64(docs[text_col]).alias("h"),
-        F.substring(F.encode(docs[text_col], "UTF-8"), 1, sample_bytes).alias("data"),
-        F.pmod(F.spark_partition_id(), F.lit(256)).alias("task")).where(F.octet_length("data") > 0)
+    """(lang, data): at most ``sample_docs`` distinct whole texts of each language
+    among the rows where ``use`` is true, no more after they have ``sample_bytes``
+    bytes together. Hashes are picked in two rounds, so that no task ranks them all; only
+    the picked texts are moved."""
+    rows = docs.where(use & docs[lang_col].isNotNull() & (F.octet_length(docs[text_col]) > 0)).select(
+        docs[lang_col].alias("lang"), F.xxhash64(docs[text_col]).alias("h"), docs[text_col].alias("text"))
+    prints = rows.groupBy("lang", "h").agg(F.min(F.octet_length("text")).alias("n"))
+    prints = prints.withColumn("task", F.pmod(F.xxhash64("h"), F.lit(256)))
     for keys in (["lang", "task"], ["lang"]):
-        best = Window.partitionBy(*keys).orderBy("h", "data")
-        rows = rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= sample_docs).drop("rank")
-    return rows.select("lang", "data")
+        best = Window.partitionBy(*keys).orderBy("h")
+        prints = prints.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= sample_docs).drop("rank")
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("lang").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    picked = prints.withColumn("before", before).where(F.col("before") < sample_bytes).select("lang", "h")
+    found = rows.join(F.broadcast(picked), ["lang", "h"]).dropDuplicates(["lang", "h"])
+    return found.select("lang", F.encode("text", "UTF-8").alias("data"))
 
 
 class Model:
@@ -113,8 +119,11 @@ class Model:
 
     def _grams(self, texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
         """(codes, counts) of what a language has seen."""
-        parts = [self._codes(self.symbol[np.frombuffer(d, np.uint8)], order) for d in texts if len(d) > order]
-        return np.unique(np.concatenate([np.empty(0, np.int64), *parts]), return_counts=True)
+        parts = [np.unique(self._codes(self.symbol[np.frombuffer(d, np.uint8)], order), return_counts=True)
+                 for d in texts if len(d) > order]
+        codes, of = np.unique(np.concatenate([np.empty(0, np.int64), *(c for c, _ in parts)]), return_inverse=True)
+        counts = np.concatenate([np.empty(0, np.int64), *(n for _, n in parts)])
+        return codes, np.bincount(of, weights=counts, minlength=len(codes)).astype(np.int64)
 
     @staticmethod
     def _codes(symbols: np.ndarray, order: int) -> np.ndarray:
@@ -164,7 +173,7 @@ class Model:
 def train(sample: DataFrame) -> Model:
     """The model of a bounded sample (lang, data)."""
     samples: dict[str, list[bytes]] = {}
-    for r in sample.orderBy("lang", "data").toLocalIterator():
+    for r in sample.toLocalIterator():
         samples.setdefault(r["lang"], []).append(bytes(r["data"]))
     return Model(samples)
 

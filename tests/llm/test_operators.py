@@ -242,6 +242,20 @@ def test_code_lengths_are_the_plain_model():
         assert got == pytest.approx([bits(x, data) for x in model.langs], rel=1e-5)
 
 
+def test_training_sample_is_of_distinct_whole_texts(spark):
+    texts = [f"text number {i} " * 600 for i in range(6)]
+    docs = spark.createDataFrame([("en", t) for t in texts for _ in range(50)] + [("fr", "un texte"), ("fr", ""), ("fr", None)],
+                                 "lang string, text string").repartition(5)
+
+    def sample(**bounds):
+        return sorted((r["lang"], bytes(r["data"]).decode()) for r in langid.training_sample(docs, F.lit(True), **bounds).collect())
+
+    assert sample() == sorted([("en", t) for t in texts] + [("fr", "un texte")])
+    for bounds in ({"sample_docs": 4}, {"sample_bytes": 3 * len(texts[0]) + 1}):
+        some = sample(**bounds)
+        assert len(some) == 5 and set(some) < set(sample())
+
+
 def test_cascade_is_exact_and_falls_back(spark):
     keys = spark.range(3000).select(F.concat(F.lit("host"), "id").alias("key"), (F.col("id") % 7 == 0).alias("listed"))
     for size in (urls.MAX_BYTES, 8):
