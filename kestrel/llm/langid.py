@@ -9,8 +9,8 @@ shorter, down to a flat code over all bytes. The shortest code wins.
 
 The trees are laid out as tables: one row for every context-and-byte or context
 that any language has seen, one column for each language, with escapes already
-added up, so scoring is a lookup for each byte. Bytes rare in training share a
-symbol, which keeps a full context within 24 bits.
+added up, so scoring is a search for each byte in the sorted codes. Every byte is
+its own symbol.
 
 Training rows: the distinct texts of a language by smallest hash, at most
 ``sample_docs``, until they have ``sample_bytes`` bytes together. Each is counted
@@ -38,7 +38,7 @@ from . import text as T
 from .common import only
 
 ORDER = 3
-SYMBOL_BITS = 6
+SYMBOL_BITS = 8
 SAMPLE_DOCS = 400
 SAMPLE_BYTES = 16 << 20
 UNKNOWN = "und"
@@ -73,49 +73,42 @@ class Model:
 
     def __init__(self, samples: dict[str, list[bytes]]):
         self.langs = sorted(samples)
-        counts = sum((np.bincount(np.frombuffer(d, np.uint8), minlength=256) for x in samples.values() for d in x),
-                     np.zeros(256, np.int64))
-        common = np.argsort(-counts, kind="stable")[:(1 << SYMBOL_BITS) - 1]
-        self.symbol = np.zeros(256, np.int64)  # 0: any byte rare in training
-        self.symbol[common] = np.arange(1, len(common) + 1)
+        self.symbol = np.arange(1 << SYMBOL_BITS)
         n = len(self.langs)
         #: by context length: the codes of each (context, byte) that some language
-        #: has seen, their bits in every language, and the bits of escaping from a
-        #: context
+        #: has seen, their bits in every language, the contexts and the bits of
+        #: escaping from them
         self.codes: list[np.ndarray] = []
         self.bits: list[np.ndarray] = []
+        self.contexts: list[np.ndarray] = []
         self.escape: list[np.ndarray] = []
-        self._rows: list[np.ndarray] = []
         for order in range(ORDER + 1):
             grams = [self._grams(samples[x], order) for x in self.langs]
             some = np.unique(np.concatenate([c for c, _ in grams])) if grams else np.empty(0, np.int64)
-            context, contexts = some >> SYMBOL_BITS, 1 << SYMBOL_BITS * order
-            escapes = np.zeros((contexts, n), np.float32)
+            contexts, context = np.unique(some >> SYMBOL_BITS, return_inverse=True)
+            escapes = np.zeros((len(contexts), n), np.float32)
             bits = np.empty((len(some), n), np.float32)
-            shorter = self._lookup(order - 1, some & (contexts - 1)) if order else np.full((len(some), n), 8.0)
+            shorter = self._lookup(order - 1, some & ((1 << SYMBOL_BITS * order) - 1)) if order else np.full((len(some), n), 8.0)
             for k, (codes, counts) in enumerate(grams):
-                total = np.bincount(codes >> SYMBOL_BITS, weights=counts, minlength=contexts)
-                kinds = np.bincount(codes >> SYMBOL_BITS, minlength=contexts)
+                own = np.searchsorted(some, codes)
+                total = np.bincount(context[own], weights=counts, minlength=len(contexts))
+                kinds = np.bincount(context[own], minlength=len(contexts))
                 known = kinds > 0
                 escapes[known, k] = np.log2((total[known] + kinds[known]) / kinds[known])
                 bits[:, k] = escapes[context, k] + shorter[:, k]
-                own = np.searchsorted(some, codes)
-                bits[own, k] = np.log2((total + kinds)[codes >> SYMBOL_BITS] / counts)
+                bits[own, k] = np.log2((total + kinds)[context[own]] / counts)
             self.codes.append(some)
             self.bits.append(bits)
+            self.contexts.append(contexts)
             self.escape.append(escapes)
 
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"_rows": []}  # made again where the model arrives
-
-    def _row(self, order: int, codes: np.ndarray) -> np.ndarray:
-        """Place of each code among the known ones, or -1."""
-        while len(self._rows) <= order:
-            k = len(self._rows)
-            row = np.full(1 << SYMBOL_BITS * (k + 1), -1, np.int32)
-            row[self.codes[k]] = np.arange(len(self.codes[k]))
-            self._rows.append(row)
-        return self._rows[order][codes]
+    @staticmethod
+    def _place(known: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Place of each code among the sorted known ones, or -1."""
+        if not len(known):
+            return np.full(len(codes), -1)
+        row = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+        return np.where(known[row] == codes, row, -1)
 
     def _grams(self, texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
         """(codes, counts) of what a language has seen."""
@@ -136,13 +129,23 @@ class Model:
 
     def _lookup(self, order: int, codes: np.ndarray) -> np.ndarray:
         """Bits of each code in every language."""
-        row = self._row(order, codes)
-        out = self.bits[order][np.maximum(row, 0)] if len(self.bits[order]) else np.zeros((len(codes), len(self.langs)), np.float32)
+        row = self._place(self.codes[order], codes)
+        out = self._taken(self.bits[order], row)
         lost = np.flatnonzero(row < 0)
         if len(lost):
             c = codes[lost]
             rest = self._lookup(order - 1, c & ((1 << SYMBOL_BITS * order) - 1)) if order else np.float32(8.0)
-            out[lost] = self.escape[order][c >> SYMBOL_BITS] + rest
+            context = self._place(self.contexts[order], c >> SYMBOL_BITS)
+            out[lost] = self._taken(self.escape[order], context) + rest
+        return out
+
+    @staticmethod
+    def _taken(table: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """The rows of a table; zeros where a place is -1."""
+        if not len(table):
+            return np.zeros((len(row), table.shape[1]), np.float32)
+        out = table[row]
+        out[row < 0] = 0
         return out
 
     def code_lengths(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:

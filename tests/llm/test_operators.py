@@ -242,6 +242,22 @@ def test_code_lengths_are_the_plain_model():
         assert got == pytest.approx([bits(x, data) for x in model.langs], rel=1e-5)
 
 
+def test_small_languages_of_other_scripts_keep_their_bytes():
+    rnd = random.Random(4)
+    # two of each script, whose letters differ in the last byte alone
+    letters = {"el1": "αβγδ", "el2": "εζηθ", "he1": "אבגד", "he2": "הוזח", "ru1": "абвг", "ru2": "дежз", "th1": "กขคง", "th2": "จฉชซ"}
+
+    def text(own, words):
+        return " ".join("".join(rnd.choices(own, k=5)) for _ in range(words)).encode()
+
+    ascii = bytes(range(32, 127)).decode() * 200
+    model = langid.Model({"en": [ascii.encode()], **{x: [text(own, 60)] for x, own in letters.items()}})
+    for lang, own in letters.items():
+        data = text(own, 20)
+        bits = model.code_lengths(np.frombuffer(data, np.uint8), np.array([0, len(data)]))[0]
+        assert model.langs[bits.argmin()] == lang
+
+
 def test_training_sample_is_of_distinct_whole_texts(spark):
     texts = [f"text number {i} " * 600 for i in range(6)]
     docs = spark.createDataFrame([("en", t) for t in texts for _ in range(50)] + [("fr", "un texte"), ("fr", ""), ("fr", None)],
