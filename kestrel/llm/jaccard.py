@@ -482,7 +482,7 @@ def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     copies = saved(sets.join(sized(kinds), ["size", "print1", "print2"]).where("doc_id <> label").select(
         F.col("doc_id").alias("node"), "label"), "jaccard-copies")
 
-    # a node may have several classes if its doc_id repeats; the smallest names it
+    # a node may have several classes if its doc_id repeats
     to_class = sized(saved(copies.groupBy("node").agg(F.min("label").alias("label")), "jaccard-copies"))
     labels = saved(to_class.unionByName(kinds.select(F.col("label").alias("node"), "label")), "labels")
     nodes = labels.select("node").distinct().count()
@@ -490,6 +490,11 @@ def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
         labels = sized(labels)
     else:  # a doc_id repeats and ties classes together
         labels = sized(components(copies.select(F.col("label").alias("a"), F.col("node").alias("b"))))
+    # a doc_id with other texts besides stands for all of them in its pairs
+    contents = F.struct("size", "print1", "print2")
+    several = sets.where("size > 0").join(to_class, sets["doc_id"] == to_class["node"], "left_semi").groupBy("doc_id").agg(
+        F.min(contents).alias("x"), F.max(contents).alias("y")).where("x <> y").select(F.col("doc_id").alias("node"))
+    to_class = sized(saved(to_class.join(sized(saved(several, "jaccard-copies")), "node", "left_anti"), "jaccard-copies"))
     plans, only_docs, common, last = _plans(described), None, None, None
     while True:
         index = _index(docs, plans, parts, width, percent, only_docs, common)

@@ -19,7 +19,7 @@ are scored.
 
 A null text, or one without a letter, is ``und`` with score 0. A tie goes to the
 language first in the alphabet. Repeated rows give repeated results. Without a
-training row every text is ``und``. Other columns than those named are ignored by
+training row ``predict`` gives ``und`` for every text. Other columns than those named are ignored by
 ``predict`` and kept by ``identified``.
 """
 
@@ -213,13 +213,17 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows whose language is known, all their columns as they were."""
+    """The rows whose language is known, all their columns as they were. A model
+    without languages rejects nothing but texts without a letter."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, _ = judged(sent.value, batch.column(at))
-            yield batch.filter(pa.array([x != UNKNOWN for x in langs], pa.bool_()))
+            if sent.value.langs:
+                keep = [x != UNKNOWN for x in judged(sent.value, batch.column(at))[0]]
+            else:
+                keep = [has_letter(t) for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -6,6 +6,7 @@ import zlib
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -209,3 +210,35 @@ def test_pipeline(spark, edge_dir, empty_dir):
     assert docs.count() == 3
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, edge_dir).collect()
     assert {r["doc_id"] for r in pieces} == {4, 9, 10}
+
+
+def _repeated_ids():
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(80)) for x in "abcde")
+    near = b.replace("b40", "other")
+    # 5 has a copy and a text of its own, 7 two texts, 8 a near copy and a text of its own
+    return {(3, a), (5, a), (5, b), (9, near), (7, c), (7, d), (8, c + " end"), (8, e)}
+
+
+def test_op6_repeated_ids_with_different_texts(spark, tmp_path):
+    docs = sorted(_repeated_ids())
+    spark.createDataFrame([*docs, docs[0]], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = brute.components(docs)
+    got = rows(spark, "op6_jaccard_join", str(tmp_path))
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(d, want[d][1]) for d, _ in docs}
+    assert want[9][1] == 3
+
+
+def test_pipeline_keeps_different_texts_of_an_id(spark):
+    docs = _repeated_ids()
+    df = spark.createDataFrame([*sorted(docs), *sorted(docs)], "doc_id bigint, text string").selectExpr("*", "'x' AS _key")
+    left = corpus_pipeline.drop_near_duplicates(spark, df, "")
+    assert left.columns == df.columns
+    gone = {r for r in docs if r in {(5, next(t for i, t in docs if i == 3)), (9, next(t for i, t in docs if i == 9))}
+            or r[1].endswith("end")}
+    assert len(gone) == 3 and bag((r["doc_id"], r["text"]) for r in left.collect()) == bag(docs - gone)
+
+
+def test_language_stage_without_labels(spark, edge_dir):
+    docs = spark.read.parquet(f"{edge_dir}/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.identify_language(spark, docs, edge_dir)
+    assert {r["doc_id"] for r in kept.collect()} == {3, 4, 5, 6, 7, 9, 10, None}
