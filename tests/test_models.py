@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_mod
-from conftest import SF001
+from support import SF001
 from kestrel.plans import ORACLES, QUERIES
 from kestrel.operators import classify, cluster_ml, features
 from kestrel.operators.lloyd import Centroids, assign, prepare_points

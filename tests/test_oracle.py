@@ -9,7 +9,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_mod
-from conftest import SF01
+from support import SF01
 from oracle import compare, duck
 
 ORACLES = entry_mod.oracle_sql()

@@ -5,7 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_mod
-from conftest import SF001
+from support import SF001
 from kestrel.operators import lloyd as L
 from kestrel.operators.ordering import with_row_index
 
