@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import load_table
-from . import credentials, decontaminate, jaccard, langid, licenses, packing, quality, token_counts, token_files, urls
+from . import conversations, credentials, decontaminate, jaccard, langid, licenses, packing, quality, token_counts, token_files, urls
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -94,6 +94,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load_table(spark, sf_dir, "documents"), TOKENIZER, PACK_END_ID, SEQUENCE_LENGTH)
 
 
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = load_table(spark, sf_dir, "conversations")
+    rows = conversations.damaged(convs)
+    found = conversations.plans(rows)
+    ids = convs.select(convs["conv_id"].alias("conv")).distinct()
+    return conversations.repaired_digests(rows, found, ids).withColumnRenamed("conv", "conv_id")
+
+
 ORACLES["op1_quality_rules"] = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text FROM documents
