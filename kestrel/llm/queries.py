@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import load_table
-from . import conversations, credentials, decontaminate, jaccard, langid, licenses, packing, quality, token_counts, token_files, urls
+from . import conversations, credentials, decontaminate, jaccard, langid, licenses, packing, quality, token_counts, token_files, urls, whitening
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -94,6 +94,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load_table(spark, sf_dir, "documents"), TOKENIZER, PACK_END_ID, SEQUENCE_LENGTH)
 
 
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(load_table(spark, sf_dir, "embeddings"), k=16, scale=64.0, offset=1_000_000)
+
+
 @query
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     convs = load_table(spark, sf_dir, "conversations")
