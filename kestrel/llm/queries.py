@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import load_table
-from . import conversations, credentials, decontaminate, jaccard, langid, licenses, packing, quality, token_counts, token_files, urls, whitening
+from . import conversations, credentials, decontaminate, jaccard, langid, licenses, packing, pii, quality, token_counts, token_files, urls, whitening
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -108,6 +108,22 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repaired_digests(rows, found, ids).withColumnRenamed("conv", "conv_id")
 
 
+@query
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.train(docs))
+    base = F.filter("spans", lambda s: s["confidence"].isNull())
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+                        (F.size("spans") - F.size(base)).cast("bigint").alias("n_added"))
+
+
 ORACLES["op1_quality_rules"] = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text FROM documents

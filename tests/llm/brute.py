@@ -170,3 +170,25 @@ def conversation_repair(rows):
     counts = Counter(faults)
     return (gaps, counts["blank"], counts["duplicate"], counts["truncated"], illegal, cost, audit,
             hashlib.sha256("\n".join(done).encode()).hexdigest())
+
+
+def personal_data(text):
+    """(n_email, n_ip, n_card, n_phone, base_sha256, base spans joined)."""
+    text = text or ""
+
+    def luhn(digits):
+        twice = [int(c) * 2 for c in digits[-2::-2]]
+        return (sum(int(c) for c in digits[-1::-2]) + sum(x // 10 + x % 10 for x in twice)) % 10 == 0
+
+    def digits(m):
+        return [c for c in m[0] if c in "0123456789"]
+
+    tests = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m[0].split("."))),
+        "card": (r"[0-9]([\x20-]?[0-9])+", lambda m: 16 <= len(digits(m)) <= 19 and luhn(digits(m))),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 8 <= len(digits(m)) <= 15),
+    }
+    found = {k: [m.span() for m in re.finditer(p, text) if ok(m)] for k, (p, ok) in tests.items()}
+    joined = ",".join(f"{k}:{a}:{b}" for k, own in found.items() for a, b in own)
+    return (*map(len, found.values()), hashlib.sha256(joined.encode()).hexdigest(), joined)
