@@ -22,7 +22,7 @@ import numpy as np
 
 from . import text as T
 
-MEMO_ENTRIES = 1_000_000  # a memo is emptied when it grows past this
+MEMO_ENTRIES = 200_000  # of each of a memo's two generations
 
 _WS = ~T.NON_SPACE
 # Bytes after which a white space byte may start a chunk: printable ASCII; a byte
@@ -109,7 +109,7 @@ class ChunkEncoder:
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.classes = byte_classes(self.specials)
         self.alphabet = byte_alphabet()
-        self.chunks: dict[bytes, object] = {}
+        self.chunks, self.older = {}, {}  # the newer and the older generation of the memo
 
     def _piece(self, piece: str) -> bytes:
         return np.array([t.id for t in self.model.tokenize(piece)], self.dtype).tobytes()
@@ -131,9 +131,10 @@ class ChunkEncoder:
         """Value of each chunk, from the memo or made now (in sorted order)."""
         out = list(map(self.chunks.get, keys))
         if len(self.chunks) >= MEMO_ENTRIES:
-            self.chunks.clear()
+            self.chunks, self.older = {}, self.chunks
         for i in sorted((i for i, v in enumerate(out) if v is None), key=keys.__getitem__):
-            out[i] = self.chunks[keys[i]] = self._chunk(keys[i])
+            known = self.older.get(keys[i])
+            out[i] = self.chunks[keys[i]] = self._chunk(keys[i]) if known is None else known
         return out
 
     def distinct_chunks(self, buf, offsets):
@@ -174,7 +175,7 @@ class PrefixCounter(ChunkEncoder):
     def _joins(self, left: str, right: str) -> bool:
         """Whether the two tokens stay as they are side by side (left '' = alone)."""
         got = [t.value for t in self.model.tokenize(left + right)] == [t for t in (left, right) if t]
-        if len(self.pairs) >= MEMO_ENTRIES:
+        if len(self.pairs) >= 2 * MEMO_ENTRIES:
             self.pairs.clear()
         self.pairs[left, right] = got
         return got

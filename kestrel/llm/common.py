@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import itertools
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,13 +12,30 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
+BATCH_ROWS = 1_000
+_BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Within it, at most ``BATCH_ROWS`` rows go to a Python worker at once: a batch of
+    whole texts is held several times, in the executor and in the worker."""
+    before = spark.conf.get(_BATCH_KEY)
+    spark.conf.set(_BATCH_KEY, str(min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_KEY, before)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back.
 
     Cuts the lineage: a lost executor never makes the work before it run again.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -142,7 +142,7 @@ def _count_shingles(docs: DataFrame, shingles: dict[int, np.ndarray]) -> dict[in
         for q, m in marks.items():
             yield pa.RecordBatch.from_arrays([pa.array(m.keys.view(np.int64)), pa.array(sums[q])], ["shingle", "n"])
 
-    rows = only(docs, "text").mapInArrow(count, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
+    rows = only(docs, "text").mapInArrow(T.tidy(count), "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
     out = {r["shingle"] % (1 << 64): r["n"] for r in rows.collect()}  # a row for each shingle of the slice
     sent.unpersist()
     return out
@@ -184,7 +184,7 @@ def _find(docs: DataFrame, index: Index | None) -> DataFrame:
                     ["doc_id", "row", "n_words", "hit", "items"])
 
     return only(docs, "doc_id", "text").select(
-        F.col("doc_id").cast("bigint"), F.monotonically_increasing_id().alias("row"), "text").mapInArrow(find, FOUND)
+        F.col("doc_id").cast("bigint"), F.monotonically_increasing_id().alias("row"), "text").mapInArrow(T.tidy(find), FOUND)
 
 
 def _hits(index: Index | None, words: T.Words) -> tuple[np.ndarray, dict[int, set[str]]]:
@@ -235,5 +235,5 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10,
                     clean[a + np.searchsorted(words.first, np.flatnonzero(hit), side="right") - 1] = False
                 yield batch.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(keep, docs.schema)
+        docs = docs.mapInArrow(T.tidy(keep), docs.schema)
     return docs

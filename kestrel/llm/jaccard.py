@@ -258,7 +258,7 @@ def _describe(docs: DataFrame, width: int, percent: int) -> DataFrame:
                  pa.array([blocks[i].tobytes() for i in some], pa.binary())], _NAMES)
 
     _NAMES = [x.split()[0] for x in DESCRIBED.split(", ")]
-    return _texts(docs).mapInArrow(run, DESCRIBED)
+    return _texts(docs).mapInArrow(T.tidy(run), DESCRIBED)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -352,7 +352,7 @@ def _index(docs: DataFrame, plans, parts: int, width: int, percent: int, only_do
         if held:
             yield from _packed(found, owners, parts)
 
-    return _texts(docs).mapInArrow(run, INDEXED)
+    return _texts(docs).mapInArrow(T.tidy(run), INDEXED)
 
 
 def _packed(found: list[np.ndarray], owners: list[np.ndarray], parts: int) -> Iterator[pa.RecordBatch]:
@@ -427,7 +427,7 @@ def _possible(pairs: DataFrame, described: DataFrame, percent: int) -> DataFrame
                                                       F.col("outline").alias(f"outline_{name}"))
 
     both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "size_a", "size_b", "outline_a", "outline_b")
-    return saved(both.mapInArrow(check, "a bigint, b bigint"), "jaccard-possible")
+    return saved(both.mapInArrow(T.tidy(check), "a bigint, b bigint"), "jaccard-possible")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -459,10 +459,10 @@ def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Da
                     good[i] = 100 * common >= percent * (len(x) + len(y) - common)
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
-    sets = _texts(docs).mapInArrow(send, "id bigint, values binary")
+    sets = _texts(docs).mapInArrow(T.tidy(send), "id bigint, values binary")
     left = pairs.join(sets.select(F.col("id").alias("b"), F.col("values").alias("y")), "b")
     full = left.join(sets.select(F.col("id").alias("a"), F.col("values").alias("x")), "a").select("a", "b", "x", "y")
-    return saved(full.mapInArrow(check, "a bigint, b bigint"), "jaccard-links")
+    return saved(full.mapInArrow(T.tidy(check), "a bigint, b bigint"), "jaccard-links")
 
 
 # ---- the operator -----------------------------------------------------------
@@ -541,7 +541,7 @@ def _mixed(met: DataFrame, to_class: DataFrame, labels: DataFrame) -> tuple[Data
                 ids = np.frombuffer(blob.as_py(), "<i8")
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), bucket.as_py())), pa.array(ids)], ["bucket", "id"])
 
-    unpacked = large.select("bucket", "members").mapInArrow(unpack, "bucket bigint, id bigint")
+    unpacked = large.select("bucket", "members").mapInArrow(T.tidy(unpack), "bucket bigint, id bigint")
     rows = relabel(unpacked, "id", to_class).withColumn("label", F.col("id"))
     rows = saved(relabel(rows, "label", labels), "jaccard-buckets")
     mixed = saved(rows.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket"),
@@ -549,7 +549,7 @@ def _mixed(met: DataFrame, to_class: DataFrame, labels: DataFrame) -> tuple[Data
     if mixed.isEmpty():
         return None, None
     own = saved(rows.join(sized(mixed), "bucket").distinct(), "jaccard-mixed")
-    found = large.join(sized(mixed), "bucket").select("bucket", "entries").mapInArrow(unpack, "bucket bigint, id bigint")
+    found = large.join(sized(mixed), "bucket").select("bucket", "entries").mapInArrow(T.tidy(unpack), "bucket bigint, id bigint")
     return own, found.select("id")
 
 

@@ -209,7 +209,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                                              [id_col, "lang_pred", "score"])
 
-    return rows.mapInArrow(run, f"{id_col} {rows.schema[id_col].dataType.simpleString()}, lang_pred string, score double")
+    return rows.mapInArrow(T.tidy(run), f"{id_col} {rows.schema[id_col].dataType.simpleString()}, lang_pred string, score double")
 
 
 def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -226,4 +226,4 @@ def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
                 keep = [has_letter(t) for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(T.tidy(run), docs.schema)

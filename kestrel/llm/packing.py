@@ -98,7 +98,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int) -> DataFrame
                     [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(curve),
                      pa.array(counts), pa.array(blobs, pa.binary())], ["row", "doc_id", "curve", "n_ids", "ids"])
 
-    encoded = saved(rows.mapInArrow(encode, ENCODED), "packing-ids")
+    encoded = saved(rows.mapInArrow(T.tidy(encode), ENCODED), "packing-ids")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at = TaskContext.get().partitionId(), 0
@@ -132,4 +132,4 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int) -> DataFrame
                                              ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
     return encoded.select("row", "doc_id", "n_ids", "ids").join(starts, "row").select(
-        "doc_id", "at", "n_ids", "ids").mapInArrow(cut, PIECES)
+        "doc_id", "at", "n_ids", "ids").mapInArrow(T.tidy(cut), PIECES)

@@ -10,17 +10,43 @@ Batches are processed in slices of about ``SLICE_BYTES``; one text is never cut.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 21
+HASH_BYTES = 1 << 18  # bytes hashed in one go; two numbers are held for each
 
 # Arrow's own allocator keeps what is freed. Python workers share an executor's
 # memory and live long, so freed batches go back to the system.
 pa.set_memory_pool(pa.system_memory_pool())
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):  # another C library
+    _trim = None
+
+
+def give_back() -> None:
+    """Memory freed in this process goes back to the system."""
+    if _trim:
+        _trim(0)
+
+
+def tidy(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` from batches to batches, which gives freed memory back to the system
+    when a task ends: an idle worker waits for its next task with little."""
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
@@ -48,11 +74,11 @@ _tables: tuple[np.ndarray, np.ndarray] | None = None
 
 
 def _powers() -> tuple[np.ndarray, np.ndarray]:
-    """p**i and p**-i for i below SLICE_BYTES, modulo 2**64."""
+    """p**i and p**-i for i below HASH_BYTES, modulo 2**64."""
     global _tables
     if _tables is None:
         def powers(base: int) -> np.ndarray:
-            out = np.full(SLICE_BYTES, base, _U)
+            out = np.full(HASH_BYTES, base, _U)
             out[0] = 1
             return np.multiply.accumulate(out)
         _tables = powers(_BASE), powers(_BASE_INV)
@@ -66,13 +92,13 @@ def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     i, n = 0, len(start)
     while i < n:
         first = int(start[i])
-        j = int(np.searchsorted(end, first + SLICE_BYTES, side="right"))
-        if j <= i:  # one span longer than a slice
+        j = int(np.searchsorted(end, first + HASH_BYTES, side="right"))
+        if j <= i:  # one span longer than that
             total, scale = 0, 1
-            for at in range(first, int(end[i]), SLICE_BYTES):
-                part = buf[at:min(at + SLICE_BYTES, int(end[i]))].astype(_U) + _U(1)
+            for at in range(first, int(end[i]), HASH_BYTES):
+                part = buf[at:min(at + HASH_BYTES, int(end[i]))].astype(_U) + _U(1)
                 total += scale * int((part * up[:len(part)]).sum(dtype=_U))
-                scale = scale * pow(_BASE, SLICE_BYTES, 1 << 64) % (1 << 64)
+                scale = scale * pow(_BASE, HASH_BYTES, 1 << 64) % (1 << 64)
             out[i] = total % (1 << 64)
             i += 1
             continue
