@@ -83,6 +83,52 @@ def coefficients(model: PipelineModel | LogisticRegressionModel, spark: SparkSes
     return spark.createDataFrame(rows, "feature string, weight double")
 
 
+def optimality(model: PipelineModel | LogisticRegressionModel, train: DataFrame,
+               feature_names: Sequence[str], label_col: str = "y", reg_param: float = REG_PARAM,
+               elastic_net: float = ELASTIC_NET) -> DataFrame:
+    """How far the weights are from the conditions of the penalized minimum (M4, M6).
+
+    Weights w and features are taken in units of a feature's sample deviation, as the
+    penalty is. With g the gradient of the mean log loss, the minimum has
+    g + reg * ((1 - a) w + a sign(w)) = 0 where w isn't 0, |g| <= reg * a where it is,
+    and g = 0 for the intercept. (feature, weight, gradient, curvature, violation):
+    ``violation`` is what is missing to that; ``curvature`` the loss's second derivative,
+    so violation / curvature is about how far the weight is off. A constant feature has
+    no unit: its weight must be 0.
+
+    One distributed aggregate over the training rows: a few sums a feature.
+    ``feature_names`` are columns of ``train``, or of the model's preparation.
+    """
+    lr = model.stages[-1] if isinstance(model, PipelineModel) else model
+    data = model.transform(train) if isinstance(model, PipelineModel) else train
+    weights, names = lr.coefficients.toArray().tolist(), list(feature_names)
+    rows = data.select(F.col(label_col).cast("double").alias("_y"),
+                       *(F.col(c).cast("double").alias(f"_x{j}") for j, c in enumerate(names)))
+    margin = F.lit(float(lr.intercept))
+    for j, w in enumerate(weights):
+        margin = margin + F.lit(w) * F.col(f"_x{j}")
+    rows = rows.withColumn("_p", 1 / (1 + F.exp(-margin)))
+    error, spread = F.col("_p") - F.col("_y"), F.col("_p") * (1 - F.col("_p"))
+    sums = [F.avg(error).alias("e"), F.avg(spread).alias("c")]
+    for j in range(len(names)):
+        x = F.col(f"_x{j}")
+        sums += [F.avg(error * x).alias(f"e{j}"), F.avg(spread * x * x).alias(f"c{j}"), F.stddev_samp(x).alias(f"s{j}")]
+    r = rows.agg(*sums).first()
+    out = []
+    for j, (name, w) in enumerate(zip(names, weights)):
+        s = r[f"s{j}"] or 0.0
+        if s == 0.0:
+            out.append((name, w, 0.0, 0.0, abs(w)))
+            continue
+        g, unit = r[f"e{j}"] / s, w * s
+        bound = reg_param * elastic_net
+        pull = g + reg_param * (1 - elastic_net) * unit
+        violation = abs(pull + (bound if unit > 0 else -bound)) if unit else max(0.0, abs(g) - bound)
+        out.append((name, w, g, r[f"c{j}"] / s / s, violation))
+    out.append(("(intercept)", float(lr.intercept), r["e"] or 0.0, r["c"] or 0.0, abs(r["e"] or 0.0)))
+    return train.sparkSession.createDataFrame(out, "feature string, weight double, gradient double, curvature double, violation double")
+
+
 def feature_names(numeric_cols: Sequence[str], categorical_cols: Sequence[str] = ()) -> list[str]:
     return list(categorical_cols) + list(numeric_cols)
 

@@ -400,6 +400,25 @@ def lloyd(points: DataFrame, k: int, max_iterations: int, init="random",
             cached.unpersist()
 
 
+def best_of(points: DataFrame, k: int, max_iterations: int, n: int, base_seed: int = 0,
+            init: str = "hash", empty: str = "drop", trial: int = 2,
+            persist: StorageLevel | None = PERSIST) -> LloydResult:
+    """One run from the best of ``n`` random draws: that of least cost after ``trial``
+    iterations (the first of equal ones). The trials advance together."""
+    cached = points.persist(persist) if persist else points
+    try:
+        inits = [init_centroids(cached, k, init, base_seed + i) for i in range(n)]
+        if n > 1:
+            tried = lloyd_many(cached, inits, min(trial, max_iterations), empty, persist=None)
+            inits = [min(zip(tried, inits), key=lambda t: t[0].history[-1]["cost"])[1]]
+        res = lloyd_many(cached, inits, max_iterations, empty, persist=None)[0]
+        res.points = points
+        return res
+    finally:
+        if persist:
+            cached.unpersist()
+
+
 def restarts(points: DataFrame, k: int, max_iterations: int, n: int = 5,
              base_seed: int = 0, init: str = "random", empty: str = "drop",
              persist: StorageLevel | None = PERSIST) -> DataFrame:

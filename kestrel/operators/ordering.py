@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,20 +64,40 @@ def with_row_index(df: DataFrame, order_by, name: str = "row_index",
                   .drop("_pid", "_pos", "_off"))
 
 
-def with_scan_index(df: DataFrame, name: str = "row_index") -> DataFrame:
-    """Consecutive 0-based index in scan order (W3), without moving a row.
+FILES_BROADCAST = 200_000  # rows of some 100 bytes
+
 
-    ``monotonically_increasing_id`` already holds partition and position; one
-    count per partition gives the offsets. ``df`` must be a scan (or narrow
-    steps over one), whose partitions are the same each time it is read.
+def with_scan_index(df: DataFrame, name: str = "row_index") -> DataFrame:
+    """Consecutive 0-based index in scan order (W3): by file path, then by place in the
+    file, without moving a row.
+
+    ``df`` is a scan of files (or narrow steps over one that keep all rows and its
+    hidden ``_metadata`` column). Where the format numbers a file's rows (Parquet), the
+    index is that number behind the rows of all files before, so it doesn't depend on how
+    the scan is cut into tasks or whether a task runs again. Else a file's splits stand in
+    the order of their first bytes, and a row's place in its split comes from the scan;
+    both passes must then cut the files alike.
+
+    The directory has one row for each file (or split): a count from a pass that reads no
+    column, and its running sum. It is broadcast up to ``FILES_BROADCAST`` rows; beyond
+    that a join by file shuffles the rows, with hot files left to AQE.
     """
-    tagged = df.withColumn("_id", F.monotonically_increasing_id())
-    part, pos = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit(_POS_MASK))
-    counts = tagged.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (tagged.join(F.broadcast(offsets), part == F.col("_pid"))
-                  .withColumn(name, F.col("_off") + pos).drop("_id", "_pid", "_off"))
+    path = F.col("_metadata.file_path")
+    try:
+        tagged = df.select("*", path.alias("_file"), F.lit(0).cast("bigint").alias("_from"), F.col("_metadata.row_index").alias("_at"))
+        in_file = True
+    except AnalysisException:
+        tagged = df.select("*", path.alias("_file"), F.col("_metadata.file_block_start").alias("_from"),
+                           F.monotonically_increasing_id().alias("_at"))
+        in_file = False
+    counts = tagged.groupBy("_file", "_from").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_least"))
+    before = Window.orderBy("_file", "_from").rowsBetween(Window.unboundedPreceding, -1)  # a row per file or split
+    least = F.lit(0).cast("bigint") if in_file else F.col("_least")
+    directory = counts.select("_file", "_from", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - least).alias("_before"))
+    if counts.limit(FILES_BROADCAST + 1).count() <= FILES_BROADCAST:
+        directory = F.broadcast(directory)
+    return tagged.join(directory, ["_file", "_from"]).withColumn(name, F.col("_before") + F.col("_at")).drop(
+        "_file", "_from", "_at", "_before")
 
 
 def sample_k(df: DataFrame, k: int, seed: int) -> DataFrame:

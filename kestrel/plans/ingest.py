@@ -159,14 +159,8 @@ def scan_index(spark, data_dir):
     """W3 in scan order, on rows written in the order of their key."""
     path = scratch_path(spark, "ordered")
     emb = load_table(spark, data_dir, "embeddings").select("vec_id", "label")
-    emb.repartitionByRange(4, "vec_id").sortWithinPartitions("vec_id").write.parquet(path)
-    parts = spark.read.parquet(path)
-    # one task per written file, in the order of the files' names
-    files = sorted(parts.inputFiles())
-    ordered = spark.read.parquet(files[0])
-    for f in files[1:]:
-        ordered = ordered.unionByName(spark.read.parquet(f))
-    return with_scan_index(ordered)
+    emb.repartitionByRange("vec_id").sortWithinPartitions("vec_id").write.option("maxRecordsPerFile", 100_000).parquet(path)
+    return with_scan_index(spark.read.parquet(path))
 
 
 @query("row_index", oracle="""

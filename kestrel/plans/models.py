@@ -3,8 +3,8 @@ generator, on the driver's tables.
 
 The Lloyd loop's oracles (``lloyd_converge`` and the hash-seeded
 ``lloyd_restarts``) are recursive CTEs. Fitted models get inputs whose answer
-SQL can state: targets that the features decide, groups far apart. Only
-``gen_gaussian`` is random and has no oracle.
+SQL can state: targets that the features decide, groups far apart. Random values
+are counter-based, so SQL computes the same.
 """
 
 from __future__ import annotations
@@ -12,12 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import random
 from ..operators import classify, cluster_ml, features, lloyd as L, metrics, report
 from ..operators.ordering import hash_sample_k, sample_k as sample_rows, with_row_id
 from ..operators.vectors import explode_vector
 from ..session import scratch_path
-from ..sources.csv import read_csv, write_csv
+from ..sources.generate import gaussian_points
 from ..sources.tables import load_table
+from .files import generate_then_cluster
 from .registry import query
 
 EVENTS_SPLIT = "2024-01-16"      # fit on events before, apply to events from this day on
@@ -123,22 +125,26 @@ def _status_scored(spark, data_dir):
     return classify.score(model, test, keep=["l_orderkey", "l_linenumber"])
 
 
-@query("logreg_fit", oracle=f"""
-WITH p AS (
-  SELECT avg(CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END) AS p
-  FROM lineitem WHERE l_shipdate < TIMESTAMP '{SHIP_SPLIT}')
-SELECT unnest(['l_linestatus', 'l_quantity', 'l_extendedprice', 'l_discount', 'l_tax']) AS feature,
-       CAST(0 AS DOUBLE) AS weight
-UNION ALL SELECT '(intercept)', round(ln(p / (1 - p)), 3) FROM p
+_DECIDED = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
+
+
+@query("logreg_fit", oracle="""
+SELECT unnest(['l_quantity', 'l_discount', 'l_tax', 'l_extendedprice', '(intercept)']) AS feature,
+       unnest([1, 1, -1, 0, 0]) AS sign, TRUE AS optimal
 """)
 def logreg_fit(spark, data_dir):
-    """M4, M6 (elastic net 0.03 / 0.8): the return flag depends on no feature, so
-    the fit keeps the intercept alone, at the log odds of the training rows."""
-    train, _ = _split_lineitem(spark, data_dir, "l_returnflag", "R")
-    model = classify.fit(train, _NUMERIC, _CATEGORICAL, "y",
-                         max_iter=classify.MAX_ITER_CONNECTION_RECORDS)
-    out = classify.coefficients(model, spark, classify.feature_names(_NUMERIC, _CATEGORICAL))
-    return out.select("feature", (F.round("weight", 3) + F.lit(0.0)).alias("weight"))
+    """M4, M6 (elastic net 0.03 / 0.8): quantity, discount and tax decide the label
+    partly, beside noise; the price only repeats the quantity and keeps no weight. Per
+    feature the sign of its weight, and whether the weights meet the conditions that
+    hold at the minimum and nowhere else (the intercept's sign isn't reported)."""
+    li = load_table(spark, data_dir, "lineitem").where(_before("l_shipdate", SHIP_SPLIT))
+    noise = random.gaussian(F.expr(_ROW_ID), seed=11)
+    pull = (F.col("l_quantity") - 25) / 8 + (F.col("l_discount") - 0.05) * 60 - (F.col("l_tax") - 0.04) * 60
+    train = li.withColumn("y", (pull + 1.5 * noise > 0).cast("float"))
+    model = classify.fit(train, _DECIDED, (), "y", max_iter=classify.MAX_ITER_CONNECTION_RECORDS)
+    out = classify.optimality(model, train, _DECIDED)
+    sign = F.when(F.col("feature") == "(intercept)", 0).otherwise(F.signum("weight")).cast("int")
+    return out.select("feature", sign.alias("sign"), (F.col("violation") < 1e-3).alias("optimal"))
 
 
 @query("logreg_score", oracle=f"""
@@ -397,41 +403,63 @@ def lloyd_restarts(spark, data_dir):
                        F.round(F.stddev_pop("metric").over(every), 6).alias("std_metric"))
 
 
-# -- generator (rows-only) ----------------------------------------------------------------------
+# -- generator ----------------------------------------------------------------------
+
+GEN_DIMS, GEN_STD, GEN_SEED, GEN_K, GEN_DRAWS = 4, 2.0, 1, 3, 24
+_ROW_ID = "l_orderkey * 8 + l_linenumber"
+
+
+def _bits_sql(stream: int) -> str:
+    """``random.counter_bits`` of a row id r >= 0, for seed ``GEN_SEED``."""
+    key, m = random.stream_key(GEN_SEED, stream), random.MODULUS
+    one = f"((r % {m}) * {random.FIRST} + {key}) % {m}"
+    two = f"(xor({one}, ({one}) >> 15) * {random.SECOND} + (r >> 31) % {m} + {key}) % {m}"
+    return f"((xor({two}, ({two}) >> 13) * {random.FIRST} + {key}) % {m})"
 
-GEN_DIMS, GEN_STD, GEN_SEED = 4, 2.0, 1
 
+def _gaussian_sql(j: int) -> str:
+    u, v = (f"(({_bits_sql(s)} + 0.5::DOUBLE) / {random.MODULUS}.0::DOUBLE)" for s in (2 * j, 2 * j + 1))
+    return f"sqrt(-2.0::DOUBLE * ln({u})) * cos(2 * pi() * {v})"
 
-@query("gen_gaussian")
+
+_LABEL_SQL = f"CAST(floor({_bits_sql(2 * GEN_DIMS)} * {GEN_K} / {random.MODULUS}.0::DOUBLE) AS INTEGER)"
+
+
+def _rows_to_draw(spark, data_dir):
+    return load_table(spark, data_dir, "lineitem").withColumn("r", F.expr(_ROW_ID).cast("bigint"))
+
+
+@query("gen_gaussian", oracle=f"""
+WITH l AS (SELECT *, CAST({_ROW_ID} AS BIGINT) AS r FROM lineitem)
+SELECT r AS id, {', '.join(f'round(l_quantity + {GEN_STD} * {_gaussian_sql(j)}, 6) AS x{j}' for j in range(GEN_DIMS))},
+       {_LABEL_SQL} AS label
+FROM l
+""")
 def gen_gaussian(spark, data_dir):
     """Gaussian noise (s = 2) around every lineitem row's quantity in
     4 dims, and a uniform label 0..2."""
-    li = load_table(spark, data_dir, "lineitem")
-    noise = [(F.col("l_quantity") + GEN_STD * F.randn(GEN_SEED + j)).alias(f"x{j}") for j in range(GEN_DIMS)]
-    label = F.floor(F.rand(GEN_SEED + GEN_DIMS) * 3).cast("int").alias("label")
-    return li.select("l_orderkey", "l_linenumber", *noise, label)
+    out = gaussian_points(spark, None, GEN_DIMS, GEN_K, std=GEN_STD, mean=F.col("l_quantity"), seed=GEN_SEED,
+                          rows=_rows_to_draw(spark, data_dir), id_col="r")
+    return out.select("id", *(F.round(f"x{j}", 6).alias(f"x{j}") for j in range(GEN_DIMS)), "label")
 
 
 @query("gen_then_cluster", oracle=f"""
-SELECT CAST({_FLAG} AS INTEGER) AS cid, l_returnflag, count(*) AS n, TRUE AS converged
-FROM lineitem GROUP BY l_returnflag
+WITH l AS (SELECT *, CAST({_ROW_ID} AS BIGINT) AS r FROM lineitem)
+SELECT CAST({_FLAG} AS BIGINT) AS cluster, {_LABEL_SQL} AS label, count(*) AS n, TRUE AS converged
+FROM l GROUP BY 1, 2
 """)
 def gen_then_cluster(spark, data_dir):
-    """Noise around every lineitem row, shifted by return flag, written as
-    CSV, read back typed and clustered from one center per flag until no point
-    moves; rows per cluster and flag."""
-    li = load_table(spark, data_dir, "lineitem")
-    noise = [F.expr(_FLAG) * FLAG_SHIFT + F.col("l_quantity") + GEN_STD * F.randn(GEN_SEED + j) for j in range(GEN_DIMS)]
-    path = scratch_path(spark, "gaussian-csv")
-    write_csv(li.select(*[x.alias(f"x{j}") for j, x in enumerate(noise)], "l_returnflag"), path)
-    schema = ", ".join([f"x{j} DOUBLE" for j in range(GEN_DIMS)] + ["l_returnflag STRING"])
-    back = with_row_id(read_csv(spark, path, schema, mode="FAILFAST"), "id")
-    back = back.withColumn("features", F.array(*[f"x{j}" for j in range(GEN_DIMS)]))
-    pts = L.prepare_points(back, "features", "id", dims=GEN_DIMS, keep=["l_returnflag"]).points
-    start = L.Centroids.of([[k * FLAG_SHIFT] * GEN_DIMS for k in range(3)])
-    res = L.lloyd(pts, 3, 100, init=start)
-    out = res.assignment(keep=["l_returnflag"]).groupBy("cid", "l_returnflag").agg(F.count(F.lit(1)).alias("n"))
-    return out.withColumn("converged", F.lit(res.converged))
+    """Noise around every lineitem row, shifted by return flag, written as
+    text, read back, and clustered from random draws until no point moves; rows by
+    cluster and label. Clusters are named by the order of their smallest members."""
+    rows = _rows_to_draw(spark, data_dir)
+    res = generate_then_cluster(spark, scratch_path(spark, "gaussian-text"), None, GEN_K, GEN_DIMS, std=GEN_STD, seed=GEN_SEED,
+                                draws=GEN_DRAWS, rows=rows, id_col="r", mean=F.expr(_FLAG) * FLAG_SHIFT + F.col("l_quantity"))
+    out = res.assignment(keep=["label", "_v"]).groupBy("cid", "label").agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("least"))
+    least = out.groupBy("cid").agg(F.min("least").alias("least")).select(
+        F.col("cid").alias("_cid"), (F.row_number().over(Window.orderBy("least")) - 1).cast("bigint").alias("cluster"))  # k rows
+    return out.join(least, F.col("cid") == F.col("_cid")).select("cluster", F.trim("label").cast("int").alias("label"), "n",
+                                                                F.lit(res.converged).alias("converged"))
 
 
 # -- ids and samples ---------------------------------------------------------------------------
