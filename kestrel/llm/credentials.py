@@ -54,6 +54,7 @@ _TYPE = r"[&*]*(?:'\w+[ \t]+)?(?:mut[ \t]+)?([A-Za-z_][\w.]*)(?:[\[<(][^\n=;\"]{
 _TYPED = re.compile(rf"(?:({_WORD}){_CLOSE}[?!]?[ \t]*:|\b(?:var|const)[ \t]+({_WORD})[ \t])[ \t]*"
                     rf"({_TYPE}(?:[ \t]*\|[ \t]*{_TYPE.replace('([A-Z', '(?:[A-Z')})*)[ \t]*=(?![=>])[ \t]*{_VALUES}")
 _TYPE_NAME = re.compile(r"[A-Za-z_.]+\d{0,3}")
+_RUN = re.compile(_WORD)
 _PART = re.compile(_VALUE)
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*")
 # The rest of a bare value, up to the next one of a query string or a closing tag;
@@ -100,43 +101,63 @@ def _bare_end(text: str, name: int, a: int, b: int) -> int:
     return end if literal_score(text[a:end]) >= literal_score(text[a:b]) else b
 
 
+def _each(pattern: re.Pattern, text: str) -> Iterator[re.Match]:
+    """Matches from left to right. They start with a word, which is tried at its first
+    letter only: from a later one it would end at the same place."""
+    word = _RUN.search(text)
+    while word:
+        m = pattern.match(text, word.start())
+        if m:
+            yield m
+        word = _RUN.search(text, m.end() if m else word.end())
+
+
 def _pairs(text: str) -> list[tuple[int, int, int, tuple[str, ...]]]:
     """(value start, value end, name start, names) of the pairs, in order of the text.
     Where ``x: y = literal`` may be a type as well as a name, both names count."""
     typed, types = [], set()
     if "=" in text:
-        for m in _TYPED.finditer(text):
+        for m in _each(_TYPED, text):
             typed.append((*m.span(5), m.start(), (m[1] or m[2], m[4])))
             if _TYPE_NAME.fullmatch(m[4]):
                 types.add(m.start(4))
-    plain = [(*m.span(2), m.start(), (m[1],)) for m in _PAIR.finditer(text) if m.start(2) not in types]
-    return sorted(plain + typed)
+    plain = [(*m.span(2), m.start(), (m[1],)) for m in _each(_PAIR, text) if m.start(2) not in types]
+    return sorted(typed + plain)
 
 
 def literal_spans(text: str) -> list[Span]:
     """Literals whose names, also by propagation, and shape make them secrets."""
-    constants: dict[str, list[Span]] = {}
-    best: dict[Span, float] = {}
+    latest: dict[str, int] = {}     # name -> the pair that bound it last
+    handed: list[set[int]] = []     # pair -> the pairs whose constants it takes over
+    scores: list[float] = []
+    literals: list[tuple[int, Span]] = []
     quoted: set[Span] = set()
-    for start, end, at, names in _pairs(text):
-        spans: list[Span] = []
+    for k, (start, end, at, names) in enumerate(_pairs(text)):
+        taken: set[int] = set()
         for part in _PART.finditer(text, start, end):
             a, b = part.span()
             if part[0][-1] in "\"'`":
                 a = min(k for k in (text.find(q, a, b) for q in "\"'`") if k >= 0)
-                spans.append((a + 1, b - 1))
+                literals.append((k, (a + 1, b - 1)))
                 quoted.add((a + 1, b - 1))
-            elif _NAME.fullmatch(part[0]) and part[0] in constants:
-                spans += constants[part[0]]
+            elif part[0] in latest and _NAME.fullmatch(part[0]):
+                taken.add(latest[part[0]])
             else:
                 b = _bare_end(text, at, a, b)
                 if not _REFERENCE.match(text[a:b]):
-                    spans.append((a, b))
-        for name in names:
-            constants[name] = spans
-            if score := name_score(name):
-                for span in spans:
-                    best[span] = max(best.get(span, 0.0), score)
+                    literals.append((k, (a, b)))
+        latest.update(dict.fromkeys(names, k))
+        handed.append(taken)
+        scores.append(max(map(name_score, names)))
+    # a pair's literals reach the names of every pair that takes them over, which
+    # comes later in the text
+    for k in range(len(handed) - 1, -1, -1):
+        for j in handed[k]:
+            scores[j] = max(scores[j], scores[k])
+    best: dict[Span, float] = {}
+    for k, span in literals:
+        if scores[k]:
+            best[span] = max(best.get(span, 0.0), scores[k])
     return sorted(s for s, score in best.items()
                   if score + literal_score(text[s[0]:s[1]], score >= 1 and s in quoted) >= THRESHOLD)
 

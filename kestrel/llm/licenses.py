@@ -47,15 +47,34 @@ NOTICES = {
     "creative commons attribution": "cc-by",
     "released into the public domain": "public-domain",
     "permission to use copy modify and or distribute this software": "isc",
+    "the software is provided as is without warranty of any kind": "mit",
+    "this is free and unencumbered software": "unlicense",
+    "gnu free documentation license": "gfdl",
+    "boost software license": "bsl",
+    "common development and distribution license": "cddl",
+    "european union public licence": "eupl",
+    "sil open font license": "ofl",
+    "academic free license": "afl",
+    "microsoft public license": "ms-pl",
+    "creative commons zero": "cc0",
+}
+
+# Identifiers of a machine-readable notice, which must stand there without errors.
+IDENTIFIER = "spdx license identifier "
+IDENTIFIED = {
+    "mit": "mit", "apache 2 0": "apache", "gpl 2 0": "gpl", "gpl 3 0": "gpl", "lgpl 2 1": "lgpl", "lgpl 3 0": "lgpl",
+    "agpl 3 0": "agpl", "bsd 2 clause": "bsd", "bsd 3 clause": "bsd", "mpl 2 0": "mpl", "epl 2 0": "epl", "isc": "isc",
+    "cc0 1 0": "cc0", "cc by 4 0": "cc-by", "cc by sa 4 0": "cc-by-sa", "cc by nc 4 0": "cc-by-nc", "unlicense": "unlicense",
+    "bsl 1 0": "bsl", "ofl 1 1": "ofl", "eupl 1 2": "eupl",
 }
 
 
 class Notice:
     """One notice: its pieces with their places, and the bounded-error pattern."""
 
-    def __init__(self, phrase: str, label: str):
+    def __init__(self, phrase: str, label: str, exact: bool = False):
         self.phrase, self.label = phrase, label
-        self.edits = len(phrase) // EDIT_EVERY if len(phrase) >= FUZZY_FROM else 0
+        self.edits = len(phrase) // EDIT_EVERY if len(phrase) >= FUZZY_FROM and not exact else 0
         cuts = [len(phrase) * i // (self.edits + 1) for i in range(self.edits + 2)]
         self.pieces = [(phrase[a:b].encode(), a) for a, b in zip(cuts, cuts[1:])]
         errors = f"{{e<={self.edits}}}" if self.edits else ""
@@ -77,8 +96,13 @@ class Notice:
 
     def matches(self, text: str, places: list[int]) -> list[tuple[int, int, int]]:
         """(start, end, edits) in the text of words."""
-        return [(m.start(), m.end(), sum(m.fuzzy_counts))
-                for a, b in self.windows(places, text) for m in self.pattern.finditer(text, a, b)]
+        out, left = [], list(self.windows(places, text))
+        while left:  # the best match of a stretch, then what lies before and behind it
+            a, b = left.pop()
+            if m := self.pattern.search(text, a, b):
+                out.append((m.start(), m.end(), sum(m.fuzzy_counts)))
+                left += [(a, m.start()), (m.end(), b)]
+        return sorted(out)
 
 
 def _spaced(words: T.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -118,7 +142,7 @@ OUT = ("n_words bigint, n_base bigint, first_word bigint, last_word bigint, base
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base: dict[str, str] = BASE_PHRASES,
-         notices: dict[str, str] = NOTICES) -> DataFrame:
+         notices: dict[str, str] = NOTICES, identified: dict[str, str] = IDENTIFIED) -> DataFrame:
     """Per row: id, n_words, n_base, first_word, last_word, base_labels, labels,
     score (best match: 1 - edits / characters) and matches, comma-joined
     label:first word:word past the last:edits of every place found."""
@@ -127,7 +151,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         exact = [(f" {p} ", label) for p, label in base.items()]
         hints = [p.strip().encode() for p, _ in exact]
-        own = [Notice(p, label) for p, label in notices.items()]
+        own = [Notice(p, label) for p, label in notices.items()] + [Notice(IDENTIFIER + p, label, exact=True) for p, label in identified.items()]
         for batch in batches:
             for a, b, buf, offsets in T.slices(batch.column(1), lower=True):
                 words = T.Words(buf, offsets, T.LETTER_DIGIT)
