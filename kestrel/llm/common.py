@@ -16,12 +16,19 @@ BATCH_ROWS = 1_000
 _BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+def keep_batches_small(spark: SparkSession) -> None:
+    """From now on at most ``BATCH_ROWS`` rows go to a Python worker at once, for
+    results that the caller writes. Only the session's batch size changes."""
+    before = int(spark.conf.get(_BATCH_KEY))
+    spark.conf.set(_BATCH_KEY, str(min(before, BATCH_ROWS) if before > 0 else BATCH_ROWS))
+
+
 @contextlib.contextmanager
 def small_batches(spark: SparkSession) -> Iterator[None]:
     """Within it, at most ``BATCH_ROWS`` rows go to a Python worker at once: a batch of
     whole texts is held several times, in the executor and in the worker."""
     before = spark.conf.get(_BATCH_KEY)
-    spark.conf.set(_BATCH_KEY, str(min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS))
+    keep_batches_small(spark)
     try:
         yield
     finally:

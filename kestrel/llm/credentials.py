@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from . import text as T
 from .common import only
 
 # Fixed values of the base patterns.
@@ -204,7 +205,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))],
                                              [id_col, "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_literal"])
 
-    return rows.mapInArrow(find, f"{id_col} {rows.schema[id_col].dataType.simpleString()}, n_assign bigint, n_access bigint, "
+    return rows.mapInArrow(T.tidy(find), f"{id_col} {rows.schema[id_col].dataType.simpleString()}, n_assign bigint, n_access bigint, "
                                  "n_hex bigint, base_sha256 string, spans string, n_literal bigint")
 
 
@@ -237,4 +238,4 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = Non
                 columns[size] = pa.array([n if a == b else len(a) for n, a, b in zip(old, after, before)], columns[size].type)
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.mapInArrow(replace, docs.schema)
+    return docs.mapInArrow(T.tidy(replace), docs.schema)

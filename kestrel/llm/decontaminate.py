@@ -33,6 +33,7 @@ from .common import only
 SHINGLE = 2
 MAX_INDEX_BYTES = 64 << 20
 BLOCK = 1 << 17  # candidate places verified at once
+SLICE_BYTES = 1 << 19  # text worked on at once
 
 
 def _shingles(h: np.ndarray, width: int) -> np.ndarray:
@@ -45,7 +46,7 @@ class Windows:
     def __init__(self, items: list[tuple[str, str]], width: int):
         column = pa.array([t for _, t in items], pa.large_string())
         found: dict[bytes, set[str]] = {}
-        for a, b, buf, offsets in T.slices(column, lower=True):
+        for a, b, buf, offsets in T.slices(column, lower=True, size=SLICE_BYTES):
             words = T.Words(buf, offsets, T.LETTER_DIGIT)
             h = words.hashes()
             for i in range(a, b):
@@ -135,7 +136,7 @@ def _count_shingles(docs: DataFrame, shingles: dict[int, np.ndarray]) -> dict[in
         marks = {q: Marks(keys) for q, keys in sent.value.items()}
         sums = {q: np.zeros(len(keys), np.int64) for q, keys in sent.value.items()}
         for batch in batches:
-            for _, _, buf, offsets in T.slices(batch.column(0), lower=True):
+            for _, _, buf, offsets in T.slices(batch.column(0), lower=True, size=SLICE_BYTES):
                 h = T.Words(buf, offsets, T.LETTER_DIGIT).hashes()
                 for q, m in marks.items():
                     sums[q] += np.bincount(m.find(_shingles(h, q))[1], minlength=len(m.keys))
@@ -171,7 +172,7 @@ def _find(docs: DataFrame, index: Index | None) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
         for batch in batches:
-            for a, b, buf, offsets in T.slices(batch.column(2), lower=True):
+            for a, b, buf, offsets in T.slices(batch.column(2), lower=True, size=SLICE_BYTES):
                 words = T.Words(buf, offsets, T.LETTER_DIGIT)
                 hit, items = _hits(own, words)
                 places = np.flatnonzero(hit)
@@ -229,7 +230,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10,
         def keep(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 clean = np.ones(batch.num_rows, bool)
-                for a, _, buf, offsets in T.slices(batch.column(at), lower=True):
+                for a, _, buf, offsets in T.slices(batch.column(at), lower=True, size=SLICE_BYTES):
                     words = T.Words(buf, offsets, T.LETTER_DIGIT)
                     hit, _ = _hits(sent.value, words)
                     clean[a + np.searchsorted(words.first, np.flatnonzero(hit), side="right") - 1] = False

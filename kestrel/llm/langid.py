@@ -37,6 +37,7 @@ from pyspark.sql.window import Window
 from . import text as T
 from .common import only
 
+SLICE_BYTES = 1 << 19  # some ten numbers are held for a byte
 ORDER = 3
 SYMBOL_BITS = 8
 SAMPLE_DOCS = 400
@@ -186,7 +187,7 @@ def judged(model: Model, column) -> tuple[list[str], np.ndarray]:
     langs: list[str] = []
     scores = []
     texts = column.to_pylist()
-    for a, b, buf, offsets in T.slices(column, lower=False):
+    for a, b, buf, offsets in T.slices(column, lower=False, size=SLICE_BYTES):
         if model.langs:
             bits = model.code_lengths(buf, offsets)
             best = bits.argmin(axis=1)
