@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm import credentials, decontaminate, jaccard, langid, packing
-from kestrel.llm.common import saved, sized
+from kestrel.llm.common import keep_batches_small, saved, sized
 from kestrel.llm.queries import PACK_END_ID, SEQUENCE_LENGTH, TOKENIZER, language_model
 from kestrel.session import scratch_path
 from kestrel.sources.tables import load_table
@@ -22,6 +22,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents that have a language: all with a letter, also where no row is
     labelled. The model learns from the rows of this stage's own input that aren't
     held out."""
+    keep_batches_small(spark)
     return langid.identified(docs, language_model(docs))
 
 
@@ -65,16 +66,19 @@ def _free(docs: DataFrame, name: str) -> str:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
+    keep_batches_small(spark)
     return decontaminate.without_contaminated(docs, load_table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced; n_chars follows the text."""
+    keep_batches_small(spark)
     return credentials.redact(docs, length_col="n_chars")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences."""
+    keep_batches_small(spark)
     return packing.pack(docs, TOKENIZER, PACK_END_ID, SEQUENCE_LENGTH)
 
 

@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from . import kmeans_kernels as kernels
-from .ordering import hash_sample_k, lowest_k, sample_k
+from .ordering import hash_sample_k, hash_sample_many, lowest_k, sample_k
 
 # Ship the numpy kernels with the closures instead of requiring the package
 # on every executor.
@@ -401,13 +401,18 @@ def lloyd(points: DataFrame, k: int, max_iterations: int, init="random",
 
 
 def best_of(points: DataFrame, k: int, max_iterations: int, n: int, base_seed: int = 0,
-            init: str = "hash", empty: str = "drop", trial: int = 2,
+            empty: str = "drop", trial: int = 2,
             persist: StorageLevel | None = PERSIST) -> LloydResult:
-    """One run from the best of ``n`` random draws: that of least cost after ``trial``
-    iterations (the first of equal ones). The trials advance together."""
+    """One run from the best of ``n`` random draws (``"hash"``): that of least cost after
+    ``trial`` iterations (the first of equal ones). One pass makes all draws, and the
+    trials advance together."""
     cached = points.persist(persist) if persist else points
     try:
-        inits = [init_centroids(cached, k, init, base_seed + i) for i in range(n)]
+        seeds = [base_seed + i for i in range(n)]
+        drawn = hash_sample_many(cached, k, seeds, "id", "_v").orderBy("seed", "place").collect()  # n * k rows
+        if not drawn:
+            raise ValueError("no points to take initial centroids from")
+        inits = [Centroids.of([list(r["value"]) for r in drawn if r["seed"] == seed]) for seed in seeds]
         if n > 1:
             tried = lloyd_many(cached, inits, min(trial, max_iterations), empty, persist=None)
             inits = [min(zip(tried, inits), key=lambda t: t[0].history[-1]["cost"])[1]]

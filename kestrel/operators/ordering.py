@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -143,3 +147,32 @@ def hash_sample_k(df: DataFrame, k: int, seed: int, id_col: str = "id") -> DataF
     partitionings.
     """
     return df.orderBy(hash_rank(id_col, seed), F.col(id_col)).limit(k)
+
+
+def hash_sample_many(df: DataFrame, k: int, seeds: Sequence[int], id_col: str, value_col: str) -> DataFrame:
+    """(seed, place, value): for each seed the ``k`` rows of :func:`hash_sample_k`, in one
+    pass. Every task keeps its k least rows a seed, and those are merged: bottom-k is a
+    mergeable aggregate. Rows without an id aren't drawn."""
+    rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(value_col).alias("value"))
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = dict.fromkeys(seeds)
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for seed in seeds:
+                x = (ids % _LEHMER_M * _LEHMER_A + ((seed % _LEHMER_M) * 16807 + 1) % _LEHMER_M) % _LEHMER_M
+                rank = (x ^ (x >> 16)) * _LEHMER_A % _LEHMER_M
+                own = pa.table({"rank": rank, "id": ids, "value": batch.column(1)})
+                own = own.take(np.lexsort((ids, rank))[:k])
+                both = own if held[seed] is None else pa.concat_tables([held[seed], own])
+                held[seed] = both.take(np.lexsort((both["id"].to_numpy(), both["rank"].to_numpy()))[:k])
+        for seed, own in held.items():
+            if own is not None:
+                own = own.combine_chunks()
+                yield pa.RecordBatch.from_arrays([pa.array([seed] * len(own), pa.int64()), *(c.combine_chunks() for c in own.columns)],
+                                                 ["seed", "rank", "id", "value"])
+
+    kind = rows.schema["value"].dataType.simpleString()
+    found = rows.mapInArrow(least, f"seed bigint, rank bigint, id bigint, value {kind}")
+    place = F.row_number().over(Window.partitionBy("seed").orderBy("rank", "id"))  # k rows a task and seed
+    return found.withColumn("place", place).where(F.col("place") <= k).select("seed", "place", "value")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from kestrel.functions import random as R
 from kestrel.operators import classify, lloyd as L
-from kestrel.operators.ordering import with_scan_index
+from kestrel.operators.ordering import hash_sample_k, hash_sample_many, with_scan_index
 from kestrel.plans import files
 from kestrel.sources.generate import gaussian_points
 
@@ -66,6 +66,14 @@ def test_flow_is_the_same_on_any_layout(spark):
     assert it == it2 and cost == pytest.approx(cost2) and np.allclose(centers, centers2)
 
 
+def test_draws_of_many_seeds_are_the_single_ones(spark):
+    df = spark.range(-500, 2500, 3).withColumn("v", F.col("id") * 2).unionByName(spark.createDataFrame([(None, 1)], "id bigint, v bigint"))
+    many = hash_sample_many(df.repartition(5), 4, [0, 1, 7], "id", "v").collect()
+    for seed in (0, 1, 7):
+        got = [r["value"] for r in sorted(many, key=lambda r: r["place"]) if r["seed"] == seed]
+        assert got == [r["v"] for r in hash_sample_k(df.where("id IS NOT NULL"), 4, seed).collect()]
+
+
 def test_best_draw_is_not_worse_than_the_first(spark):
     pts = gaussian_points(spark, 300, dims=2, k=3, std=1.0, as_array=True, mean=10.0)
     pts = pts.withColumn("features", F.transform("features", lambda v: v + F.col("label") * 100))
