@@ -8,9 +8,11 @@ key is mistaken. A key of the universe is listed exactly if the first level that
 refuses it is an even one (or none does and the last is odd). Every key of the
 table is in the universe, so the answer is exact, and rows need no join.
 
-A level is one array of 64-bit words, read by the tasks as a scalar subquery.
-Levels of more than ``max_bytes`` don't travel: then the listed keys are joined by
-key instead, with the same answer.
+A level is one array of 64-bit words, read by the tasks as a scalar subquery, of at
+most ``max_bytes``. Where a level would be larger, the universe is cut in two by the
+hash of the key, and each half has a cascade of its own, cut again if need be. Rows
+are then written by shard, judged shard by shard (one shard's levels travel at a
+time) and written; no row is joined or shuffled, so a hot host costs nothing extra.
 
 A null url, or one without "://", has an empty host and path; the empty host is
 never listed. Repeated rows give repeated results; an empty table gives an empty
@@ -19,11 +21,13 @@ result; columns besides page_id and url are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .common import only, saved
 
 BITS_PER_KEY = 8
@@ -99,6 +103,25 @@ def _level(keys: DataFrame, number: int, size: int) -> Level:
     return Level(number, size, saved(row, "bloom-level"))
 
 
+@dataclass(frozen=True)
+class Shard:
+    """The keys whose hash leaves ``rest`` modulo ``parts``."""
+
+    parts: int = 1
+    rest: int = 0
+
+    def holds(self, code: Column) -> Column:
+        return F.lit(True) if self.parts == 1 else F.pmod(code, F.lit(self.parts)) == self.rest
+
+    def halves(self) -> tuple[Shard, Shard]:
+        return Shard(2 * self.parts, self.rest), Shard(2 * self.parts, self.rest + self.parts)
+
+
+def _code(key: Column) -> Column:
+    """Hash that deals keys to shards (levels hash with numbers from 1)."""
+    return F.xxhash64(key, F.lit(0))
+
+
 class TooLarge(Exception):
     """A level would be larger than may travel to the tasks."""
 
@@ -109,13 +132,23 @@ def build_cascade(keys: DataFrame, max_bytes: int = MAX_BYTES) -> list[Level]:
     inside, outside = keys.where("listed").select("key"), keys.where("NOT listed").select("key")
     while (n := inside.count()):
         size = -(-n * BITS_PER_KEY // 64) * 64
-        if size // 8 > max_bytes:
+        if size // 8 > max(8, max_bytes):
             raise TooLarge(f"{size // 8} bytes")
         levels.append(_level(inside, len(levels) + 1, size))
         inside, outside = saved(outside.where(levels[-1].passes(F.col("key"))), "bloom-keys"), inside
     return levels
 
 
+def cascades(keys: DataFrame, max_bytes: int = MAX_BYTES, shard: Shard = Shard()) -> Iterator[tuple[Shard, list[Level]]]:
+    """The shards of a universe, by halving, with the cascade of each."""
+    try:
+        yield shard, build_cascade(keys, max_bytes)
+    except TooLarge:
+        for half in shard.halves():
+            own = saved(keys.where(half.holds(_code(F.col("key")))), "url-shard")
+            yield from cascades(own, max_bytes, half)
+
+
 def is_listed(levels: list[Level], key: Column) -> Column:
     """Whether a key of the universe is listed."""
     out = F.lit(len(levels) % 2 == 1)
@@ -127,12 +160,32 @@ def is_listed(levels: list[Level], key: Column) -> Column:
 def with_listed(df: DataFrame, keys: DataFrame, column: str, max_bytes: int = MAX_BYTES) -> DataFrame:
     """``df`` with ``listed``: whether its key column is listed in ``keys``."""
     key = F.col(column)
-    try:
-        levels = build_cascade(keys, max_bytes)
-    except TooLarge:
-        own = keys.where("listed").select(F.col("key").alias("_key"))
-        return df.join(own, key == F.col("_key"), "left").withColumn("listed", F.col("_key").isNotNull()).drop("_key")
-    return df.withColumn("listed", F.when(key == "", F.lit(False)).otherwise(is_listed(levels, key)))
+
+    def judged(rows: DataFrame, levels: list[Level]) -> DataFrame:
+        return rows.withColumn("listed", F.when(key == "", F.lit(False)).otherwise(is_listed(levels, key)))
+
+    shards = cascades(keys, max_bytes)
+    shard, levels = next(shards)
+    if shard.parts == 1:
+        return judged(df, levels)
+    parts, out = shard.parts, None
+    rows = _by_shard(df, key, parts)
+    while shard is not None:
+        folders = min(parts, shard.parts)
+        own = rows.where((F.pmod("_folder", F.lit(folders)) == shard.rest % folders) & shard.holds(F.col("_shard")))
+        part = saved(judged(own.drop("_folder", "_shard"), levels), "url-judged")
+        out = part if out is None else out.unionByName(part)
+        shard, levels = next(shards, (None, []))
+    return out
+
+
+def _by_shard(df: DataFrame, key: Column, parts: int) -> DataFrame:
+    """``df`` written in a ``_folder`` for each remainder of its key's hash modulo
+    ``parts``, with the hash itself in ``_shard`` for shards cut finer than that."""
+    path = scratch_path(df.sparkSession, "url-rows")
+    rows = df.withColumn("_shard", _code(key))
+    rows.withColumn("_folder", F.pmod("_shard", F.lit(parts))).write.partitionBy("_folder").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def judge(pages: DataFrame, rules: list[UrlRule], max_bytes: int = MAX_BYTES) -> DataFrame:

@@ -272,11 +272,22 @@ def test_training_sample_is_of_distinct_whole_texts(spark):
         assert len(some) == 5 and set(some) < set(sample())
 
 
-def test_cascade_is_exact_and_falls_back(spark):
+@pytest.mark.parametrize("n,size", [(3000, urls.MAX_BYTES), (3000, 192), (90, 8)])
+def test_cascade_is_exact_in_one_shard_or_many(spark, n, size):
+    keys = spark.range(n).select(F.concat(F.lit("host"), "id").alias("key"), (F.col("id") % 7 == 0).alias("listed"))
+    rows = keys.select("key", F.col("listed").alias("want")).union(spark.createDataFrame([("host7", True)] * 40 + [("", False)], "key string, want boolean"))
+    got = urls.with_listed(rows, keys, "key", size)
+    assert got.columns == ["key", "want", "listed"]
+    assert got.where("NOT want <=> listed").count() == 0 and got.count() == n + 41
+    shards = list(urls.cascades(keys, size))
+    assert (len(shards) > 1) == (size < urls.MAX_BYTES)
+    assert all(level.size <= 8 * size for _, levels in shards for level in levels)
+    plan = got._jdf.queryExecution().toString()
+    assert "Join" not in plan and "Exchange" not in plan.split("Subquery")[0]
+
+
+def test_cascade_levels(spark):
     keys = spark.range(3000).select(F.concat(F.lit("host"), "id").alias("key"), (F.col("id") % 7 == 0).alias("listed"))
-    for size in (urls.MAX_BYTES, 8):
-        got = urls.with_listed(keys.select("key", F.col("listed").alias("want")), keys, "key", size)
-        assert got.where("want <> listed").count() == 0 and got.count() == 3000
     assert len(urls.build_cascade(keys)) > 1
     assert urls.build_cascade(keys.where("NOT listed")) == []
 
