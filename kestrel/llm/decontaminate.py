@@ -8,10 +8,12 @@ place fixes where the window starts; the length and position bounds drop those
 that don't fit the document, and the rest are compared word by word over the whole
 window. Words are compared by 64-bit hash. One-word windows are their own shingle.
 
-The index of the benchmark travels to the tasks only up to ``max_index_bytes`` of
-item text; a larger benchmark is cut into slices of that size, each joined in a
-pass of its own. Documents are not shuffled (with several slices, what they found
-is).
+The benchmark is indexed by Spark: distinct (window, item) pairs, the corpus counts of
+their shingles and each window's rarest shingle are tables. What travels to the tasks
+is a slice of that table, of at most ``max_index_bytes`` (pairs are dealt by hash, so a
+window that many items hold is spread too); a larger benchmark takes several slices,
+each in a pass of its own. Documents are not shuffled (with several slices, what they
+found is).
 
 Null text has no words. Null item_id: the item counts as one item and is written as
 an empty string. Repeated documents each give their row; repeated item_ids count
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .common import only
+from .common import only, saved, sized
 
 SHINGLE = 2
 MAX_INDEX_BYTES = 64 << 20
@@ -40,30 +42,68 @@ def _shingles(h: np.ndarray, width: int) -> np.ndarray:
     return h if width == 1 else T.window_hashes(h, width)
 
 
-class Windows:
-    """The distinct windows of some items, and which items hold them."""
-
-    def __init__(self, items: list[tuple[str, str]], width: int):
-        column = pa.array([t for _, t in items], pa.large_string())
-        found: dict[bytes, set[str]] = {}
-        for a, b, buf, offsets in T.slices(column, lower=True, size=SLICE_BYTES):
-            words = T.Words(buf, offsets, T.LETTER_DIGIT)
-            h = words.hashes()
-            for i in range(a, b):
-                own = h[words.first[i - a]:words.first[i - a + 1]]
-                for k in range(max(1, len(own) - width + 1) if len(own) else 0):
-                    found.setdefault(own[k:k + width].tobytes(), set()).add(items[i][0])
-        self.words = [np.frombuffer(w, np.uint64) for w in found]
-        self.items = [sorted(x) for x in found.values()]
-        self.width = width
-
-    def shingles(self) -> dict[int, np.ndarray]:
-        """All shingles of the windows, by shingle length."""
-        out: dict[int, list[np.ndarray]] = {}
-        for w in self.words:
-            q = min(SHINGLE, len(w))
-            out.setdefault(q, []).append(_shingles(w, q))
-        return {q: np.unique(np.concatenate(x)) for q, x in out.items()}
+PAIRS = "size int, words binary, item string"
+
+
+def _pairs(benchmark: DataFrame, width: int) -> DataFrame:
+    """Distinct (window, item): a window is its number of words and their hashes, zeros
+    up to ``width``."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0)
+            for a, b, buf, offsets in T.slices(batch.column(1), lower=True, size=SLICE_BYTES):
+                words = T.Words(buf, offsets, T.LETTER_DIGIT)
+                h = np.append(words.hashes(), np.zeros(width, np.uint64))
+                size = np.minimum(words.counts, width)
+                n = np.where(words.counts > 0, words.counts - size + 1, 0)
+                owner = np.repeat(np.arange(b - a), n)
+                start = np.arange(n.sum()) + np.repeat(words.first[:-1] - (np.cumsum(n) - n), n)
+                for k in range(0, len(start), BLOCK):
+                    at, own = start[k:k + BLOCK], owner[k:k + BLOCK]
+                    rows = h[at[:, None] + np.arange(width)]
+                    rows[np.arange(width) >= size[own][:, None]] = 0
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(size[own], pa.int32()), _binary(rows), ids.take(pa.array(a + own))], ["size", "words", "item"])
+
+    items = benchmark.select(F.coalesce(benchmark["item_id"].cast("string"), F.lit("")).alias("id"), benchmark["text"])
+    return items.mapInArrow(T.tidy(cut), PAIRS).distinct()
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    """One binary value for each row of numbers."""
+    n, width = rows.shape
+    offsets = np.arange(n + 1, dtype=np.int32) * (8 * width)
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def _matrix(column, width: int) -> np.ndarray:
+    """The rows of numbers back from binary values of equal length."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    column = column.cast(pa.large_binary())
+    _, _, data = column.buffers()
+    if not len(column):
+        return np.empty((0, width), np.uint64)
+    return np.frombuffer(data, np.uint64, len(column) * width, column.offset * 8 * width).reshape(-1, width)
+
+
+def _places(pairs: DataFrame, width: int) -> DataFrame:
+    """Every shingle of every distinct window: size, words, shingle, inner (its place)."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, h = np.asarray(batch.column(0)), _matrix(batch.column(1), width)
+            for q in range(1, SHINGLE + 1):
+                own = np.flatnonzero(np.minimum(size, SHINGLE) == q)
+                if not len(own):
+                    continue
+                hashes = np.append(_shingles(h[own].ravel(), q), np.zeros(q - 1, np.uint64)).reshape(-1, width)
+                row, inner = np.nonzero(np.arange(width) < (size[own] - q + 1)[:, None])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(own[row])), batch.column(1).take(pa.array(own[row])),
+                     pa.array(hashes[row, inner].view(np.int64)), pa.array(inner, pa.int32())],
+                    ["size", "words", "shingle", "inner"])
+
+    return pairs.select("size", "words").distinct().mapInArrow(T.tidy(cut), "size int, words binary, shingle bigint, inner int")
 
 
 class Marks:
@@ -84,26 +124,31 @@ class Marks:
 
 
 class Index:
-    """Windows under their rarest shingle."""
-
-    def __init__(self, windows: Windows, counts: dict[int, int]):
-        n = len(windows.words)
-        self.size = np.array([len(w) for w in windows.words], np.int64)
-        self.words = np.zeros((n, windows.width), np.uint64)
-        self.items = windows.items
-        chosen: dict[int, list[tuple[int, int, int]]] = {}
-        for i, w in enumerate(windows.words):
-            self.words[i, :len(w)] = w
-            q = min(SHINGLE, len(w))
-            rare = min((counts.get(int(s), 0), int(s), k) for k, s in enumerate(_shingles(w, q)))
-            chosen.setdefault(q, []).append((rare[1], i, rare[2]))
+    """Windows under their rarest shingle, from one slice of the indexed pairs."""
+
+    def __init__(self, pairs: pa.Table, width: int):
+        pairs = pairs.combine_chunks()
+        words = _matrix(pairs["words"], width)
+        size = np.asarray(pairs["size"]).astype(np.int64)
+        rows = np.ascontiguousarray(np.column_stack([size.astype(np.uint64), words]))
+        _, first, window = np.unique(rows.view(np.dtype((np.void, rows.itemsize * rows.shape[1]))).ravel(),
+                                     return_index=True, return_inverse=True)
+        self.size, self.words = size[first], words[first]
+        order = np.argsort(window, kind="stable")
+        self._names = pairs["item"].take(pa.array(order)).to_pylist()
+        self._begin = np.searchsorted(window[order], np.arange(len(first) + 1))
+        shingle = np.asarray(pairs["shingle"])[first].view(np.uint64)
+        inner = np.asarray(pairs["inner"])[first].astype(np.int64)
         self.by_length = {}
-        for q, entries in chosen.items():
-            entries.sort()
-            key = np.array([e[0] for e in entries], np.uint64)
-            keys, first = np.unique(key, return_index=True)
-            self.by_length[q] = (Marks(keys), np.append(first, len(entries)),
-                                 np.array([e[1] for e in entries]), np.array([e[2] for e in entries]))
+        for q in range(1, SHINGLE + 1):
+            own = np.flatnonzero(np.minimum(self.size, SHINGLE) == q)
+            if len(own):
+                own = own[np.argsort(shingle[own], kind="stable")]
+                keys, begin = np.unique(shingle[own], return_index=True)
+                self.by_length[q] = Marks(keys), np.append(begin, len(own)), own, inner[own]
+
+    def items(self, window: int) -> list[str]:
+        return self._names[self._begin[window]:self._begin[window + 1]]
 
     def occurrences(self, h: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(first word, window) of the windows in texts whose words start at ``first``."""
@@ -128,9 +173,22 @@ class Index:
                 a = b
 
 
-def _count_shingles(docs: DataFrame, shingles: dict[int, np.ndarray]) -> dict[int, int]:
-    """How often each shingle occurs in all documents."""
-    sent = docs.sparkSession.sparkContext.broadcast(shingles)
+def _count_shingles(docs: DataFrame, places: DataFrame, max_keys: int) -> DataFrame:
+    """(q, shingle, n): how often each shingle occurs in all documents. The shingles
+    travel in slices of about ``max_keys``; those that never occur have no row."""
+    q = F.least("size", F.lit(SHINGLE)).alias("q")
+    keys = saved(places.select(q, "shingle").distinct(), "benchmark-shingles")
+    parts = keys.count() // max_keys + 1
+    out = None
+    for k in range(parts):
+        part = _counted(docs, keys.where(F.pmod(F.xxhash64("shingle"), F.lit(parts)) == k).toArrow())
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _counted(docs: DataFrame, keys: pa.Table) -> DataFrame:
+    length, shingle = np.asarray(keys["q"]), np.asarray(keys["shingle"]).view(np.uint64)
+    sent = docs.sparkSession.sparkContext.broadcast({int(q): np.sort(shingle[length == q]) for q in np.unique(length)})
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = {q: Marks(keys) for q, keys in sent.value.items()}
@@ -141,25 +199,35 @@ def _count_shingles(docs: DataFrame, shingles: dict[int, np.ndarray]) -> dict[in
                 for q, m in marks.items():
                     sums[q] += np.bincount(m.find(_shingles(h, q))[1], minlength=len(m.keys))
         for q, m in marks.items():
-            yield pa.RecordBatch.from_arrays([pa.array(m.keys.view(np.int64)), pa.array(sums[q])], ["shingle", "n"])
+            seen = np.flatnonzero(sums[q])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(seen), q), pa.int32()), pa.array(m.keys[seen].view(np.int64)), pa.array(sums[q][seen])],
+                ["q", "shingle", "n"])
+
+    rows = only(docs, "text").mapInArrow(T.tidy(count), "q int, shingle bigint, n bigint")
+    return rows.groupBy("q", "shingle").agg(F.sum("n").alias("n"))
 
-    rows = only(docs, "text").mapInArrow(T.tidy(count), "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
-    out = {r["shingle"] % (1 << 64): r["n"] for r in rows.collect()}  # a row for each shingle of the slice
-    sent.unpersist()
-    return out
+
+KEY_BYTES = 32  # a shingle in a task: its hash, its count and eight to sixteen bits of marks
+PAIR_BYTES = 64  # a pair besides its words: size, shingle, place and the item's id
 
 
 def _indexes(docs: DataFrame, benchmark: DataFrame, width: int, max_index_bytes: int) -> Iterator[Index]:
-    items = benchmark.select(F.coalesce(benchmark["item_id"].cast("string"), F.lit("")).alias("id"),
-                             F.coalesce(benchmark["text"], F.lit("")).alias("text"))
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = size // max_index_bytes + 1
+    pairs = saved(_pairs(benchmark, width), "benchmark-windows")
+    total = pairs.count()
+    if not total:
+        return
+    places = saved(_places(pairs, width), "benchmark-places")
+    counts = sized(saved(_count_shingles(docs, places, max(1, max_index_bytes // KEY_BYTES)), "benchmark-counts"))
+    q = F.least("size", F.lit(SHINGLE))
+    rare = F.min(F.struct(F.coalesce("n", F.lit(0).cast("bigint")).alias("n"), "shingle", "inner"))
+    chosen = places.withColumn("q", q).join(counts, ["q", "shingle"], "left").groupBy("size", "words").agg(rare.alias("r"))
+    indexed = saved(pairs.join(chosen, ["size", "words"]).select("size", "words", "item", "r.shingle", "r.inner"), "benchmark-index")
+    parts = -(-total * (8 * width + PAIR_BYTES) // max_index_bytes)
     for k in range(parts):
-        own = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == k)
-        windows = Windows([(r["id"], r["text"]) for r in own.collect()], width)
-        if windows.words:
-            yield Index(windows, _count_shingles(docs, windows.shingles()))
-
+        own = indexed.where(F.pmod(F.xxhash64("words", "item"), F.lit(parts)) == k).toArrow()
+        if own.num_rows:
+            yield Index(own, width)
 
 
 FOUND = "doc_id bigint, row bigint, n_words bigint, hit array<bigint>, items array<string>"
@@ -199,7 +267,7 @@ def _hits(index: Index | None, words: T.Words) -> tuple[np.ndarray, dict[int, se
             np.add.at(change, start + index.size[w], -1)
             doc = np.searchsorted(words.first, start, side="right") - 1
             for d, k in np.unique(np.stack([doc, w], axis=1), axis=0).tolist():
-                items.setdefault(d, set()).update(index.items[k])
+                items.setdefault(d, set()).update(index.items(k))
     return np.cumsum(change[:-1]) > 0, items
 
 

@@ -143,10 +143,11 @@ def test_benchmark_in_slices_gives_the_same(spark):
     words = [f"w{i}" for i in range(30)]
     docs = [(i, " ".join(rnd.choices(words, k=60))) for i in range(30)]
     items = [(i, " ".join(docs[i][1].split()[5:5 + 3 * i + 1])) for i in range(12)] + [(99, "w1")]
+    items += [(100 + i, " ".join(docs[3][1].split()[:10])) for i in range(40)]  # a window of many items
     d = spark.createDataFrame(docs, "doc_id long, text string")
     b = spark.createDataFrame(items, "item_id long, text string")
     want = sorted((i, *brute.contamination(t, items)) for i, t in docs)
-    for size in (1 << 20, 60):
+    for size in (1 << 20, 6_000):  # one slice, then several of the index and of the counts
         got = decontaminate.contamination(d, b, max_index_bytes=size).collect()
         assert sorted(tuple(r)[:6] for r in got) == want
         left = decontaminate.without_contaminated(d, b, max_index_bytes=size).collect()
