@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.arrays import affine, drop_last, euclidean
+from ..operators import fixed_sums
 from ..operators.features import assemble
 from ..operators.vectors import explode_vector, vector_mean_by_key, vector_sum_by_key
 from ..session import scratch_path
@@ -86,6 +87,33 @@ def vector_sum_by_key_q(spark, data_dir):
                           "s")
 
 
+FIXED_SQL = """
+WITH pts AS (SELECT label, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos,
+                    CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+one AS (SELECT pow(2.0, 52 - (floor(log2(max(abs(v)))) + 1)) AS unit FROM pts)
+SELECT label, pos, round(CAST(sum(CAST(round_even(v * unit, 0) AS HUGEINT)) AS DOUBLE) / min(unit) {mean}, 9) AS value
+FROM pts, one GROUP BY label, pos
+"""
+
+
+def _fixed(spark, data_dir, mean):
+    emb = load_table(spark, data_dir, "embeddings")
+    out = fixed_sums.vector_by_key(emb, "label", "embedding", out="s", mean=mean)
+    return explode_vector(out.select("label", F.transform("s", lambda x: F.round(x, 9)).alias("s")), "s")
+
+
+@query("vector_sum_fixed", oracle=FIXED_SQL.format(mean=""))
+def vector_sum_fixed(spark, data_dir):
+    """Element-wise sum of the vectors of each label, the same bits in any order."""
+    return _fixed(spark, data_dir, mean=False)
+
+
+@query("vector_mean_fixed", oracle=FIXED_SQL.format(mean="/ count(v)"))
+def vector_mean_fixed(spark, data_dir):
+    """Element-wise mean of the vectors of each label, the same bits in any order."""
+    return _fixed(spark, data_dir, mean=True)
+
+
 _FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
