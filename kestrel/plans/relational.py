@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import to_type
 from ..operators import metrics, relational as rel
+from ..session import with_runtime_filters
+from ..sources.buckets import layout
 from ..sources.tables import load_table, register_tables
 from .registry import query
 
@@ -31,6 +33,52 @@ def sql_like_join(spark, data_dir):
     return spark.sql(BUILDING_TOTALS_SQL)
 
 
+@query("runtime_filter_join", oracle=BUILDING_TOTALS_SQL)
+def runtime_filter_join(spark, data_dir):
+    """The join with LIKE; above the broadcast limit, a Bloom filter of the
+    customers left by the filter rules orders out before they are shuffled."""
+    own = with_runtime_filters(spark)
+    register_tables(own, data_dir, ("customer", "orders"))
+    return own.sql(BUILDING_TOTALS_SQL)
+
+
+# Buckets of the layout by customer: at 100 TB some hundreds of MB each want thousands.
+CUSTOMER_BUCKETS = 16
+
+
+def _by_customer(spark, data_dir):
+    tables = {"customer": (load_table(spark, data_dir, "customer"), "c_custkey"),
+              "orders": (load_table(spark, data_dir, "orders"), "o_custkey")}
+    both = layout(spark, f"customer:{data_dir}", tables, CUSTOMER_BUCKETS)
+    return both["customer"], both["orders"]
+
+
+@query("bucketed_like_join", oracle=BUILDING_TOTALS_SQL)
+def bucketed_like_join(spark, data_dir):
+    """The join with LIKE over tables bucketed by customer, without an exchange."""
+    customer, orders = _by_customer(spark, data_dir)
+    segment = rel.filter_all(customer, rel.starts_with("c_mktsegment", "B")).select("c_custkey")
+    return segment.hint("merge").join(orders, F.col("c_custkey") == F.col("o_custkey")).select(
+        F.col("c_custkey").alias("cid"), F.col("o_totalprice").alias("total"))
+
+
+@query("bucketed_customer_totals", oracle="""
+SELECT c_custkey AS cid, c_mktsegment AS segment, count(o_custkey) AS cnt,
+       CAST(sum(CAST(trunc(o_totalprice) AS INTEGER)) AS BIGINT) AS tot
+FROM customer LEFT JOIN orders ON o_custkey = c_custkey
+GROUP BY c_custkey, c_mktsegment
+""")
+def bucketed_customer_totals(spark, data_dir):
+    """Every customer with the number and total of the orders, on the same
+    layout: grouping and join both keep the buckets, without an exchange."""
+    customer, orders = _by_customer(spark, data_dir)
+    totals = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("cnt"),
+                                             F.sum(to_type("o_totalprice", "int")).alias("tot"))
+    joined = customer.hint("merge").join(totals, F.col("c_custkey") == F.col("o_custkey"), "left")
+    return joined.select(F.col("c_custkey").alias("cid"), F.col("c_mktsegment").alias("segment"),
+                         F.coalesce("cnt", F.lit(0).cast("bigint")).alias("cnt"), "tot")
+
+
 @query("sql_month_filter", oracle="SELECT * FROM orders WHERE month(o_orderdate) = 7")
 def sql_month_filter(spark, data_dir):
     """``select *`` through SQL, then a month filter."""

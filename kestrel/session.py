@@ -39,6 +39,24 @@ def get_session(master: str | None = None, app: str = "kestrel",
     return builder.getOrCreate()
 
 
+def with_runtime_filters(spark: SparkSession, scan_bytes: int = 0,
+                         source_bytes: int = 64 << 20) -> SparkSession:
+    """A session on the same context and with the same settings, whose joins make a
+    Bloom filter of a filtered side's keys and apply it to the other side before its
+    shuffle, wherever that side scans at least ``scan_bytes`` and the join is too large
+    to broadcast. The filter comes from a side of at most ``source_bytes`` (estimated),
+    and Spark bounds its bits. The session given keeps its settings."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    prefix = "spark.sql.optimizer.runtime.bloomFilter"
+    own.conf.set(f"{prefix}.enabled", "true")
+    own.conf.set(f"{prefix}.applicationSideScanSizeThreshold", str(scan_bytes))
+    own.conf.set(f"{prefix}.creationSideThreshold", str(source_bytes))
+    return own
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

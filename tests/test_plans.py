@@ -58,3 +58,17 @@ def test_no_shuffle_of_points_past_the_broadcast_threshold(spark):
             assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan, key
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_runtime_filter_reaches_the_orders(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = entry_mod.queries()["runtime_filter_join"](spark, SF001)
+        plain = entry_mod.queries()["sql_like_join"](spark, SF001)
+        plan = _plan(df)
+        assert "might_contain" in plan and "bloom_filter_agg" in plan and "SortMergeJoin" in plan, plan
+        assert "might_contain" not in _plan(plain)  # the session given keeps its settings
+        assert sorted(map(tuple, df.collect())) == sorted(map(tuple, plain.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
