@@ -81,7 +81,7 @@ class Centroids:
         return spark.createDataFrame(rows, "cid int, center array<double>")
 
 
-def invalid_vector(vec: Column, dims: int) -> Column:
+def invalid_vector(vec: Column, dims: int | Column) -> Column:
     """True for a missing vector, another length than ``dims``, or a missing or
     non-finite component."""
     def bad(x: Column) -> Column:
@@ -116,14 +116,18 @@ def prepare_points(df: DataFrame, features_col: str = "features", id_col: str =
     if on_invalid not in ("error", "drop"):
         raise ValueError("on_invalid must be 'error' or 'drop'")
     col = F.col(features_col)
+    # lengths and invalid vectors come from one pass over all rows
+    known = dims if dims is not None else F.size(col)
+    r = df.agg(F.min(F.when(col.isNotNull(), F.size(col))).alias("lo"),
+               F.max(F.when(col.isNotNull(), F.size(col))).alias("hi"),
+               F.count_if(invalid_vector(col, known)).alias("invalid")).first()
     if dims is None:
-        r = df.agg(F.min(F.size(col)).alias("lo"), F.max(F.size(col)).alias("hi")).first()
-        if r["hi"] is None or r["hi"] < 0:
+        if r["hi"] is None:
             raise ValueError(f"no non-null '{features_col}' to take the dimension from")
-        if df.where(col.isNotNull()).agg(F.min(F.size(col))).first()[0] != r["hi"]:
+        if r["lo"] != r["hi"]:
             raise ValueError(f"vectors of different lengths in '{features_col}'; give dims")
         dims = r["hi"]
-    invalid = df.agg(F.count_if(invalid_vector(col, dims))).first()[0]
+    invalid = r["invalid"]
     if invalid and on_invalid == "error":
         raise ValueError(f"{invalid} rows whose '{features_col}' isn't {dims} finite numbers; "
                          "on_invalid='drop' leaves them out")

@@ -468,10 +468,18 @@ def gen_then_cluster(spark, data_dir):
 SELECT label, count(*) AS n, count(DISTINCT vec_id) AS ids, TRUE AS increasing FROM embeddings GROUP BY label
 """)
 def row_id(spark, data_dir):
-    """Unique, increasing, non-consecutive id per row; counted by label."""
-    df = with_row_id(load_table(spark, data_dir, "embeddings").select("vec_id", "label"), "p_id")
-    return df.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("p_id").alias("ids"),
-                                   (F.min("p_id") >= 0).alias("increasing"))
+    """Unique, increasing, non-consecutive id per row; counted by label.
+
+    Within what a task reads of a file, ids grow with the rows' places there: id less
+    place is one number for each such piece (``increasing``)."""
+    emb = load_table(spark, data_dir, "embeddings")
+    df = with_row_id(emb.select("vec_id", "label", F.col("_metadata.file_path").alias("file"),
+                                F.col("_metadata.row_index").alias("place")), "p_id")
+    task = F.shiftright("p_id", 33)  # fixed value: the id's bits above the row's number in its task
+    pieces = F.count_distinct("file", task)
+    return df.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("p_id").alias("ids"),
+        (F.count_distinct("file", task, F.col("p_id") - F.col("place")) == pieces).alias("increasing"))
 
 
 @query("sample_k", oracle="""

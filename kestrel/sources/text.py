@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import text_to_type
@@ -23,13 +23,18 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def split_lines(lines: DataFrame, sep: str = ",", arity: int | None = None,
-                value_col: str = "value") -> DataFrame:
+                value_col: str = "value", observed: Observation | None = None) -> DataFrame:
     """Column ``parts``: the fields of each line (S3, F1).
 
     With ``arity``, lines that do not have exactly that many fields are left
-    out (S4: the reference drops them silently).
+    out (S4: the reference drops them silently). ``observed`` counts them in the
+    pass that reads the lines: once an action on the result has ended, it holds
+    ``lines`` and ``left_out``.
     """
     out = lines.select(split_fields(value_col, sep).alias("parts"))
+    fits = F.lit(True) if arity is None else F.coalesce(F.size("parts") == arity, F.lit(False))
+    if observed is not None:
+        out = out.observe(observed, F.count(F.lit(1)).alias("lines"), F.count_if(~fits).alias("left_out"))
     if arity is not None:
         out = out.filter(F.size("parts") == arity)
     return out
@@ -59,7 +64,7 @@ def apply_schema(parts: DataFrame, names: Sequence[str],
 def read_delimited(spark: SparkSession, path: str, names: Sequence[str],
                    types: Sequence | None = None, sep: str = ",",
                    arity: int | None = None, strip: Sequence[str] = (),
-                   strict: bool = False) -> DataFrame:
-    """Read, split, optionally arity-filter and type a delimited text file."""
-    parts = split_lines(read_lines(spark, path), sep=sep, arity=arity)
+                   strict: bool = False, observed: Observation | None = None) -> DataFrame:
+    """Read, split, optionally arity-filter (and count) and type a delimited text file."""
+    parts = split_lines(read_lines(spark, path), sep=sep, arity=arity, observed=observed)
     return apply_schema(parts, names, types, strip=strip, strict=strict)

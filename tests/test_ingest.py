@@ -151,3 +151,15 @@ def test_strict_casts_fail_even_with_ansi_off(spark):
         spark.conf.set("spark.sql.ansi.enabled", "true")
     ok = spark.createDataFrame([("12",), (None,)], "s string")
     assert [r[0] for r in ok.select(to_type("s", "int", strict=True)).collect()] == [12, None]
+
+
+def test_lines_left_out_are_counted_in_the_same_pass(spark):
+    from pyspark.sql import Observation
+
+    lines = spark.createDataFrame([("a,b",), ("a",), ("",), (None,), ("a,,",), ("c,d",)], "value string").repartition(3)
+    seen = Observation()
+    assert split_lines(lines, arity=2, observed=seen).count() == 2
+    assert seen.get == {"lines": 6, "left_out": 4}
+    every = Observation()
+    split_lines(lines, observed=every).collect()
+    assert every.get == {"lines": 6, "left_out": 0}

@@ -228,3 +228,23 @@ def test_empty_input_is_a_clear_error(spark):
     prepared, *_ = L.prepare_points(empty, "features", "id", dims=3)
     with pytest.raises(ValueError, match="no points"):
         L.lloyd(prepared, 2, 5, init="lowest")
+
+
+def test_vectors_are_checked_in_one_job(spark):
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(20)] + [(20, None), (21, [float("nan"), 1.0])],
+                               "id long, features array<double>")
+    tracker = spark.sparkContext.statusTracker()
+    counts = []
+    for dims in (None, 2):
+        group = f"checks-{dims}"
+        spark.sparkContext.setJobGroup(group, "checks")
+        points, d, dropped = L.prepare_points(df, dims=dims, on_invalid="drop")
+        counts.append(len(tracker.getJobIdsForGroup(group)))
+        assert (d, dropped) == (2, 2)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # one aggregate: its partial stage and its last one, as adaptive execution submits them
+    assert counts[0] == counts[1] <= 2, counts
+    with pytest.raises(ValueError, match="different lengths"):
+        L.prepare_points(df.union(spark.createDataFrame([(30, [1.0])], df.schema)))
+    with pytest.raises(ValueError, match="no non-null"):
+        L.prepare_points(df.where("features IS NULL"))

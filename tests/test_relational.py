@@ -153,3 +153,12 @@ def test_group_avg_all_matches_spark_avg_naming_and_columns(spark):
     assert [c.replace("avg_", "avg(") + ")" if c.startswith("avg_") else c for c in ours.columns] \
         == theirs.columns
     assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, theirs.collect()))
+
+
+def test_row_ids_ascend_and_are_not_all_consecutive(spark):
+    from kestrel.operators.ordering import with_row_id
+
+    df = with_row_id(spark.range(0, 1000, 1, 4).withColumnRenamed("id", "k"), "p_id")
+    ids = [r.p_id for r in df.orderBy("k").collect()]
+    assert all(a < b for a, b in zip(ids, ids[1:])) and ids[-1] - ids[0] > 999
+    assert sum(b - a > 1 for a, b in zip(ids, ids[1:])) == 3  # only between tasks
