@@ -23,8 +23,9 @@ than one component afterwards, its entry is common: the documents in such bucket
 are indexed again with common entries last in the order (any order of the entries
 that all sets share keeps the argument above), as long as that thins them out.
 What then still spans components - sets that are common entries nearly throughout
-- is compared by outline, block by block, and only pairs of different components
-that the outlines allow leave the tasks. All pairs are verified on the whole
+- is compared by outline: the members outside a bucket's largest component with those
+of the size ranges they may link with, block by block. Only pairs of different
+components that the outlines allow leave the tasks. All pairs are verified on the whole
 shingle sets. Shingles are compared by 64-bit hash.
 
 Nothing is capped. Documents without words, or without text, link with nothing.
@@ -35,6 +36,7 @@ result; columns besides doc_id and text are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,6 +59,8 @@ SMALL_BUCKET = 8       # buckets up to this size give all their pairs at once
 CHECK_COST = 50        # a pair's verification, in index entries
 THINNED = 0.5          # index again while common buckets shrink to this share
 BLOCK_MEMBERS = 1000   # members of a bucket compared in one task with as many others
+SIZE_STEP = 4 / 3      # from the smallest to the largest set of a size range
+CELL_VALUES = 1 << 17  # members or entries of a bucket in one row
 SLICE_BYTES = 1 << 19   # text worked on at once: some twenty numbers are held for a word
 PART_ENTRIES = 2_000_000
 SEND_ENTRIES = 1_000_000
@@ -192,31 +196,38 @@ def entries(sets: Sets, which: np.ndarray, band: int, bound: np.ndarray, plan,
     return np.concatenate(found), which[np.concatenate(owners)]
 
 
-# ---- bit maps of fixed size ---------------------------------------------------
+# ---- bit maps of bounded size -------------------------------------------------
 
-MAP_BITS = 1 << 26
+MAP_BITS = 1 << 26       # of a map of entries
+MOST_MAP_BITS = 1 << 28  # of a map of doc_ids: 32 MB
+MOST_MARKED = 1 << 26    # doc_ids, from which on a join takes the place of a map
 
 
-def _bit(values: np.ndarray) -> np.ndarray:
-    return (T.mix(values.astype(np.int64).view(_U)) & _U(MAP_BITS - 1)).astype(np.int64)
+def map_bits(n: int) -> int:
+    """Bits of a map of ``n`` doc_ids: 16 or more for each, up to the bound."""
+    return min(1 << max(20, (16 * n).bit_length()), MOST_MAP_BITS)
+
+
+def _bit(values: np.ndarray, size: int) -> np.ndarray:
+    return (T.mix(values.astype(np.int64).view(_U)) & _U(size - 1)).astype(np.int64)
 
 
 def _marked(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
-    at = _bit(values)
+    at = _bit(values, 64 * len(bits))
     return bits[at >> 6] >> (at & 63) & 1 > 0
 
 
-def _bit_map(ids: DataFrame) -> np.ndarray:
-    """Bit map of a column of bigints: 8 MB, however many there are."""
+def _bit_map(ids: DataFrame, size: int = MAP_BITS) -> np.ndarray:
+    """Bit map of a column of bigints: ``size`` bits, however many there are."""
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.unique(_bit(batch.column(0).to_numpy()))
+            at = np.unique(_bit(batch.column(0).to_numpy(), size))
             yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array((at & 63).astype(np.int32))], ["word", "bit"])
 
     one = F.lit(1).cast("bigint")
     words = ids.mapInArrow(bits, "word bigint, bit int").groupBy("word").agg(
         F.bit_or(F.call_function("shiftleft", one, F.col("bit"))).alias("bits")).toArrow()
-    out = np.zeros(MAP_BITS // 64, np.int64)
+    out = np.zeros(size // 64, np.int64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy()
     return out
 
@@ -371,12 +382,12 @@ def _packed(found: list[np.ndarray], owners: list[np.ndarray], parts: int) -> It
          pa.array([small[a:b].tobytes() for _, a, b in some], pa.binary())], ["part", "base", "entries", "owners"])
 
 
-CANDIDATES = "a bigint, b bigint, members binary, entries binary"
+CANDIDATES = "a bigint, b bigint, bucket bigint, members binary, entries binary"
 
 
 def _meet(frames: pd.DataFrame) -> pd.DataFrame:
     """Candidate pairs of one part, and the members of its large buckets with the
-    entries that have just these members."""
+    entries that have just these members, in rows of at most ``CELL_VALUES`` each."""
     entry = np.frombuffer(b"".join(frames["entries"]), _U)
     owner = np.concatenate([np.frombuffer(o, np.dtype(f"<u{8 * len(o) // len(e)}")).astype(np.int64) + base
                             for o, e, base in zip(frames["owners"], frames["entries"], frames["base"])])
@@ -401,10 +412,19 @@ def _meet(frames: pd.DataFrame) -> pd.DataFrame:
     lists: dict[bytes, list[int]] = {}
     for i in np.flatnonzero(large).tolist():
         lists.setdefault(owner[start[i]:start[i] + size[i]].astype("<i8").tobytes(), []).append(start[i])
-    return pd.DataFrame({"a": pd.array([*both[:, 0], *[None] * len(lists)], "Int64"),
-                         "b": pd.array([*both[:, 1], *[None] * len(lists)], "Int64"),
-                         "members": [None] * len(both) + list(lists),
-                         "entries": [None] * len(both) + [entry[at].tobytes() for at in lists.values()]})
+    buckets, members, entries = [], [], []
+    for ids, at in lists.items():
+        # a sum over the members stands for them
+        bucket = int(T.mix(np.frombuffer(ids, _U)).sum(dtype=_U).astype(np.int64))
+        for cells, blob in ((members, ids), (entries, entry[at].tobytes())):
+            parts = [blob[i:i + 8 * CELL_VALUES] for i in range(0, len(blob), 8 * CELL_VALUES)]
+            buckets += [bucket] * len(parts)
+            cells += parts
+            (entries if cells is members else members).extend([None] * len(parts))
+    return pd.DataFrame({"a": pd.array([*both[:, 0], *[None] * len(buckets)], "Int64"),
+                         "b": pd.array([*both[:, 1], *[None] * len(buckets)], "Int64"),
+                         "bucket": pd.array([*[None] * len(both), *buckets], "Int64"),
+                         "members": [None] * len(both) + members, "entries": [None] * len(both) + entries})
 
 
 # ---- verification -----------------------------------------------------------
@@ -433,16 +453,23 @@ def _possible(pairs: DataFrame, described: DataFrame, percent: int) -> DataFrame
 def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of ``pairs`` whose whole sets are similar enough.
 
-    Only documents in a pair send their sets: a bit map of fixed size, filled from
-    the pairs, keeps most others back, and the join drops the rest.
+    Only documents in a pair send their sets: a bit map filled from the pairs keeps
+    most others back, and the join drops the rest. Where the pairs may hold more than
+    ``MOST_MARKED`` doc_ids, the texts are joined with these instead.
     """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sent = docs.sparkSession.sparkContext.broadcast(_bit_map(ids))
+    ids, most = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), 2 * pairs.count()
+    texts, marks = _texts(docs), None
+    if most > MOST_MARKED:
+        texts = texts.join(ids, texts["doc_id"] == ids["id"], "left_semi")
+    else:
+        marks = _bit_map(ids, map_bits(most))
+    sent = docs.sparkSession.sparkContext.broadcast(marks)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             some = batch.filter(batch.column(0).is_valid())
-            some = some.filter(pa.array(_marked(sent.value, some.column(0).to_numpy())))
+            if sent.value is not None:
+                some = some.filter(pa.array(_marked(sent.value, some.column(0).to_numpy())))
             for a, b, buf, offsets in T.slices(some.column(1), lower=True, size=SLICE_BYTES):
                 sets = Sets(buf, offsets, width)
                 blobs = [sets.values[e - n:e].tobytes() for e, n in zip(sets.ends.tolist(), sets.size.tolist())]
@@ -459,7 +486,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Da
                     good[i] = 100 * common >= percent * (len(x) + len(y) - common)
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
-    sets = _texts(docs).mapInArrow(T.tidy(send), "id bigint, values binary")
+    sets = texts.mapInArrow(T.tidy(send), "id bigint, values binary")
     left = pairs.join(sets.select(F.col("id").alias("b"), F.col("values").alias("y")), "b")
     full = left.join(sets.select(F.col("id").alias("a"), F.col("values").alias("x")), "a").select("a", "b", "x", "y")
     return saved(full.mapInArrow(T.tidy(check), "a bigint, b bigint"), "jaccard-links")
@@ -509,7 +536,7 @@ def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
             labels = _linked(docs, _between(rows, described, percent), described, labels, width, percent)
             break
         last = size
-        only_docs = _bit_map(rows.select("id").distinct())
+        only_docs = _bit_map(rows.select("id").distinct(), map_bits(size))
         common = new if common is None else new | common
 
     out = sets.select("doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"))
@@ -533,15 +560,13 @@ def _linked(docs: DataFrame, pairs: DataFrame, described: DataFrame, labels: Dat
 def _mixed(met: DataFrame, to_class: DataFrame, labels: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
     """(bucket, id, label) of the large buckets that span components, and their
     entries."""
-    large = met.where("members IS NOT NULL").select(F.xxhash64("members").alias("bucket"), "members", "entries")
-
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for bucket, blob in zip(batch.column(0), batch.column(1)):
                 ids = np.frombuffer(blob.as_py(), "<i8")
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), bucket.as_py())), pa.array(ids)], ["bucket", "id"])
 
-    unpacked = large.select("bucket", "members").mapInArrow(T.tidy(unpack), "bucket bigint, id bigint")
+    unpacked = met.where("members IS NOT NULL").select("bucket", "members").mapInArrow(T.tidy(unpack), "bucket bigint, id bigint")
     rows = relabel(unpacked, "id", to_class).withColumn("label", F.col("id"))
     rows = saved(relabel(rows, "label", labels), "jaccard-buckets")
     mixed = saved(rows.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket"),
@@ -549,35 +574,56 @@ def _mixed(met: DataFrame, to_class: DataFrame, labels: DataFrame) -> tuple[Data
     if mixed.isEmpty():
         return None, None
     own = saved(rows.join(sized(mixed), "bucket").distinct(), "jaccard-mixed")
-    found = large.join(sized(mixed), "bucket").select("bucket", "entries").mapInArrow(T.tidy(unpack), "bucket bigint, id bigint")
+    found = met.where("entries IS NOT NULL").join(sized(mixed), "bucket").select("bucket", "entries").mapInArrow(
+        T.tidy(unpack), "bucket bigint, id bigint")
     return own, found.select("id")
 
 
 def _between(rows: DataFrame, described: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of one bucket, of different components, that sizes and outlines
-    allow. A bucket is dealt into blocks; a task holds two of them at most."""
-    outlines = described.where("band IS NULL AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), "size", "outline")
-    counts = rows.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS).cast("int").alias("blocks"))
-    own = rows.join(sized(saved(counts, "jaccard-mixed")), "bucket").join(outlines, "id")
-    own = own.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "label",
-        "size", "outline")
-
-    def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+    allow. Members of a bucket's largest component are never compared with each other:
+    only the others visit the members of all size ranges that they may link with. Both
+    sides of a range are dealt by hash, so a task holds about two blocks."""
+    described = described.where("band IS NULL AND doc_id IS NOT NULL").withColumnRenamed("doc_id", "id")
+    of_label = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    largest = saved(of_label.groupBy("bucket").agg(F.max(F.struct("n", "label"))["label"].alias("largest")), "jaccard-mixed")
+    members = saved(rows.join(sized(largest), "bucket").join(described.select("id", "size").distinct(), "id").select(
+        "bucket", "id", "label", "size", (F.col("label") != F.col("largest")).alias("apart")), "jaccard-members")
+
+    def size_range(size, slack: float = 0.0):
+        return F.floor(F.log(size) / math.log(SIZE_STEP) + slack)
+
+    size = F.col("size")
+    home = members.withColumn("range", size_range(size))
+    away = members.where("apart").withColumn("range", F.explode(F.sequence(
+        size_range(size * percent / 100, -1e-9), size_range(size * 100 / percent, 1e-9))))
+    blocks = F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS).cast("int")
+    place = ["bucket", "range"]
+    ranges = sized(saved(home.groupBy(*place).agg(blocks.alias("homes")).join(
+        away.groupBy(*place).agg(blocks.alias("visits")), place), "jaccard-ranges"))
+    key = [*place, "block", "visit"]
+    stays = home.join(ranges, place).withColumn("block", F.pmod(F.xxhash64("id"), "homes").cast("int")).withColumn(
+        "visit", F.explode(F.sequence(F.lit(0), F.col("visits") - 1)))
+    comes = away.join(ranges, place).withColumn("visit", F.pmod(F.xxhash64("id", F.lit("visit")), "visits").cast("int")).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.col("homes") - 1)))
+    columns = [*key, "id", "label", "size", "apart"]
+    dealt = stays.select(*columns, F.lit(False).alias("visitor")).unionByName(comes.select(*columns, F.lit(True).alias("visitor")))
+    dealt = dealt.join(described.select("id", "size", "outline").distinct(), ["id", "size"])
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
         flat = np.stack([np.zeros(64, np.int32) if o is None
                          else np.frombuffer(o, np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int32) for o in frame["outline"]])
         if flat.max(initial=0) < 1 << 14:
             flat = flat.astype(np.int16)  # differences and their sums stay small
         known = np.array([o is not None for o in frame["outline"]])
-        ids, label, n, block = (frame[c].to_numpy() for c in ("id", "label", "size", "block"))
+        ids, label, n, apart, visitor = (frame[c].to_numpy() for c in ("id", "label", "size", "apart", "visitor"))
         outline = frame["outline"].tolist()
+        home = np.flatnonzero(~visitor)
         out: set[tuple[int, int]] = set()
-        for x in range(len(ids)):
-            y = np.arange(x + 1, len(ids))
-            y = y[(label[y] != label[x]) & (100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x]))]
-            if key[1] != key[2]:
-                y = y[block[y] != block[x]]
+        for x in np.flatnonzero(visitor).tolist():
+            # two that both visit meet twice; the smaller id's visit counts
+            y = home[(label[home] != label[x]) & (~apart[home] | (ids[home] > ids[x]))]
+            y = y[100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x])]
             most = (100 - percent) * (n[y] + n[x]) // (100 + percent)
             y, most = (v[(np.abs(flat[y] - flat[x]).sum(axis=1, dtype=np.int64) <= most) | ~(known[y] & known[x])] for v in (y, most))
             for k, m in zip(y.tolist(), most.tolist()):
@@ -585,4 +631,4 @@ def _between(rows: DataFrame, described: DataFrame, percent: int) -> DataFrame:
                     out.add((min(ids[x], ids[k]), max(ids[x], ids[k])))
         return pd.DataFrame(sorted(out), columns=["a", "b"], dtype="int64")
 
-    return saved(dealt.groupBy("bucket", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct(), "jaccard-pairs")
+    return saved(dealt.groupBy(*key).applyInPandas(compare, "a bigint, b bigint").distinct(), "jaccard-pairs")

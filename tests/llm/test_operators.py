@@ -169,9 +169,11 @@ def _near_copies(seed, groups, copies, edits):
     return list(enumerate(docs))
 
 
-@pytest.mark.parametrize("thinned", [0.7, 0.0])
-def test_join_with_large_and_common_buckets(spark, monkeypatch, thinned):
+@pytest.mark.parametrize("thinned,marked", [(0.7, 1 << 26), (0.0, 0)])
+def test_join_with_large_and_common_buckets(spark, monkeypatch, thinned, marked):
     monkeypatch.setattr(jaccard, "SMALL_BUCKET", 2)
+    monkeypatch.setattr(jaccard, "CELL_VALUES", 3)
+    monkeypatch.setattr(jaccard, "MOST_MARKED", marked)
     monkeypatch.setattr(jaccard, "THINNED", thinned)
     monkeypatch.setattr(jaccard, "BLOCK_MEMBERS", 7)
     docs = _near_copies(3, 12, 9, 2) + [(1000, None), (1001, ""), (1002, "a b"), (1003, "a b"), (1004, "b a")]
@@ -181,6 +183,28 @@ def test_join_with_large_and_common_buckets(spark, monkeypatch, thinned):
     assert got == want
 
 
+@pytest.mark.parametrize("percent", [75, 100])
+def test_residual_buckets_give_every_possible_pair(spark, monkeypatch, percent):
+    monkeypatch.setattr(jaccard, "BLOCK_MEMBERS", 4)
+    rnd = random.Random(percent)
+    docs = []
+    for i in range(60):
+        n = rnd.choice([1, 2, 3, 4, 9, 12, 16, 27, 36])  # sizes on the edges of ranges too
+        docs.append((i, " ".join(f"{rnd.choice('ab')}{k}" if rnd.random() < 0.1 else f"w{k}" for k in range(n))))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    described = jaccard._describe(df, 1, percent)
+    bucket = {i: i % 2 for i, _ in docs}
+    label = {i: 0 if i % 3 else i for i, _ in docs}  # 0: the largest of each bucket
+    rows = spark.createDataFrame([(bucket[i], i, label[i]) for i in bucket], "bucket long, id long, label long")
+    got = [tuple(r) for r in jaccard._between(rows, described, percent).collect()]
+    assert len(got) == len(set(got))
+    assert all(a < b and bucket[a] == bucket[b] and label[a] != label[b] for a, b in got)
+    words = {i: set(t.split()) for i, t in docs}
+    similar = {(a, b) for a in bucket for b in bucket if a < b and bucket[a] == bucket[b] and label[a] != label[b]
+               and 100 * len(words[a] & words[b]) >= percent * len(words[a] | words[b])}
+    assert similar and similar <= set(got)
+
+
 def test_allocation_orders_hot_segments_last():
     filled = np.full(512, 400)
     filled[[3, 77]] = 3000, 2000
