@@ -23,9 +23,9 @@ than one component afterwards, its entry is common: the documents in such bucket
 are indexed again with common entries last in the order (any order of the entries
 that all sets share keeps the argument above), as long as that thins them out.
 What then still spans components - sets that are common entries nearly throughout
-- is compared by outline: the members outside a bucket's largest component with those
-of the size ranges they may link with, block by block. Only pairs of different
-components that the outlines allow leave the tasks. All pairs are verified on the whole
+- is compared block by block: the members outside a bucket's largest component with
+those of the size ranges they may link with. Of the links a task finds there, only those
+leave it that join what its others don't. All pairs are verified on the whole
 shingle sets. Shingles are compared by 64-bit hash.
 
 Nothing is capped. Documents without words, or without text, link with nothing.
@@ -60,6 +60,7 @@ CHECK_COST = 50        # a pair's verification, in index entries
 THINNED = 0.5          # index again while common buckets shrink to this share
 BLOCK_MEMBERS = 1000   # members of a bucket compared in one task with as many others
 SIZE_STEP = 4 / 3      # from the smallest to the largest set of a size range
+BLOCK_VALUES = 1 << 19  # shingles of these members together, but for a single set
 CELL_VALUES = 1 << 17  # members or entries of a bucket in one row
 SLICE_BYTES = 1 << 19   # text worked on at once: some twenty numbers are held for a word
 PART_ENTRIES = 2_000_000
@@ -450,14 +451,22 @@ def _possible(pairs: DataFrame, described: DataFrame, percent: int) -> DataFrame
     return saved(both.mapInArrow(T.tidy(check), "a bigint, b bigint"), "jaccard-possible")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of ``pairs`` whose whole sets are similar enough.
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets, given as distinct values, link."""
+    if not len(x) or not len(y) or 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = np.sort(np.concatenate([x, y]))
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def _sets_of(docs: DataFrame, ids: DataFrame, most: int, width: int) -> DataFrame:
+    """(id, values): the whole sets of the documents in ``ids`` (at most ``most``
+    distinct ones), and of a few others, which the caller's join drops.
 
-    Only documents in a pair send their sets: a bit map filled from the pairs keeps
-    most others back, and the join drops the rest. Where the pairs may hold more than
-    ``MOST_MARKED`` doc_ids, the texts are joined with these instead.
+    A bit map filled from the ids keeps most others back. Where there may be more than
+    ``MOST_MARKED`` ids, the texts are joined with them instead.
     """
-    ids, most = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), 2 * pairs.count()
     texts, marks = _texts(docs), None
     if most > MOST_MARKED:
         texts = texts.join(ids, texts["doc_id"] == ids["id"], "left_semi")
@@ -475,18 +484,19 @@ def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Da
                 blobs = [sets.values[e - n:e].tobytes() for e, n in zip(sets.ends.tolist(), sets.size.tolist())]
                 yield pa.RecordBatch.from_arrays([some.column(0).slice(a, b - a), pa.array(blobs, pa.binary())], ["id", "values"])
 
+    return texts.mapInArrow(T.tidy(send), "id bigint, values binary")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of ``pairs`` whose whole sets are similar enough."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = np.zeros(batch.num_rows, bool)
             for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                x, y = np.frombuffer(x.as_py(), _U), np.frombuffer(y.as_py(), _U)
-                if len(x) and len(y) and 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
-                    both = np.sort(np.concatenate([x, y]))
-                    common = int((both[1:] == both[:-1]).sum())
-                    good[i] = 100 * common >= percent * (len(x) + len(y) - common)
+                good[i] = similar(np.frombuffer(x.as_py(), _U), np.frombuffer(y.as_py(), _U), percent)
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
-    sets = texts.mapInArrow(T.tidy(send), "id bigint, values binary")
+    sets = _sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), 2 * pairs.count(), width)
     left = pairs.join(sets.select(F.col("id").alias("b"), F.col("values").alias("y")), "b")
     full = left.join(sets.select(F.col("id").alias("a"), F.col("values").alias("x")), "a").select("a", "b", "x", "y")
     return saved(full.mapInArrow(T.tidy(check), "a bigint, b bigint"), "jaccard-links")
@@ -533,7 +543,7 @@ def similar_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
             break
         new, size = _bit_map(found), rows.count()
         if last is not None and size > THINNED * last:
-            labels = _linked(docs, _between(rows, described, percent), described, labels, width, percent)
+            labels = _with_links(labels, _between(docs, rows, described, width, percent))
             break
         last = size
         only_docs = _bit_map(rows.select("id").distinct(), map_bits(size))
@@ -548,7 +558,11 @@ def _linked(docs: DataFrame, pairs: DataFrame, described: DataFrame, labels: Dat
     component are passed over."""
     ends = relabel(relabel(pairs.select("a", "b", F.col("a").alias("x"), F.col("b").alias("y")), "x", labels), "y", labels)
     apart = ends.where("x <> y").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = _verified(docs, _possible(apart, described, percent), width, percent)
+    return _with_links(labels, _verified(docs, _possible(apart, described, percent), width, percent))
+
+
+def _with_links(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, label) after the links (a, b)."""
     if links.isEmpty():
         return labels
     ends = relabel(relabel(links, "a", labels), "b", labels)
@@ -579,11 +593,13 @@ def _mixed(met: DataFrame, to_class: DataFrame, labels: DataFrame) -> tuple[Data
     return own, found.select("id")
 
 
-def _between(rows: DataFrame, described: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of one bucket, of different components, that sizes and outlines
-    allow. Members of a bucket's largest component are never compared with each other:
-    only the others visit the members of all size ranges that they may link with. Both
-    sides of a range are dealt by hash, so a task holds about two blocks."""
+def _between(docs: DataFrame, rows: DataFrame, described: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) that join all components which links within a bucket join. Members
+    of a bucket's largest component are never compared with each other: only the others
+    visit the members of all size ranges that they may link with. Both sides of a range
+    are dealt by hash into blocks of bounded count and size, and a task holds two of them
+    with their whole sets. It verifies the pairs that sizes and outlines allow, passes
+    over those already joined by its links, and gives fewer links than it has members."""
     described = described.where("band IS NULL AND doc_id IS NOT NULL").withColumnRenamed("doc_id", "id")
     of_label = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
     largest = saved(of_label.groupBy("bucket").agg(F.max(F.struct("n", "label"))["label"].alias("largest")), "jaccard-mixed")
@@ -597,7 +613,9 @@ def _between(rows: DataFrame, described: DataFrame, percent: int) -> DataFrame:
     home = members.withColumn("range", size_range(size))
     away = members.where("apart").withColumn("range", F.explode(F.sequence(
         size_range(size * percent / 100, -1e-9), size_range(size * 100 / percent, 1e-9))))
-    blocks = F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS).cast("int")
+    longest = F.pow(F.lit(SIZE_STEP), F.col("range") + 1)
+    some = F.greatest(F.lit(1), F.least(F.lit(BLOCK_MEMBERS), F.floor(BLOCK_VALUES / longest)))
+    blocks = F.ceil(F.count(F.lit(1)) / F.first(some)).cast("int")
     place = ["bucket", "range"]
     ranges = sized(saved(home.groupBy(*place).agg(blocks.alias("homes")).join(
         away.groupBy(*place).agg(blocks.alias("visits")), place), "jaccard-ranges"))
@@ -608,27 +626,30 @@ def _between(rows: DataFrame, described: DataFrame, percent: int) -> DataFrame:
         "block", F.explode(F.sequence(F.lit(0), F.col("homes") - 1)))
     columns = [*key, "id", "label", "size", "apart"]
     dealt = stays.select(*columns, F.lit(False).alias("visitor")).unionByName(comes.select(*columns, F.lit(True).alias("visitor")))
-    dealt = dealt.join(described.select("id", "size", "outline").distinct(), ["id", "size"])
+    ids = members.select("id").distinct()
+    sets = _sets_of(docs, ids, ids.count(), width).dropDuplicates(["id", "values"]).withColumn(
+        "size", (F.length("values") / 8).cast("bigint"))
+    dealt = dealt.join(sets, ["id", "size"])
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        flat = np.stack([np.zeros(64, np.int32) if o is None
-                         else np.frombuffer(o, np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int32) for o in frame["outline"]])
+        sets = [np.frombuffer(v, _U) for v in frame["values"]]
+        flat = np.stack([np.bincount((v & _U(63)).astype(np.int64), minlength=64) for v in sets])
         if flat.max(initial=0) < 1 << 14:
             flat = flat.astype(np.int16)  # differences and their sums stay small
-        known = np.array([o is not None for o in frame["outline"]])
         ids, label, n, apart, visitor = (frame[c].to_numpy() for c in ("id", "label", "size", "apart", "visitor"))
-        outline = frame["outline"].tolist()
+        joined = label.copy()
         home = np.flatnonzero(~visitor)
-        out: set[tuple[int, int]] = set()
+        out: list[tuple[int, int]] = []
         for x in np.flatnonzero(visitor).tolist():
             # two that both visit meet twice; the smaller id's visit counts
-            y = home[(label[home] != label[x]) & (~apart[home] | (ids[home] > ids[x]))]
+            y = home[(joined[home] != joined[x]) & (~apart[home] | (ids[home] > ids[x]))]
             y = y[100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x])]
             most = (100 - percent) * (n[y] + n[x]) // (100 + percent)
-            y, most = (v[(np.abs(flat[y] - flat[x]).sum(axis=1, dtype=np.int64) <= most) | ~(known[y] & known[x])] for v in (y, most))
-            for k, m in zip(y.tolist(), most.tolist()):
-                if outline[x] is None or outline[k] is None or differences(outline[x], outline[k]) <= m:
-                    out.add((min(ids[x], ids[k]), max(ids[x], ids[k])))
-        return pd.DataFrame(sorted(out), columns=["a", "b"], dtype="int64")
-
-    return saved(dealt.groupBy(*key).applyInPandas(compare, "a bigint, b bigint").distinct(), "jaccard-pairs")
+            apart_by = np.abs(flat[y] - flat[x]).sum(axis=1, dtype=np.int64)
+            for k in y[apart_by <= most][np.argsort(apart_by[apart_by <= most], kind="stable")].tolist():
+                if joined[k] != joined[x] and similar(sets[x], sets[k], percent):
+                    out.append((min(ids[x], ids[k]), max(ids[x], ids[k])))
+                    joined[joined == joined[k]] = joined[x]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return saved(dealt.groupBy(*key).applyInPandas(compare, "a bigint, b bigint").distinct(), "jaccard-links")

@@ -183,26 +183,34 @@ def test_join_with_large_and_common_buckets(spark, monkeypatch, thinned, marked)
     assert got == want
 
 
-@pytest.mark.parametrize("percent", [75, 100])
-def test_residual_buckets_give_every_possible_pair(spark, monkeypatch, percent):
+@pytest.mark.parametrize("percent,values", [(75, 1 << 19), (75, 30), (100, 1 << 19)])
+def test_residual_buckets_join_all_that_links_join(spark, monkeypatch, percent, values):
     monkeypatch.setattr(jaccard, "BLOCK_MEMBERS", 4)
+    monkeypatch.setattr(jaccard, "BLOCK_VALUES", values)
     rnd = random.Random(percent)
     docs = []
     for i in range(60):
         n = rnd.choice([1, 2, 3, 4, 9, 12, 16, 27, 36])  # sizes on the edges of ranges too
         docs.append((i, " ".join(f"{rnd.choice('ab')}{k}" if rnd.random() < 0.1 else f"w{k}" for k in range(n))))
-    df = spark.createDataFrame(docs, "doc_id long, text string")
+    df = spark.createDataFrame(docs + docs[:5], "doc_id long, text string")
     described = jaccard._describe(df, 1, percent)
     bucket = {i: i % 2 for i, _ in docs}
     label = {i: 0 if i % 3 else i for i, _ in docs}  # 0: the largest of each bucket
     rows = spark.createDataFrame([(bucket[i], i, label[i]) for i in bucket], "bucket long, id long, label long")
-    got = [tuple(r) for r in jaccard._between(rows, described, percent).collect()]
-    assert len(got) == len(set(got))
-    assert all(a < b and bucket[a] == bucket[b] and label[a] != label[b] for a, b in got)
+    got = {tuple(r) for r in jaccard._between(df, rows, described, 1, percent).collect()}
     words = {i: set(t.split()) for i, t in docs}
-    similar = {(a, b) for a in bucket for b in bucket if a < b and bucket[a] == bucket[b] and label[a] != label[b]
-               and 100 * len(words[a] & words[b]) >= percent * len(words[a] | words[b])}
-    assert similar and similar <= set(got)
+    links = {(a, b) for a in bucket for b in bucket if a < b and bucket[a] == bucket[b] and label[a] != label[b]
+             and 100 * len(words[a] & words[b]) >= percent * len(words[a] | words[b])}
+    assert got and got <= links
+
+    def groups(pairs):
+        at = dict(label)
+        for a, b in pairs:
+            x, y = at[a], at[b]
+            at = {i: min(x, y) if v in (x, y) else v for i, v in at.items()}
+        return at
+
+    assert groups(sorted(got)) == groups(sorted(links))
 
 
 def test_allocation_orders_hot_segments_last():
