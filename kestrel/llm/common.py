@@ -35,13 +35,32 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_BATCH_KEY, before)
 
 
+_CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of a query go when the query ends, not when the
+    driver happens to collect its garbage."""
+    before = spark.conf.get(_CLEANUP_KEY, None)
+    spark.conf.set(_CLEANUP_KEY, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP_KEY)
+        else:
+            spark.conf.set(_CLEANUP_KEY, before)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back.
 
-    Cuts the lineage: a lost executor never makes the work before it run again.
+    Cuts the lineage: a lost executor never makes the work before it run again, and
+    the shuffles behind the table are dropped once it is written.
     """
     path = scratch_path(df.sparkSession, name)
-    with small_batches(df.sparkSession):
+    with small_batches(df.sparkSession), shuffles_dropped(df.sparkSession):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -23,8 +23,10 @@ than one component afterwards, its entry is common: the documents in such bucket
 are indexed again with common entries last in the order (any order of the entries
 that all sets share keeps the argument above), as long as that thins them out.
 What then still spans components - sets that are common entries nearly throughout
-- is compared block by block: the members outside a bucket's largest component with
-those of the size ranges they may link with. Of the links a task finds there, only those
+- is compared block by block. Such sets meet again and again in buckets with much the
+same members, so buckets are first merged where that costs no more comparing. The
+members outside a bucket's largest component are compared with those of the size ranges
+they may link with. Of the links a task finds there, only those
 leave it that join what its others don't. All pairs are verified on the whole
 shingle sets. Shingles are compared by 64-bit hash.
 
@@ -58,6 +60,7 @@ STATS_BLOCK = 256
 SMALL_BUCKET = 8       # buckets up to this size give all their pairs at once
 CHECK_COST = 50        # a pair's verification, in index entries
 THINNED = 0.5          # index again while common buckets shrink to this share
+MERGED = 0.75          # merge residual buckets while their rows shrink to this share
 BLOCK_MEMBERS = 1000   # members of a bucket compared in one task with as many others
 SIZE_STEP = 4 / 3      # from the smallest to the largest set of a size range
 BLOCK_VALUES = 1 << 19  # shingles of these members together, but for a single set
@@ -593,6 +596,33 @@ def _mixed(met: DataFrame, to_class: DataFrame, labels: DataFrame) -> tuple[Data
     return own, found.select("id")
 
 
+def _merged(rows: DataFrame) -> DataFrame:
+    """``rows`` (bucket, id, label) with buckets that overlap made one. Two members that
+    shared a bucket still do. In each turn the buckets with the same least member, by a
+    hash of the turn, are merged if comparing them at once takes no more than one by one."""
+    def costs(rows: DataFrame) -> DataFrame:
+        n = F.sum("n")
+        return rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
+            (n * (n - F.max("n") + CHECK_COST)).alias("cost"))
+
+    count, turn = rows.count(), 0
+    while True:
+        least = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("hash"), "id"))["id"]
+        own = rows.groupBy("bucket").agg(least.alias("least")).join(costs(rows), "bucket").select(
+            "bucket", F.xxhash64("least", F.lit(turn)).alias("to"), "cost")
+        own = sized(saved(own, "jaccard-merged"))
+        several = own.groupBy("to").agg(F.count(F.lit(1)).alias("n"), F.sum("cost").alias("before")).where("n > 1")
+        tried = rows.join(own, "bucket").select(F.col("to").alias("bucket"), "id", "label").distinct()
+        good = sized(saved(costs(saved(tried, "jaccard-merged")).withColumnRenamed("bucket", "to").join(several, "to").where(
+            "cost <= before").select("to"), "jaccard-merged"))
+        to = own.join(good, "to", "left_semi").select("bucket", "to")
+        rows = saved(rows.join(to, "bucket", "left").select(F.coalesce("to", "bucket").alias("bucket"), "id", "label").distinct(),
+                     "jaccard-buckets")
+        before, count, turn = count, rows.count(), turn + 1
+        if count > MERGED * before:
+            return rows
+
+
 def _between(docs: DataFrame, rows: DataFrame, described: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) that join all components which links within a bucket join. Members
     of a bucket's largest component are never compared with each other: only the others
@@ -601,6 +631,7 @@ def _between(docs: DataFrame, rows: DataFrame, described: DataFrame, width: int,
     with their whole sets. It verifies the pairs that sizes and outlines allow, passes
     over those already joined by its links, and gives fewer links than it has members."""
     described = described.where("band IS NULL AND doc_id IS NOT NULL").withColumnRenamed("doc_id", "id")
+    rows = _merged(rows)
     of_label = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
     largest = saved(of_label.groupBy("bucket").agg(F.max(F.struct("n", "label"))["label"].alias("largest")), "jaccard-mixed")
     members = saved(rows.join(sized(largest), "bucket").join(described.select("id", "size").distinct(), "id").select(
