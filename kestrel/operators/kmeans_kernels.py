@@ -21,8 +21,21 @@ def _exact(X: np.ndarray, C: np.ndarray) -> np.ndarray:
     return out
 
 
+def _distances(X: np.ndarray, C: np.ndarray, idx: np.ndarray) -> np.ndarray:
+    """Distance of each row of X to the row of C at its index."""
+    diff = X - C[idx]
+    return np.sqrt(np.einsum("ij,ij->i", diff, diff))
+
+
 def nearest(X: np.ndarray, C: np.ndarray, budget: int = 4_000_000):
-    """Index and distance of the nearest row of C for each row of X.
+    """Index (:func:`nearest_index`) and distance of the nearest row of C for each row
+    of X; the distance is computed exactly from the differences."""
+    idx = nearest_index(X, C, budget)
+    return idx, _distances(X, C, idx)
+
+
+def nearest_index(X: np.ndarray, C: np.ndarray, budget: int = 4_000_000) -> np.ndarray:
+    """Index of the nearest row of C for each row of X.
 
     Exactly the reference's rule - the first centroid, in order, at the
     smallest Euclidean distance - at matrix-product speed:
@@ -31,10 +44,10 @@ def nearest(X: np.ndarray, C: np.ndarray, budget: int = 4_000_000):
     2. every centroid within the rounding bound of a row's best value is a
        candidate (the true minimum is always one of them);
     3. rows with one candidate take it; rows with several (near-ties) are
-       decided on exact distances, first minimum winning;
-    4. the returned distance is recomputed exactly from the differences.
+       decided on exact distances, first minimum winning.
 
-    Rows go in chunks so the rows x k matrix stays under ``budget`` numbers.
+    Rows go in chunks so the k x rows matrix stays under ``budget`` numbers; it lies
+    centroid by centroid, so that few centroids cost few long steps.
     """
     n, k, d = X.shape[0], C.shape[0], C.shape[1]
     idx = np.zeros(n, dtype=np.int64)
@@ -45,17 +58,20 @@ def nearest(X: np.ndarray, C: np.ndarray, budget: int = 4_000_000):
     for s in range(0, n, step):
         Xs = X[s:s + step]
         xx = np.einsum("ij,ij->i", Xs, Xs)
-        D = xx[:, None] - 2.0 * (Xs @ C.T) + cc[None, :]
-        best = D.min(axis=1)
-        tol = rel * (xx + cc.max())
-        cand = D <= (best + 2.0 * tol)[:, None]
-        pick = np.argmax(cand, axis=1)
-        ties = np.nonzero(cand.sum(axis=1) > 1)[0]
+        D = C @ Xs.T
+        D *= -2.0
+        D += xx
+        D += cc[:, None]
+        cand = D <= D.min(axis=0) + 2.0 * rel * (xx + cc.max())
+        pick = np.zeros(len(Xs), dtype=np.int64)
+        for i in range(k - 1, 0, -1):
+            pick[cand[i]] = i
+        pick[cand[0]] = 0
+        ties = np.flatnonzero(np.count_nonzero(cand, axis=0) > 1)
         if len(ties):
             pick[ties] = np.argmin(_exact(Xs[ties], C), axis=1)
         idx[s:s + step] = pick
-    diff = X - C[idx]
-    return idx, np.sqrt(np.einsum("ij,ij->i", diff, diff))
+    return idx
 
 
 def _points(batch, d: int) -> np.ndarray:
@@ -94,7 +110,7 @@ def moved_batches(batches, d, C, cids, P, pcids):
 
     for b in batches:
         X = _points(b, d)
-        now, before = cids[nearest(X, C)[0]], pcids[nearest(X, P)[0]]
+        now, before = cids[nearest_index(X, C)], pcids[nearest_index(X, P)]
         at = np.flatnonzero(now != before)
         ids = b.column(b.schema.get_field_index("id")).take(pa.array(at))
         yield pa.RecordBatch.from_arrays(
@@ -121,7 +137,7 @@ def partial_pass(batches, d, runs):
             k = C.shape[0]
             idx, dist = nearest(X, C)
             if P is not None:
-                moved = (cids[idx] != pcids[nearest(X, P)[0]]).astype(np.float64)
+                moved = (cids[idx] != pcids[nearest_index(X, P)]).astype(np.float64)
             else:
                 moved = np.zeros(len(idx))
             part = [np.bincount(idx, minlength=k),

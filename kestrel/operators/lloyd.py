@@ -329,6 +329,7 @@ class LloydResult:
     centroids: Centroids          # centroids of the last assignment
     points: DataFrame             # prepared points
     history: list[dict] = field(default_factory=list)
+    held: DataFrame | None = None  # what a flow left persisted for the assignment
 
     @property
     def passes(self) -> int:
@@ -343,6 +344,13 @@ class LloydResult:
         """(id, cid, dist) of the last pass."""
         return assign(self.points, self.centroids, keep)
 
+    def release(self) -> None:
+        """Unpersists what the flow left persisted; an assignment made later reads its
+        input again."""
+        if self.held is not None:
+            self.held.unpersist()
+            self.held = None
+
 
 def lloyd_many(points: DataFrame, inits: Sequence[Centroids], max_iterations: int,
                empty: str = "drop", persist: StorageLevel | None = PERSIST) -> list[LloydResult]:

@@ -157,15 +157,22 @@ def hash_sample_many(df: DataFrame, k: int, seeds: Sequence[int], id_col: str, v
 
     def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = dict.fromkeys(seeds)
+        worst = dict.fromkeys(seeds, _LEHMER_M)
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for seed in seeds:
                 x = (ids % _LEHMER_M * _LEHMER_A + ((seed % _LEHMER_M) * 16807 + 1) % _LEHMER_M) % _LEHMER_M
                 rank = (x ^ (x >> 16)) * _LEHMER_A % _LEHMER_M
-                own = pa.table({"rank": rank, "id": ids, "value": batch.column(1)})
-                own = own.take(np.lexsort((ids, rank))[:k])
+                # what is beyond the k rows held so far can't be drawn
+                at = np.flatnonzero(rank <= worst[seed])
+                if not len(at):
+                    continue
+                at = at[np.lexsort((ids[at], rank[at]))[:k]]
+                own = pa.table({"rank": rank[at], "id": ids[at], "value": batch.column(1).take(pa.array(at))})
                 both = own if held[seed] is None else pa.concat_tables([held[seed], own])
                 held[seed] = both.take(np.lexsort((both["id"].to_numpy(), both["rank"].to_numpy()))[:k])
+                if len(held[seed]) == k:
+                    worst[seed] = held[seed]["rank"][k - 1].as_py()
         for seed, own in held.items():
             if own is not None:
                 own = own.combine_chunks()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from kestrel.functions import random as R
 from kestrel.operators import classify, lloyd as L
 from kestrel.operators.ordering import hash_sample_k, hash_sample_many, with_scan_index
-from kestrel.plans import files
+from kestrel.plans import files, models
 from kestrel.sources.generate import gaussian_points
 
 
@@ -66,6 +66,31 @@ def test_flow_is_the_same_on_any_layout(spark):
     assert it == it2 and cost == pytest.approx(cost2) and np.allclose(centers, centers2)
 
 
+def test_flow_parses_its_text_once(spark):
+    out = tempfile.mkdtemp(prefix="kestrel-gen-") + "/gen"
+    res = files.generate_then_cluster(spark, out, n=300, k=3, partitions=3, std=2.0, draws=2)
+
+    def plan():
+        return res.assignment()._jdf.queryExecution().withCachedData().toString()
+
+    assert "InMemoryRelation" in plan() and res.assignment().count() == 300
+    res.release()
+    assert res.held is None and "InMemoryRelation" not in plan() and res.assignment().count() == 300
+
+
+@pytest.mark.parametrize("second,sizes", [((5.0, 4.0), [2, 1]), ((4.0, 5.0), [1, 2])])
+def test_clusters_of_equal_first_numbers_are_named_by_the_next(spark, tmp_path, monkeypatch, second, sizes):
+    spark.createDataFrame([(1, 1, "A")], "l_orderkey long, l_linenumber int, l_returnflag string").write.parquet(
+        str(tmp_path / "lineitem.parquet"))
+    vectors = [[2.0, y, 0.0, 0.0] for y in second]
+    points = spark.createDataFrame([(0, " 1", vectors[0]), (1, " 1", vectors[1]), (2, " 1", vectors[1])],
+                                   "id long, label string, _v array<double>")
+    result = L.LloydResult(0.0, 0, L.Centroids.of(vectors), points)
+    monkeypatch.setattr(models, "generate_then_cluster", lambda *a, **k: result)
+    out = models.gen_then_cluster(spark, str(tmp_path)).collect()
+    assert sorted((r.cluster, r.label, r.n) for r in out) == [(0, 1, sizes[0]), (1, 1, sizes[1])]
+
+
 def test_draws_of_many_seeds_are_the_single_ones(spark):
     df = spark.range(-500, 2500, 3).withColumn("v", F.col("id") * 2).unionByName(spark.createDataFrame([(None, 1)], "id bigint, v bigint"))
     many = hash_sample_many(df.repartition(5), 4, [0, 1, 7], "id", "v").collect()
