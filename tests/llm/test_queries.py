@@ -43,6 +43,9 @@ def empty_dir(spark, edge_dir, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("empty"))
     for name in ("documents", "benchmark", "pages"):
         spark.read.parquet(f"{edge_dir}/{name}.parquet").limit(0).write.parquet(f"{path}/{name}.parquet")
+    for name, schema in (("embeddings", "vec_id bigint, embedding array<float>, label int"),
+                         ("conversations", "conv_id bigint, turn bigint, role string, text string")):
+        spark.createDataFrame([], schema).write.parquet(f"{path}/{name}.parquet")
     return path
 
 
